@@ -44,3 +44,73 @@ def purchase_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("buy").alias("behavior"),
         _epoch_seconds("o_orderdate").alias("ts"),
     )
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a raw text line, many of them damaged in some way.
+
+    The damage follows from the event id, so that all cleaning rules meet real
+    rows: padding, headers, missing, blank and extra fields, bad times.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = F.col("event_type")
+    fields = events.select(
+        (F.col("event_id") % 20).alias("damage"),
+        F.col("user_id").cast("string").alias("u"),
+        F.get_json_object("props", "$.k").alias("i"),
+        (F.get_json_object("props", "$.k").cast("bigint") % 10).cast("string").alias("c"),
+        F.when(kind == "view", "pv")
+        .when(kind == "click", "fav")
+        .when(kind == "signup", "cart")
+        .when(kind == "purchase", "buy")
+        .otherwise(kind)
+        .alias("b"),
+        _epoch_seconds("ts").cast("string").alias("t"),
+    )
+    whole = F.concat_ws(",", "u", "i", "c", "b", "t")
+
+    def line(ts: str):
+        return F.concat_ws(",", "u", "i", "c", "b", F.lit(ts))
+
+    forms = {
+        1: F.concat(F.lit(" "), F.concat_ws(" ,\t", "u", "i", "c", "b", "t"), F.lit("\t ")),
+        2: F.lit(""),
+        3: F.lit(" \t "),
+        4: F.lit("user_id,item_id,category_id,behavior_type,timestamp"),
+        5: F.concat(F.lit("USER_ID,"), whole),
+        6: F.concat(F.lit("user_id"), whole),
+        7: F.concat_ws(",", "u", "i", "c", "b"),
+        8: F.concat(whole, F.lit(",extra")),
+        9: F.concat(whole, F.lit(",")),
+        10: F.concat_ws(",", "u", F.lit(" "), "c", "b", "t"),
+        11: F.concat_ws(",", "u", "i", "c", F.upper("b"), "t"),
+        12: F.concat_ws(",", "u", "i", "c", F.lit("click"), "t"),
+        13: line("abc"),
+        14: line("5.7"),
+        15: line("1e3"),
+        16: line("99999999999999999999"),
+        17: F.concat_ws(",", "u", "i", "c", "b", F.concat(F.lit("+"), "t")),
+        18: F.concat_ws(",", "u", "i", "c", "b", F.concat(F.lit("-"), "t")),
+    }
+    value = F
+    for damage, text in forms.items():
+        value = value.when(F.col("damage") == damage, text)
+    return fields.select(value.otherwise(whole).alias("value"))
+
+
+def feature_text(features: DataFrame) -> DataFrame:
+    """Feature rows as text lines, some of them damaged by user id."""
+    damage = F.col("user_id").cast("bigint") % 9
+    f1, f2, f3 = (F.format_string("%.4f", F.col(c)) for c in ("f1", "f2", "f3"))
+    whole = F.concat_ws(",", "user_id", f1, f2, f3)
+    value = (
+        F.when(damage == 1, F.concat(F.lit(" "), F.concat_ws(" ,\t", "user_id", f1, f2, f3)))
+        .when(damage == 2, F.concat(F.lit("user_id,"), whole))
+        .when(damage == 3, F.concat_ws(",", "user_id", f1, f2))
+        .when(damage == 4, F.concat_ws(",", "user_id", f1, F.lit("abc"), f3))
+        .when(damage == 5, F.concat_ws(",", F.lit(" "), f1, f2, f3))
+        .when(damage == 6, F.concat_ws(",", "user_id", f1, f2, F.lit("NaN")))
+        .when(damage == 7, F.concat(whole, F.lit(",extra")))
+        .otherwise(whole)
+    )
+    return features.select(value.alias("value"))

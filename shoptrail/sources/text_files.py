@@ -20,19 +20,25 @@ def parse_feature_lines(lines: DataFrame) -> DataFrame:
     Header, short lines, blank users and values that are not finite numbers
     are dropped.
     """
-    text = strip(F.col("value"))
-    parts = F.split(text, ",", -1)
-    parsed = lines.where(
-        (text != "")
-        & ~text.startswith(FEATURE_HEADER_PREFIX)
-        & (F.size(parts) >= FEATURE_FIELDS)
-    ).select(
-        strip(F.get(parts, 0)).alias("user_id"),
-        *[as_double(strip(F.get(parts, i))).alias(f"f{i}") for i in (1, 2, 3)],
+    split = lines.select(strip(F.col("value")).alias("line")).select(
+        "line", F.split("line", ",", -1).alias("parts")
     )
-    return parsed.where(
-        (F.col("user_id") != "")
+    fields = split.select(
+        "line",
+        F.size("parts").alias("field_count"),
+        strip(F.get("parts", F.lit(0))).alias("user_id"),
+        *[as_double(strip(F.get("parts", F.lit(i)))).alias(f"f{i}") for i in (1, 2, 3)],
+    )
+    kept = (
+        (F.col("line") != "")
+        & ~F.col("line").startswith(FEATURE_HEADER_PREFIX)
+        & (F.col("field_count") >= FEATURE_FIELDS)
+        & (F.col("user_id") != "")
         & F.col("f1").isNotNull()
         & F.col("f2").isNotNull()
         & F.col("f3").isNotNull()
     )
+    # Unnesting zero or one row per line splits the line once; a filter would
+    # be pushed below the projection and split it again.
+    row = F.struct("user_id", "f1", "f2", "f3")
+    return fields.select(F.inline(F.when(kept, F.array(row))))
