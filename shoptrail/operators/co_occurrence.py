@@ -111,12 +111,11 @@ def _all_counts(
     large = users.where(F.col("degree") > list_items)
     rows = kept.count()
     counts = _count_lists(_pairs_of(kept, users.where(F.col("degree") <= list_items), rows))
-    if sizes[0] > min(floor - 1, hot_users):
+    if sizes[0] > _may_set_aside(floor, hot_users):
         counts = durable(counts, "counts")
         floor = max(floor, _least_of_top(counts, top))
-    cut, hot_count = next(
-        (c, n) for c, n in zip(cuts, sizes, strict=True) if n <= min(floor - 1, hot_users)
-    )
+    allowed = _may_set_aside(floor, hot_users)
+    cut, hot_count = next((c, n) for c, n in zip(cuts, sizes, strict=True) if n <= allowed)
     if cut > list_items:
         middle = attach(kept, large.where(F.col("degree") <= cut), "user_id", rows)
         counts = (
@@ -130,6 +129,15 @@ def _all_counts(
     return counts.where(F.col("cnt") >= floor)
 
 
+def _may_set_aside(floor: int, hot_users: int) -> int:
+    """How many users may be: fewer than ``floor``, or their pairs could matter.
+
+    Half of it, where possible, so that pairs which all others have less than
+    half the floor times need no look-up.
+    """
+    return min(floor - 1, max(1, floor // 2), hot_users)
+
+
 def _pairs_of(kept: DataFrame, users: DataFrame, rows: int) -> DataFrame:
     return attach(kept, users, "user_id", rows).select("user_id", "item")
 

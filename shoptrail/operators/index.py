@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.functions.text import id_order
-from shoptrail.operators.pairs import attach, degrees
+from shoptrail.operators.pairs import attach, degrees, without
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
 
@@ -28,22 +28,25 @@ def item_user_index(pairs: DataFrame, block_users: int = BLOCK_USERS) -> DataFra
     """
     pairs = durable(pairs.select("user_id", "item_id"), "pairs")
     first = F.lit(0).cast("bigint").alias("block")
-    items = durable(degrees(pairs, "item_id"), "item-degrees")
-    if items.where(F.col("degree") > block_users).isEmpty():
+    large = durable(
+        degrees(pairs, "item_id").where(F.col("degree") > block_users), "large-items"
+    )
+    if large.isEmpty():
         blocked = pairs.select("user_id", "item_id", first)
     else:
-        blocked = _cut_large(pairs, items, block_users, first)
+        rows = pairs.count()
+        small = without(pairs, large, "item_id", rows).select("user_id", "item_id", first)
+        blocked = small.unionByName(_cut(attach(pairs, large, "item_id", rows), block_users))
     return blocked.groupBy("item_id", "block").agg(_sorted_ids("user_id").alias("users"))
 
 
-def _cut_large(
-    pairs: DataFrame, items: DataFrame, block_users: int, first: Column
-) -> DataFrame:
-    sized = durable(attach(pairs, items, "item_id", pairs.count()), "sized-pairs")
-    small = sized.where(F.col("degree") <= block_users).select("user_id", "item_id", first)
-    large = sized.where(F.col("degree") > block_users).select("user_id", "item_id")
-    users = with_position(degrees(large, "user_id"), "user_id")
-    cut = F.floor(F.col("position") / block_users).alias("block")
-    return small.unionByName(
-        attach(large, users, "user_id", large.count()).select("user_id", "item_id", cut)
-    )
+def _cut(pairs: DataFrame, block_users: int) -> DataFrame:
+    """Pairs with the block of the user: its position in the list of all users.
+
+    Any ``block_users`` neighbouring positions hold at most that many users of
+    one item.
+    """
+    pairs = durable(pairs.select("user_id", "item_id"), "large-pairs")
+    users = durable(with_position(degrees(pairs, "user_id"), "user_id"), "users")
+    block = F.floor(F.col("position") / block_users).alias("block")
+    return attach(pairs, users, "user_id", pairs.count()).select("user_id", "item_id", block)

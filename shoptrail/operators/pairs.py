@@ -10,6 +10,8 @@ from shoptrail.constants import DEEP_BEHAVIORS
 # A key with more than 1/HOT_SHARE of all rows is hot, so there are fewer
 # than HOT_SHARE hot keys, whatever the data: a proven bound for a broadcast.
 HOT_SHARE = 1000
+# A whole table of keys is broadcast only after it was counted.
+BROADCAST_KEYS = 100_000
 
 
 def deep_pairs(log: DataFrame) -> DataFrame:
@@ -30,16 +32,33 @@ def degrees(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
 
 
+def _hot_and_cold(keyed: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    share = F.col("degree") * HOT_SHARE
+    return keyed.where(share > F.lit(rows)), keyed.where(share <= F.lit(rows))
+
+
 def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     """Inner join of ``big`` with the unique keys of ``keyed``, safe for hot keys.
 
-    ``keyed`` carries ``degree``, the number of the ``rows`` rows of ``big``
-    with that key. Rows of hot keys meet a broadcast of the hot keys and never
-    move. The rest is an ordinary join in which no key has more than
-    ``rows / HOT_SHARE`` rows.
+    ``keyed``, a written table, carries ``degree``: the number of the ``rows``
+    rows of ``big`` with that key. Few keys are broadcast. Otherwise rows of
+    hot keys meet a broadcast of the hot keys and never move, and the rest is
+    an ordinary join in which no key has more than ``rows / HOT_SHARE`` rows.
     """
-    hot = keyed.where(F.col("degree") * HOT_SHARE > F.lit(rows))
-    cold = keyed.where(F.col("degree") * HOT_SHARE <= F.lit(rows))
+    if keyed.count() <= BROADCAST_KEYS:
+        return big.join(F.broadcast(keyed), key)
+    hot, cold = _hot_and_cold(keyed, rows)
     hot_rows = big.join(F.broadcast(hot), key)
     cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return hot_rows.unionByName(cold_rows)
+
+
+def without(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
+    """Rows of ``big`` whose key is not in ``keyed``; the other half of ``attach``.
+
+    For keys that are not in ``keyed`` and are not hot.
+    """
+    if keyed.count() <= BROADCAST_KEYS:
+        return big.join(F.broadcast(keyed.select(key)), key, "left_anti")
+    hot, cold = (part.select(key) for part in _hot_and_cold(keyed, rows))
+    return big.join(F.broadcast(hot), key, "left_anti").join(cold, key, "left_anti")

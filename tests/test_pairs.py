@@ -9,7 +9,7 @@ from shoptrail.functions.text import id_order
 from shoptrail.operators import pairs as pairs_module
 from shoptrail.operators.co_occurrence import item_co_occurrence
 from shoptrail.operators.index import item_user_index
-from shoptrail.operators.pairs import attach, deep_pairs, degrees
+from shoptrail.operators.pairs import attach, deep_pairs, degrees, without
 from shoptrail.operators.positions import with_position
 
 
@@ -52,9 +52,10 @@ def test_positions(spark, partitions):
     assert found == {i: n for n, i in enumerate(sorted(ids, key=id_key))}
 
 
-@pytest.mark.parametrize("share", [1, 2, 10, 1000])
-def test_attach_is_an_inner_join(spark, pairs_of, monkeypatch, share):
+@pytest.mark.parametrize(("share", "limit"), [(1, 0), (2, 0), (10, 0), (1000, 0), (10, 1000)])
+def test_attach_is_an_inner_join(pairs_of, monkeypatch, share, limit):
     monkeypatch.setattr(pairs_module, "HOT_SHARE", share)
+    monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", limit)
     pairs = skewed_pairs(1)
     df = pairs_of(pairs)
     keyed = degrees(df, "item_id").where("item_id <> '3'")
@@ -64,10 +65,14 @@ def test_attach_is_an_inner_join(spark, pairs_of, monkeypatch, share):
     joined = attach(df, keyed, "item_id", len(pairs)).select("user_id", "item_id", "degree")
     expected = sorted((u, i, degree[i]) for u, i in pairs if i != "3")
     assert sorted(map(tuple, joined.collect())) == expected
+    rest = without(df, keyed, "item_id", len(pairs)).select("user_id", "item_id")
+    assert sorted(map(tuple, rest.collect())) == sorted(p for p in pairs if p[1] == "3")
 
 
 @pytest.mark.parametrize("block_users", [1, 7, 20, 1000])
-def test_index_blocks_join_to_the_whole_list(pairs_of, block_users):
+@pytest.mark.parametrize("broadcast_keys", [0, 1000])
+def test_index_blocks_join_to_the_whole_list(pairs_of, monkeypatch, block_users, broadcast_keys):
+    monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", broadcast_keys)
     pairs = skewed_pairs(2)
     rows = item_user_index(pairs_of(pairs), block_users).orderBy("item_id", "block").collect()
     lists = defaultdict(list)
@@ -100,8 +105,11 @@ def test_co_occurrence_of_single_items_is_empty(pairs_of):
 @pytest.mark.parametrize(
     ("list_items", "hot_users"), [(1000, 1024), (20, 1024), (3, 1024), (3, 2), (4, 0)]
 )
-@pytest.mark.parametrize("top", [1, 5, 40, 100_000])
-def test_co_occurrence_limits_never_change_the_result(pairs_of, list_items, hot_users, top):
+@pytest.mark.parametrize(("top", "broadcast_keys"), [(1, 0), (5, 0), (40, 1000), (100_000, 0)])
+def test_co_occurrence_limits_never_change_the_result(
+    pairs_of, monkeypatch, list_items, hot_users, top, broadcast_keys
+):
+    monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", broadcast_keys)
     pairs = skewed_pairs(4)
     found = item_co_occurrence(pairs_of(pairs), top, list_items, hot_users).collect()
     assert [tuple(r) for r in found] == top_pairs(pairs, top)
