@@ -14,7 +14,8 @@ BLOCK_USERS = 100_000
 
 
 def _sorted_ids(c: str) -> Column:
-    ordered = F.sort_array(F.collect_list(id_order(F.col(c))))
+    # Only ids are shuffled; their sort keys are made after it.
+    ordered = F.sort_array(F.transform(F.collect_list(c), id_order))
     return F.transform(ordered, lambda s: s["id"])
 
 

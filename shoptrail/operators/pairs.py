@@ -32,9 +32,13 @@ def degrees(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def _hot_and_cold(keyed: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
-    share = F.col("degree") * HOT_SHARE
-    return keyed.where(share > F.lit(rows)), keyed.where(share <= F.lit(rows))
+def hot_keys(keyed: DataFrame, rows: int) -> DataFrame:
+    """Keys with more than their share of ``rows``; fewer than HOT_SHARE."""
+    return keyed.where(F.col("degree") * HOT_SHARE > F.lit(rows))
+
+
+def _cold_keys(keyed: DataFrame, rows: int) -> DataFrame:
+    return keyed.where(F.col("degree") * HOT_SHARE <= F.lit(rows))
 
 
 def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
@@ -47,7 +51,7 @@ def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     """
     if keyed.count() <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed), key)
-    hot, cold = _hot_and_cold(keyed, rows)
+    hot, cold = hot_keys(keyed, rows), _cold_keys(keyed, rows)
     hot_rows = big.join(F.broadcast(hot), key)
     cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return hot_rows.unionByName(cold_rows)
@@ -60,5 +64,5 @@ def without(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     """
     if keyed.count() <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed.select(key)), key, "left_anti")
-    hot, cold = (part.select(key) for part in _hot_and_cold(keyed, rows))
+    hot, cold = hot_keys(keyed, rows).select(key), _cold_keys(keyed, rows).select(key)
     return big.join(F.broadcast(hot), key, "left_anti").join(cold, key, "left_anti")

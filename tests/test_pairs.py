@@ -110,6 +110,8 @@ def test_co_occurrence_limits_never_change_the_result(
     pairs_of, monkeypatch, list_items, hot_users, top, broadcast_keys
 ):
     monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", broadcast_keys)
+    # Some items hot, some not.
+    monkeypatch.setattr(pairs_module, "HOT_SHARE", 20)
     pairs = skewed_pairs(4)
     found = item_co_occurrence(pairs_of(pairs), top, list_items, hot_users).collect()
     assert [tuple(r) for r in found] == top_pairs(pairs, top)
