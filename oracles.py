@@ -258,16 +258,8 @@ def _on_log(log: str) -> dict[str, str]:
     return {
         "global_max_ts": ask("SELECT max(ts) AS max_ts FROM log"),
         "user_stats": ask("SELECT * FROM stats", STATS),
-        "user_features_raw": ask(
-            "SELECT user_id, round(f1, 6) AS f1, f2, f3 FROM raw", STATS, RAW
-        ),
-        "feature_extrema": ask(
-            "SELECT round(min_f1, 6) AS min_f1, round(max_f1, 6) AS max_f1, "
-            "min_f2, max_f2, min_f3, max_f3 FROM extrema",
-            STATS,
-            RAW,
-            EXTREMA,
-        ),
+        "user_features_raw": ask("SELECT * FROM raw", STATS, RAW),
+        "feature_extrema": ask("SELECT * FROM extrema", STATS, RAW, EXTREMA),
         "user_features": ask("SELECT * FROM features", STATS, RAW, EXTREMA, FEATURES),
         "log_row_counts": ask(
             """SELECT 'records' AS metric, count(*) AS row_count FROM log
@@ -282,9 +274,7 @@ UNION ALL SELECT 'nodes', count(*) FROM nodes""",
         "item_user_index": ask("SELECT * FROM index", PAIRS, INDEX),
         "item_co_occurrence_top1000": ask("SELECT * FROM ranked", PAIRS, CO_OCCURRENCE),
         "graph_nodes": ask("SELECT * FROM nodes", PAIRS, GRAPH),
-        "graph_edges": ask(
-            "SELECT src_kind, src, dst_kind, dst, round(p, 9) AS p FROM edges", PAIRS, GRAPH
-        ),
+        "graph_edges": ask("SELECT * FROM edges", PAIRS, GRAPH),
         "kmeans_init": ask("SELECT * FROM drawn", *kmeans),
         "kmeans_labels": ask("SELECT user_id, cluster FROM labels", *kmeans),
         "kmeans_centers": ask(
@@ -342,6 +332,7 @@ parsed AS (
     purchases = {f"purchase_{name}": sql for name, sql in _on_log(PURCHASE_LOG).items()}
     return {
         "clean_behavior_log": f"WITH {_judged()}\n{kept}",
+        "text_round_trip": f"WITH {_judged()}\n{kept}",
         "clean_behavior_log_fold_case": f"WITH {_judged(fold_case=True)}\n{kept}",
         "clean_verdicts": (
             f"WITH {_judged()}\nSELECT verdict, count(*) AS line_count FROM judged GROUP BY verdict"

@@ -38,6 +38,8 @@ from shoptrail.sources.durable import new_path
 BROADCAST_ROWS = 200_000
 # Links of one node kept together; a node with more is split over partitions.
 SPLIT_LINKS = 1_000_000
+# A bucket's part of the vector is hashed up to this many rows, else sorted.
+HASH_ROWS = 2_000_000
 # Scores closer than this many decimals rank by id, whatever the sum order.
 _TIE_DECIMALS = 12
 
@@ -89,6 +91,8 @@ class _Side:
         self.links = _links_from(graph, kind)
         self.broadcast_rows = broadcast_rows
         self.split_links = split_links
+        spark = self.links.sparkSession
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table: str | None = None
 
     def _splits(self, degree: str):
@@ -102,13 +106,12 @@ class _Side:
         """
         spark = self.links.sparkSession
         if self.table is None:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
             part = F.pmod(F.hash("dst"), self._splits("src_degree"))
             table = f"shoptrail_links_{uuid.uuid4().hex}"
             (
                 self.links.select("src", part.cast("int").alias("part"), "dst", "dst_degree")
-                .repartition(buckets, "src", "part")
-                .write.bucketBy(buckets, "src", "part")
+                .repartition(self.buckets, "src", "part")
+                .write.bucketBy(self.buckets, "src", "part")
                 .option("path", new_path(spark, "links"))
                 .saveAsTable(table)
             )
@@ -124,8 +127,10 @@ class _Side:
         else:
             parts = F.sequence(F.lit(0), self._splits("degree").cast("int") - 1)
             spread = vector.select(src, share, F.explode(parts).alias("part"))
-            # The vector is the small side of each bucket; links need no sort.
-            met = self._bucketed().join(spread.hint("shuffle_hash"), ["src", "part"])
+            if rows <= HASH_ROWS * self.buckets:
+                # The vector is the small side of a bucket; links need no sort.
+                spread = spread.hint("shuffle_hash")
+            met = self._bucketed().join(spread, ["src", "part"])
         # Shares of a node with very many links add up before the shuffle.
         return met.groupBy(
             F.col("dst").alias("node"), F.col("dst_degree").alias("degree")
