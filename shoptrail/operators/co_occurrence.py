@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.constants import TOP_ITEM_PAIRS
-from shoptrail.operators.pairs import attach, degrees, hot_keys
+from shoptrail.operators.pairs import attach, degrees, hot_keys, without
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
 
@@ -113,11 +113,9 @@ def _all_counts(
     if sizes[0] == 0:
         return _count_lists(kept, hot_items).where(F.col("cnt") >= floor)
 
-    users = durable(users, "user-degrees")
-    large = users.where(F.col("degree") > list_items)
+    large = durable(users.where(F.col("degree") > list_items), "large-users")
     rows = kept.count()
-    small = users.where(F.col("degree") <= list_items)
-    counts = _count_lists(_pairs_of(kept, small, rows), hot_items)
+    counts = _count_lists(without(kept, large, "user_id", rows), hot_items)
     if sizes[0] > _may_set_aside(floor, hot_users):
         counts = durable(counts, "counts")
         floor = max(floor, _least_of_top(counts, top))
@@ -131,7 +129,7 @@ def _all_counts(
             .agg(F.sum("cnt").alias("cnt"))
         )
     if hot_count:
-        hot = users.where(F.col("degree") > cut).select("user_id")
+        hot = large.where(F.col("degree") > cut).select("user_id")
         counts = _add_hot_users(counts, kept, hot, hot_count, floor)
     return counts.where(F.col("cnt") >= floor)
 
@@ -145,10 +143,6 @@ def _may_set_aside(floor: int, hot_users: int) -> int:
     return min(floor - 1, max(1, floor // 2), hot_users)
 
 
-def _pairs_of(kept: DataFrame, users: DataFrame, rows: int) -> DataFrame:
-    return attach(kept, users, "user_id", rows).select("user_id", "item")
-
-
 def _tails(lists: DataFrame, items: str) -> DataFrame:
     """Each item ``a`` of a sorted list with the items after it, as ``later``."""
     later = F.slice(items, F.col("i") + 2, F.size(items)).alias("later")
@@ -194,9 +188,8 @@ def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
     parted = sized.select("user_id", "item", parts.alias("parts")).select(
         "*", F.pmod(F.hash("item"), F.col("parts")).alias("part")
     )
-    met = parted.select(
-        "user_id", "item", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    )
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    met = parted.select("user_id", "item", "part", F.explode(every).alias("other"))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     lists = met.groupBy("user_id", low.alias("low"), high.alias("high")).agg(
         F.sort_array(F.collect_list(F.when(F.col("part") == low, F.col("item")))).alias("x"),

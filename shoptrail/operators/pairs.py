@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.constants import DEEP_BEHAVIORS
 
-# A key with more than 1/HOT_SHARE of all rows is hot, so there are fewer
-# than HOT_SHARE hot keys, whatever the data: a proven bound for a broadcast.
-HOT_SHARE = 1000
-# A whole table of keys is broadcast only after it was counted.
+# A key with more rows than a quarter of an average shuffle partition is hot.
+# With n partitions there are fewer than 4 n hot keys, whatever the data, so
+# they can be broadcast.
+HOT_PER_PARTITION = 4
+# The most keys that are broadcast; a whole table only after it was counted.
 BROADCAST_KEYS = 100_000
 
 
@@ -32,13 +33,15 @@ def degrees(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def hot_keys(keyed: DataFrame, rows: int) -> DataFrame:
-    """Keys with more than their share of ``rows``; fewer than HOT_SHARE."""
-    return keyed.where(F.col("degree") * HOT_SHARE > F.lit(rows))
+def _is_hot(keyed: DataFrame, rows: int) -> Column:
+    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(HOT_PER_PARTITION * partitions, BROADCAST_KEYS)
+    return F.col("degree") * share > F.lit(rows)
 
 
-def _cold_keys(keyed: DataFrame, rows: int) -> DataFrame:
-    return keyed.where(F.col("degree") * HOT_SHARE <= F.lit(rows))
+def hot_keys(keyed: DataFrame, rows: int) -> DataFrame:
+    """Keys with so many of the ``rows`` rows that one task should not get them all."""
+    return keyed.where(_is_hot(keyed, rows))
 
 
 def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
@@ -47,11 +50,11 @@ def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     ``keyed``, a written table, carries ``degree``: the number of the ``rows``
     rows of ``big`` with that key. Few keys are broadcast. Otherwise rows of
     hot keys meet a broadcast of the hot keys and never move, and the rest is
-    an ordinary join in which no key has more than ``rows / HOT_SHARE`` rows.
+    an ordinary join in which no key weighs down a partition.
     """
     if keyed.count() <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed), key)
-    hot, cold = hot_keys(keyed, rows), _cold_keys(keyed, rows)
+    hot, cold = hot_keys(keyed, rows), keyed.where(~_is_hot(keyed, rows))
     hot_rows = big.join(F.broadcast(hot), key)
     cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return hot_rows.unionByName(cold_rows)
@@ -64,5 +67,7 @@ def without(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     """
     if keyed.count() <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed.select(key)), key, "left_anti")
-    hot, cold = hot_keys(keyed, rows).select(key), _cold_keys(keyed, rows).select(key)
-    return big.join(F.broadcast(hot), key, "left_anti").join(cold, key, "left_anti")
+    hot, cold = hot_keys(keyed, rows), keyed.where(~_is_hot(keyed, rows))
+    return big.join(F.broadcast(hot.select(key)), key, "left_anti").join(
+        cold.select(key), key, "left_anti"
+    )

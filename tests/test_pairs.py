@@ -52,9 +52,9 @@ def test_positions(spark, partitions):
     assert found == {i: n for n, i in enumerate(sorted(ids, key=id_key))}
 
 
-@pytest.mark.parametrize(("share", "limit"), [(1, 0), (2, 0), (10, 0), (1000, 0), (10, 1000)])
+@pytest.mark.parametrize(("share", "limit"), [(0, 0), (1, 50), (4, 50), (100, 50), (4, 1000)])
 def test_attach_is_an_inner_join(pairs_of, monkeypatch, share, limit):
-    monkeypatch.setattr(pairs_module, "HOT_SHARE", share)
+    monkeypatch.setattr(pairs_module, "HOT_PER_PARTITION", share)
     monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", limit)
     pairs = skewed_pairs(1)
     df = pairs_of(pairs)
@@ -111,7 +111,7 @@ def test_co_occurrence_limits_never_change_the_result(
 ):
     monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", broadcast_keys)
     # Some items hot, some not.
-    monkeypatch.setattr(pairs_module, "HOT_SHARE", 20)
+    monkeypatch.setattr(pairs_module, "HOT_PER_PARTITION", 3)
     pairs = skewed_pairs(4)
     found = item_co_occurrence(pairs_of(pairs), top, list_items, hot_users).collect()
     assert [tuple(r) for r in found] == top_pairs(pairs, top)
