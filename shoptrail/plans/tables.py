@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _epoch_seconds(column: str):
-    # Independent of the session time zone, and exact for times before 1970.
-    return F.expr(
-        f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({column} as timestamp_ntz))"
-    )
+def _epoch_seconds(column: str) -> Column:
+    """Whole seconds since 1970 of a zoneless time, whatever the session zone."""
+    ts = F.col(column).cast("timestamp_ntz")
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86400 + clock
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:

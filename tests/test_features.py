@@ -1,5 +1,6 @@
 import pytest
 from conftest import TESTDATA
+from pyspark.sql import functions as F
 
 from shoptrail.operators.features import (
     feature_extrema,
@@ -8,7 +9,7 @@ from shoptrail.operators.features import (
     user_features,
     user_stats,
 )
-from shoptrail.plans.tables import events_log
+from shoptrail.plans.tables import _epoch_seconds, events_log
 from shoptrail.schemas import BEHAVIOR_LOG
 
 
@@ -66,3 +67,20 @@ def test_log_is_scanned_once(spark):
     assert "ReusedExchange" in plan
     assert "PushedFilters: [In(event_type" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_log_times_do_not_depend_on_the_session_zone(spark, zone):
+    times = {
+        "2024-07-01 12:00:00.7": 1719835200,
+        "2024-03-10 02:30:00": 1710037800,  # a local time New York skips
+        "1969-12-31 23:59:58.5": -2,
+    }
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    df = df.select("t", F.col("t").cast("timestamp_ntz").alias("ts"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = {r.t: r.s for r in df.select("t", _epoch_seconds("ts").alias("s")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == times
