@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.constants import TOP_ITEM_PAIRS
-from shoptrail.operators.pairs import attach, degrees, hot_keys, without
+from shoptrail.operators.pairs import attach, degrees, hot_keys, without, written_pairs
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
 
@@ -48,7 +48,7 @@ def item_co_occurrence(
     ``item_a`` precedes ``item_b`` in id order; equal counts rank by id. The
     last two arguments move work between the steps, never the result.
     """
-    pairs = durable(pairs.select("user_id", "item_id"), "pairs")
+    pairs = written_pairs(pairs)
     # Items are numbered in id order, so numbers compare and rank as ids do.
     items = durable(
         with_position(degrees(pairs, "item_id"), "item_id").withColumnRenamed(

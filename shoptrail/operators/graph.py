@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.constants import ITEM, USER
-from shoptrail.operators.pairs import attach, degrees
+from shoptrail.operators.pairs import attach, degrees, written_pairs
 from shoptrail.sources.durable import durable
 
 
@@ -27,7 +27,7 @@ class Graph:
 
 
 def build_graph(pairs: DataFrame) -> Graph:
-    pairs = durable(pairs.select("user_id", "item_id"), "pairs")
+    pairs = written_pairs(pairs)
     rows = pairs.count()
     users = _numbered(pairs, "user_id", "user")
     items = _numbered(pairs, "item_id", "item")
@@ -70,7 +70,7 @@ def graph_edges(pairs: DataFrame) -> DataFrame:
 
     The kind of a node is a column, so a user and an item may share an id.
     """
-    pairs = durable(pairs.select("user_id", "item_id"), "pairs")
+    pairs = written_pairs(pairs)
     rows = pairs.count()
     users = durable(degrees(pairs, "user_id"), "user-degrees")
     items = durable(degrees(pairs, "item_id"), "item-degrees")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.functions.text import id_order
-from shoptrail.operators.pairs import attach, degrees, without
+from shoptrail.operators.pairs import attach, degrees, without, written_pairs
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
 
@@ -27,7 +27,7 @@ def item_user_index(pairs: DataFrame, block_users: int = BLOCK_USERS) -> DataFra
     ``block_users``, and its blocks in order are the whole list. The cuts
     depend on the ids alone, not on the partitioning.
     """
-    pairs = durable(pairs.select("user_id", "item_id"), "pairs")
+    pairs = written_pairs(pairs)
     first = F.lit(0).cast("bigint").alias("block")
     large = durable(
         degrees(pairs, "item_id").where(F.col("degree") > block_users), "large-items"

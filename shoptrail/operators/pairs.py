@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.constants import DEEP_BEHAVIORS
+from shoptrail.sources.durable import durable
 
 # A key with more rows than a quarter of an average shuffle partition is hot.
 # With n partitions there are fewer than 4 n hot keys, whatever the data, so
@@ -28,6 +29,16 @@ def deep_pairs(log: DataFrame) -> DataFrame:
     )
 
 
+def written_pairs(pairs: DataFrame) -> DataFrame:
+    """``pairs``, distinct as ``deep_pairs`` makes them, as a written table.
+
+    Several passes read them. A table that is written already stays as it is.
+    """
+    if pairs.columns != ["user_id", "item_id"]:
+        pairs = pairs.select("user_id", "item_id")
+    return durable(pairs, "pairs")
+
+
 def degrees(pairs: DataFrame, key: str) -> DataFrame:
     """Number of pairs per value of ``key`` as ``degree``."""
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
@@ -54,6 +65,7 @@ def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     """
     if keyed.count() <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed), key)
+    big = durable(big, "to-join")  # both parts read it
     hot, cold = hot_keys(keyed, rows), keyed.where(~_is_hot(keyed, rows))
     hot_rows = big.join(F.broadcast(hot), key)
     cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from shoptrail.constants import (
     ALL_BEHAVIORS,
@@ -42,20 +43,26 @@ def read_log(
     form: str = "text",
     valid: Sequence[str] = ALL_BEHAVIORS,
 ) -> DataFrame:
-    """A behaviour log from ``text`` lines or a ``parquet`` table."""
+    """A behaviour log from ``text`` lines or the ``parquet`` table of clean records.
+
+    Of the table only the folders of the ``valid`` behaviours are read.
+    """
     if form == "parquet":
-        return spark.read.schema(BEHAVIOR_LOG).parquet(path)
+        log = spark.read.schema(BEHAVIOR_LOG).parquet(path).select(*BEHAVIOR_LOG.names)
+        return log.where(F.col("behavior").isin(*valid))
     return clean_behavior_log(read_lines(spark, path), valid)
 
 
 def clean_and_features(spark: SparkSession, input_path: str, output_dir: str) -> dict[str, int]:
     """Clean a raw log and compute user features; returns line counts.
 
-    The text is parsed once, into Parquet; the rest reads that.
+    The text is parsed once, into a table with a folder per behaviour; the rest
+    reads that. Views are most of a log, and the jobs on deep interactions
+    never open their folder.
     """
     seen = Observation()
     log = clean_behavior_log(read_lines(spark, input_path), observation=seen)
-    exports.write_table(log, f"{output_dir}/clean_behavior_log.parquet")
+    exports.write_table(log, f"{output_dir}/clean_behavior_log.parquet", "behavior")
     log = read_log(spark, f"{output_dir}/clean_behavior_log.parquet", "parquet")
     exports.write_lines(exports.log_lines(log), f"{output_dir}/clean_behavior_log.csv")
     exports.write_table(user_features(log), f"{output_dir}/user_features.parquet")

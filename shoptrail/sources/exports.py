@@ -73,5 +73,5 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -13,13 +13,15 @@ def clean_arrivals(
 ) -> StreamingQuery:
     """Append the valid records of all new files, then stop.
 
-    The same stateless cleaning as the batch job. ``progress_dir`` remembers
-    which files are done, so a restart neither skips nor repeats one.
+    The same stateless cleaning as the batch job, into the same layout with a
+    folder per behaviour. ``progress_dir`` remembers which files are done, so a
+    restart neither skips nor repeats one.
     """
     lines = spark.readStream.text(input_dir)
     return (
         clean_behavior_log(lines)
         .writeStream.format("parquet")
+        .partitionBy("behavior")
         .option("path", output_dir)
         .option("checkpointLocation", progress_dir)
         .trigger(availableNow=True)

@@ -2,6 +2,7 @@ from pyspark.sql import Observation
 
 from shoptrail.constants import DEEP_BEHAVIORS
 from shoptrail.operators.clean import clean_behavior_log, line_verdicts
+from shoptrail.plans.jobs import read_log
 from shoptrail.sources.text_files import parse_feature_lines
 from shoptrail.streaming.clean_stream import clean_arrivals
 
@@ -80,7 +81,8 @@ def test_stream_gives_the_batch_result_once(spark, tmp_path):
     _lines(spark).coalesce(1).write.text(source)
     clean_arrivals(spark, source, out, progress).awaitTermination()
     clean_arrivals(spark, source, out, progress).awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == _records()
+    found = read_log(spark, out, "parquet").collect()
+    assert sorted(tuple(r) for r in found) == _records()
 
 
 def test_feature_lines(spark):

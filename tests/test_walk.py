@@ -44,6 +44,14 @@ def test_golden_rounds(golden, rounds, expected):
     assert found == pytest.approx(expected, abs=1e-6)
 
 
+def test_large_vectors_are_sorted_not_hashed(pairs_of, monkeypatch):
+    monkeypatch.setattr(walk_module, "HASH_ROWS", 0)
+    pairs = skewed_pairs(10)
+    expected, _ = walk_by_definition(pairs, "hot", max_iter=3)
+    found = _scores(rank_scores(pairs_of(pairs), "hot", max_iter=3, **SHUFFLED))
+    assert found == pytest.approx(expected, abs=1e-12)
+
+
 def test_golden_recommendation(golden):
     pairs = deep_pairs(golden)
     (row,) = personal_rank(pairs, "1").collect()
