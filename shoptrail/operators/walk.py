@@ -30,6 +30,7 @@ from shoptrail.constants import (
     WALK_MAX_ITER,
     WALK_TOL,
 )
+from shoptrail.functions.numbers import twelve_digits
 from shoptrail.functions.text import id_order
 from shoptrail.operators.graph import Graph, build_graph
 from shoptrail.sources.durable import new_path
@@ -40,9 +41,6 @@ BROADCAST_ROWS = 200_000
 SPLIT_LINKS = 1_000_000
 # A bucket's part of the vector is hashed up to this many rows, else sorted.
 HASH_ROWS = 2_000_000
-# Scores closer than this many decimals rank by id, whatever the sum order.
-_TIE_DECIMALS = 12
-
 _VECTOR = "node bigint, degree bigint, x double"
 
 
@@ -236,10 +234,21 @@ def personal_rank(
     Equal scores rank by id. An unknown target has no recommendation unless
     ``include_unreached`` fills the list with items of score 0.
     """
-    graph = build_graph(pairs)
+    return best_items(build_graph(pairs), target, top, include_unreached, **walk_options)
+
+
+def best_items(
+    graph: Graph,
+    target: str,
+    top: int = TOP_RECOMMENDATIONS,
+    include_unreached: bool = False,
+    **walk_options,
+) -> DataFrame:
+    """``personal_rank`` on a graph that is built already, for one target after another."""
     walk = walk_from(graph, target, **walk_options)
     own = walk.first_items().withColumnRenamed("node", "item")
-    order = [F.round("score", _TIE_DECIMALS).desc(), id_order(F.col("item_id")).asc()]
+    # Beyond twelve digits scores differ by the order of adding alone.
+    order = [twelve_digits(F.col("score")).desc(), id_order(F.col("item_id")).asc()]
     best = (
         _item_scores(walk, include_unreached)
         .join(own, "item", "left_anti")

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from reference_answers import id_key, items_of, top_pairs
+from brute_force import id_key, items_of, top_pairs
 
 from shoptrail.functions.text import id_order
 from shoptrail.operators import pairs as pairs_module

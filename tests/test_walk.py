@@ -1,11 +1,14 @@
 import pytest
-from reference_answers import walk as walk_by_definition
+from brute_force import id_key
+from brute_force import walk as walk_by_definition
+from pyspark.sql import functions as F
 from test_pairs import skewed_pairs
 
+from shoptrail.functions.numbers import twelve_digits
 from shoptrail.operators import walk as walk_module
 from shoptrail.operators.graph import build_graph, graph_edges, graph_nodes
 from shoptrail.operators.pairs import deep_pairs
-from shoptrail.operators.walk import personal_rank, rank_scores, walk_from
+from shoptrail.operators.walk import best_items, personal_rank, rank_scores, walk_from
 
 SHUFFLED = {"broadcast_rows": 0, "split_links": 3}
 
@@ -115,6 +118,29 @@ def test_links_stay_put_between_rounds(pairs_of, spark):
     assert "shoptrail_links" not in {t.name for t in spark.catalog.listTables()}
 
 
+def test_twelve_digits(spark):
+    values = [0.1 + 0.2, 0.3, 1e-15, 1.1e-15, 1e-15 + 1e-30, 0.0, 2.5e-9, 2.5e-9 + 1e-18]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cut = [r.c for r in df.select(twelve_digits(F.col("v")).alias("c")).collect()]
+    assert cut[0] == cut[1] and cut[2] == cut[4] and cut[2] < cut[3] and cut[5] == 0.0
+    assert cut[6] < cut[7]
+    assert cut == pytest.approx(values, rel=1e-11)
+
+
+def test_one_graph_serves_many_targets(pairs_of):
+    pairs = skewed_pairs(11)
+    graph = build_graph(pairs_of(pairs))
+    for target in ("hot", "3", "nobody"):
+        found = [tuple(r) for r in best_items(graph, target).collect()]
+        ranks, _ = walk_by_definition(pairs, target)
+        own = {i for u, i in pairs if u == target}
+        new = [(-round(r, 12), id_key(i), r) for (k, i), r in ranks.items() if k == "item"]
+        expected = [n for n in sorted(new) if n[1][2] not in own][:10]
+        assert [i for _, i, _ in found] == [n[1][2] for n in expected]
+        assert [s for *_, s in found] == pytest.approx([n[2] for n in expected])
+        assert [r for r, *_ in found] == list(range(1, len(expected) + 1))
+
+
 def test_same_id_for_user_and_item(pairs_of):
     edges = graph_edges(pairs_of({("1", "1"), ("1", "2"), ("2", "1")})).collect()
     chances = {(e.src_kind, e.src, e.dst_kind, e.dst): e.p for e in edges}
