@@ -29,11 +29,11 @@ from shoptrail.operators.clusters import kmeans_users
 from shoptrail.operators.co_occurrence import item_co_occurrence
 from shoptrail.operators.features import user_features
 from shoptrail.operators.index import item_user_index
-from shoptrail.operators.pairs import deep_pairs
+from shoptrail.operators.pairs import deep_pairs, written_pairs
 from shoptrail.operators.walk import personal_rank
 from shoptrail.schemas import BEHAVIOR_LOG, USER_FEATURES
 from shoptrail.sources import exports
-from shoptrail.sources.durable import durable
+from shoptrail.sources.durable import run_folder
 from shoptrail.sources.text_files import parse_feature_lines, read_lines
 
 
@@ -79,14 +79,16 @@ def index_and_co_occurrence(
     top: int = TOP_ITEM_PAIRS,
 ) -> None:
     """Inverted index and the most frequent item pairs of a log."""
-    pairs = durable(deep_pairs(read_log(spark, log_path, form, DEEP_BEHAVIORS)), "pairs")
-    exports.write_lines(
-        exports.index_lines(item_user_index(pairs)), f"{output_dir}/item_user_inverted_index.txt"
-    )
-    exports.write_lines(
-        exports.co_occurrence_lines(item_co_occurrence(pairs, top)),
-        f"{output_dir}/item_co_occurrence.txt",
-    )
+    with run_folder(spark):
+        pairs = written_pairs(deep_pairs(read_log(spark, log_path, form, DEEP_BEHAVIORS)))
+        exports.write_lines(
+            exports.index_lines(item_user_index(pairs)),
+            f"{output_dir}/item_user_inverted_index.txt",
+        )
+        exports.write_lines(
+            exports.co_occurrence_lines(item_co_occurrence(pairs, top)),
+            f"{output_dir}/item_co_occurrence.txt",
+        )
 
 
 def cluster_users(
@@ -104,9 +106,10 @@ def cluster_users(
         features = spark.read.schema(USER_FEATURES).parquet(features_path)
     else:
         features = parse_feature_lines(read_lines(spark, features_path))
-    labels, centers = kmeans_users(features, k, max_iter, tol, seed)
-    exports.write_lines(exports.label_lines(labels), f"{output_dir}/user_cluster_labels.csv")
-    exports.write_lines(exports.center_lines(centers), f"{output_dir}/cluster_centers.txt")
+    with run_folder(spark):
+        labels, centers = kmeans_users(features, k, max_iter, tol, seed)
+        exports.write_lines(exports.label_lines(labels), f"{output_dir}/user_cluster_labels.csv")
+        exports.write_lines(exports.center_lines(centers), f"{output_dir}/cluster_centers.txt")
 
 
 def recommend(
@@ -122,8 +125,9 @@ def recommend(
 ) -> None:
     """The target's top items it does not have yet, as one line."""
     pairs = deep_pairs(read_log(spark, log_path, form, DEEP_BEHAVIORS))
-    best = personal_rank(pairs, target, top, alpha=alpha, max_iter=max_iter, tol=tol)
-    exports.write_lines(
-        exports.recommendation_line(best, target),
-        f"{output_dir}/personal_rank_recommendations.txt",
-    )
+    with run_folder(spark):
+        best = personal_rank(pairs, target, top, alpha=alpha, max_iter=max_iter, tol=tol)
+        exports.write_lines(
+            exports.recommendation_line(best, target),
+            f"{output_dir}/personal_rank_recommendations.txt",
+        )

@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _MARK = "_shoptrail_durable"
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,7 +33,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path nobody uses yet, in the folder of the current run if there is one."""
+    return f"{_run_folder.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[None]:
+    """Give the tables written inside a folder of their own, deleted at the end.
+
+    For work that writes its results before it ends. DataFrames that leave the
+    block must not read tables written in it.
+    """
+    path = new_path(spark, "run")
+    token = _run_folder.set(path)
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(hadoop, True)
 
 
 def mark_durable(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from shoptrail.operators.pairs import deep_pairs, written_pairs
 from shoptrail.plans import jobs
 from shoptrail.schemas import BEHAVIOR_LOG
 from shoptrail.sources import exports
-from shoptrail.sources.durable import durable, shared_folder
+from shoptrail.sources.durable import durable, run_folder, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +80,20 @@ def test_counts(golden):
     assert counts == {"records": 0, "users": 0, "pairs": 0, "edges": 0, "nodes": 0}
 
 
+def test_a_run_deletes_its_own_folder_only(spark, golden):
+    kept = durable(golden, "kept")
+    with run_folder(spark):
+        inside = durable(golden, "inside")
+        folder = Path(inside.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists() and folder.parent.name.startswith("run-")
+    assert not folder.parent.exists()
+    assert kept.count() == len(GOLDEN)
+    with pytest.raises(ZeroDivisionError), run_folder(spark):
+        folder = Path(durable(golden, "in").inputFiles()[0].removeprefix("file:")).parent
+        1 / 0
+    assert not folder.exists()
+
+
 def test_durable_writes_once_to_the_shared_folder(spark, golden):
     once = durable(golden, "golden")
     assert durable(once, "again") is once
