@@ -33,15 +33,16 @@ from shoptrail.constants import (
 from shoptrail.functions.numbers import twelve_digits
 from shoptrail.functions.text import id_order
 from shoptrail.operators.graph import Graph, build_graph
+from shoptrail.operators.pairs import BROADCAST_KEYS
 from shoptrail.sources.durable import new_path
 
-# The walk's vector is broadcast up to this many rows (three numbers each).
+# The walk's vector is broadcast up to this many rows (two numbers each).
 BROADCAST_ROWS = 200_000
 # Links of one node kept together; a node with more is split over partitions.
 SPLIT_LINKS = 1_000_000
 # A bucket's part of the vector is hashed up to this many rows, else sorted.
 HASH_ROWS = 2_000_000
-_VECTOR = "node bigint, degree bigint, x double"
+_VECTOR = "node bigint, x double"
 
 
 @dataclass
@@ -72,71 +73,75 @@ class Walk:
         return vectors.where("round = 1").select("node")
 
 
-def _links_from(graph: Graph, kind: str) -> DataFrame:
-    src, dst = (USER, ITEM) if kind == USER else (ITEM, USER)
-    return graph.links.select(
-        F.col(src).alias("src"),
-        F.col(f"{src}_degree").alias("src_degree"),
-        F.col(dst).alias("dst"),
-        F.col(f"{dst}_degree").alias("dst_degree"),
-    )
-
-
 class _Side:
     """The links leaving one kind of node, laid out for repeated joins."""
 
     def __init__(self, graph: Graph, kind: str, broadcast_rows: int, split_links: int):
-        self.links = _links_from(graph, kind)
+        src, dst, nodes = (
+            (USER, ITEM, graph.users) if kind == USER else (ITEM, USER, graph.items)
+        )
+        self.spark = graph.links.sparkSession
+        self.links = graph.links.select(
+            F.col(src).alias("src"), F.col(f"{src}_degree").alias("degree"), F.col(dst).alias("dst")
+        )
         self.broadcast_rows = broadcast_rows
-        self.split_links = split_links
-        spark = self.links.sparkSession
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.parts = F.ceil(F.col("degree") / split_links).cast("int")
+        # Nodes with more links than that: at most links / split_links of them.
+        self.large = nodes.where(F.col("degree") > split_links).select(
+            F.col(src).alias("src"), self.parts.alias("parts")
+        )
         self.table: str | None = None
 
-    def _splits(self, degree: str):
-        return F.ceil(F.col(degree) / self.split_links)
-
-    def _bucketed(self) -> DataFrame:
-        """The links as a table bucketed by source, written at first need.
+    def _write_buckets(self) -> None:
+        """The links as a table bucketed by source.
 
-        Every later round joins it without moving it. A node with very many
-        links is in several buckets, chosen by the other end.
+        Every later round joins it without moving it. The links of a node with
+        very many are in several buckets, chosen by the other end.
         """
-        spark = self.links.sparkSession
-        if self.table is None:
-            part = F.pmod(F.hash("dst"), self._splits("src_degree"))
-            table = f"shoptrail_links_{uuid.uuid4().hex}"
-            (
-                self.links.select("src", part.cast("int").alias("part"), "dst", "dst_degree")
-                .repartition(self.buckets, "src", "part")
-                .write.bucketBy(self.buckets, "src", "part")
-                .option("path", new_path(spark, "links"))
-                .saveAsTable(table)
-            )
-            self.table = table
-        return spark.table(self.table)
+        links, self.keys = self.links, ["src"]
+        self.large_count = self.large.count()
+        if self.large_count:
+            self.keys = ["src", "part"]
+            links = links.withColumn("part", F.pmod(F.hash("dst"), self.parts))
+        table = f"shoptrail_links_{uuid.uuid4().hex}"
+        (
+            links.repartition(self.buckets, *self.keys)
+            .write.bucketBy(self.buckets, *self.keys)
+            .option("path", new_path(self.spark, "links"))
+            .saveAsTable(table)
+        )
+        self.table = table
+
+    def _spread(self, vector: DataFrame) -> DataFrame:
+        """The vector with one row per part of a node that is in several buckets."""
+        if not self.large_count:
+            return vector
+        large = F.broadcast(self.large) if self.large_count <= BROADCAST_KEYS else self.large
+        every = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        return vector.join(large, "src", "left").select("src", "x", F.explode(every).alias("part"))
 
     def step(self, vector: DataFrame, rows: int) -> DataFrame:
         """The vector after one more step, on the other kind of node."""
-        share = (F.col("x") / F.col("degree")).alias("share")
-        src = F.col("node").alias("src")
+        vector = vector.withColumnRenamed("node", "src")
         if rows <= self.broadcast_rows:
-            met = self.links.join(F.broadcast(vector.select(src, share)), "src")
+            met = self.links.join(F.broadcast(vector), "src")
         else:
-            parts = F.sequence(F.lit(0), self._splits("degree").cast("int") - 1)
-            spread = vector.select(src, share, F.explode(parts).alias("part"))
+            if self.table is None:
+                self._write_buckets()
+            spread = self._spread(vector)
             if rows <= HASH_ROWS * self.buckets:
                 # The vector is the small side of a bucket; links need no sort.
                 spread = spread.hint("shuffle_hash")
-            met = self._bucketed().join(spread, ["src", "part"])
+            met = self.spark.table(self.table).join(spread, self.keys)
         # Shares of a node with very many links add up before the shuffle.
-        return met.groupBy(
-            F.col("dst").alias("node"), F.col("dst_degree").alias("degree")
-        ).agg(F.sum("share").alias("x"))
+        return met.groupBy(F.col("dst").alias("node")).agg(
+            F.sum(F.col("x") / F.col("degree")).alias("x")
+        )
 
     def close(self) -> None:
         if self.table is not None:
-            self.links.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def _write_round(spark: SparkSession, vector: DataFrame, path: str, s: int):
@@ -164,7 +169,7 @@ def walk_from(
     path = new_path(spark, "walk")
     sides = [_Side(graph, kind, broadcast_rows, split_links) for kind in (USER, ITEM)]
     start = graph.users.where(F.col("user_id") == target).select(
-        F.col("user").alias("node"), "degree", F.lit(1.0).alias("x")
+        F.col("user").alias("node"), F.lit(1.0).alias("x")
     )
     try:
         vector, rows, peak = _write_round(spark, start, path, 0)

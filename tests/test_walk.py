@@ -74,7 +74,7 @@ def test_include_unreached_adds_zeros(golden):
     assert [(r.item_id, r.score) for r in rows] == [("9", 0.0), ("10", 0.0), ("11", 0.0)]
 
 
-@pytest.mark.parametrize("options", [{}, SHUFFLED])
+@pytest.mark.parametrize("options", [{}, SHUFFLED, {"broadcast_rows": 0}])
 @pytest.mark.parametrize(
     "limits", [{}, {"max_iter": 0}, {"max_iter": 200}, {"alpha": 0.5, "tol": 1e-2}, {"alpha": 1.0}]
 )
@@ -104,16 +104,17 @@ def test_partitioning_does_not_matter(pairs_of):
     assert one == many
 
 
-def test_links_stay_put_between_rounds(pairs_of, spark):
+@pytest.mark.parametrize("split_links", [3, 1000])
+def test_links_stay_put_between_rounds(pairs_of, spark, split_links):
     """Beyond the broadcast limit only the vector moves, not the links."""
     graph = build_graph(pairs_of(skewed_pairs(9)))
-    side = walk_module._Side(graph, "user", 0, 3)
-    vector = graph.users.selectExpr("user AS node", "degree", "1.0D AS x")
+    side = walk_module._Side(graph, "user", 0, split_links)
+    vector = graph.users.selectExpr("user AS node", "1.0D AS x")
     met = side.step(vector, rows=10)
     plan = met._jdf.queryExecution().executedPlan().toString()
     side.close()
     join = plan[plan.index("ShuffledHashJoin") :]
-    assert join.count("Exchange") == 1
+    assert join.count("Exchange hashpartitioning") == 1
     assert "Bucketed: true" in plan
     assert "shoptrail_links" not in {t.name for t in spark.catalog.listTables()}
 
