@@ -7,6 +7,7 @@ jobs are unrolled into common table expressions.
 from __future__ import annotations
 
 TARGET = "8"
+BLOCK_USERS = 20
 KMEANS_ROUNDS = 20
 WALK_ROUNDS = 20
 
@@ -183,6 +184,23 @@ index AS (
   FROM pairs GROUP BY item_id
 )"""
 
+BLOCKS = f"""
+sizes AS (SELECT item_id, count(*) AS size FROM pairs GROUP BY item_id),
+positions AS (
+  SELECT user_id, row_number() OVER (ORDER BY {_id_order("user_id")}) - 1 AS position
+  FROM (SELECT DISTINCT user_id FROM pairs JOIN sizes USING (item_id) WHERE size > {BLOCK_USERS})
+),
+blocked AS (
+  SELECT item_id, user_id, CASE WHEN size > {BLOCK_USERS} THEN position // {BLOCK_USERS}
+                                ELSE 0 END AS block
+  FROM pairs JOIN sizes USING (item_id) LEFT JOIN positions USING (user_id)
+),
+blocks AS (
+  SELECT item_id, CAST(block AS BIGINT) AS block,
+         string_agg(user_id, ',' ORDER BY {_id_order("user_id")}) AS users
+  FROM blocked GROUP BY ALL
+)"""
+
 
 def _kmeans() -> str:
     parts = [
@@ -272,7 +290,9 @@ UNION ALL SELECT 'nodes', count(*) FROM nodes""",
         ),
         "deep_pairs": ask("SELECT * FROM pairs", PAIRS),
         "item_user_index": ask("SELECT * FROM index", PAIRS, INDEX),
+        "item_user_index_blocks": ask("SELECT * FROM blocks", PAIRS, BLOCKS),
         "item_co_occurrence_top1000": ask("SELECT * FROM ranked", PAIRS, CO_OCCURRENCE),
+        "item_co_occurrence_large_users": ask("SELECT * FROM ranked", PAIRS, CO_OCCURRENCE),
         "graph_nodes": ask("SELECT * FROM nodes", PAIRS, GRAPH),
         "graph_edges": ask("SELECT * FROM edges", PAIRS, GRAPH),
         "kmeans_init": ask("SELECT * FROM drawn", *kmeans),
@@ -285,6 +305,9 @@ UNION ALL SELECT 'nodes', count(*) FROM nodes""",
         "personal_rank_scores": ask(
             "SELECT kind, id, round(score, 9) AS score FROM ranks", *walk
         ),
+        "personal_rank_bucketed": ask(
+            "SELECT kind, id, round(score, 9) AS score FROM ranks", *walk
+        ),
         "personal_rank_dense": ask(
             "SELECT nodes.kind, nodes.id, round(coalesce(score, 0.0), 9) AS score "
             "FROM nodes LEFT JOIN ranks ON ranks.kind = nodes.kind AND ranks.id = nodes.id",

@@ -1,6 +1,10 @@
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Observation
 
-from shoptrail.constants import DEEP_BEHAVIORS
+from shoptrail.constants import ALL_BEHAVIORS, DEEP_BEHAVIORS
 from shoptrail.operators.clean import clean_behavior_log, line_verdicts
 from shoptrail.plans.jobs import read_log
 from shoptrail.sources.text_files import parse_feature_lines
@@ -103,6 +107,44 @@ def test_feature_lines(spark):
     ]
 
 
+BLANKS = "".join(map(chr, range(0x21)))
+FIELD = st.one_of(
+    st.sampled_from(["1", "10", "user_id", "pv", "buy", "cart", "fav", "BUY", "click", ""]),
+    st.integers(-(2**70), 2**70).map(str),
+    st.text("+-0159. \ta\u00a0\u00fc", max_size=4),
+)
+LINE = st.builds(
+    lambda fields, left, right: left + ",".join(fields) + right,
+    st.one_of(
+        st.lists(FIELD, max_size=7),
+        st.tuples(FIELD, FIELD, FIELD, st.sampled_from(ALL_BEHAVIORS), FIELD).map(list),
+    ),
+    st.sampled_from(["", " ", "\t ", "\x01"]),
+    st.sampled_from(["", " ", "\t"]),
+)
+
+
+def _by_rule(line):
+    line = line.strip(BLANKS)
+    fields = [f.strip(BLANKS) for f in line.split(",")]
+    if line.lower().startswith("user_id") or len(fields) < 5 or "" in fields[:5]:
+        return None
+    if fields[3] not in ALL_BEHAVIORS or not re.fullmatch(r"[+-]?[0-9]+", fields[4]):
+        return None
+    ts = int(fields[4])
+    return (*fields[:4], ts) if -(2**63) <= ts < 2**63 else None
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(lines=st.lists(LINE, min_size=20, max_size=200))
+def test_any_lines(spark, lines):
+    df = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    expected = [r for r in map(_by_rule, lines) if r]
+    assert [tuple(r) for r in clean_behavior_log(df).collect()] == expected
+
+
 def test_lines_are_split_once_per_row(spark):
     plan = clean_behavior_log(_lines(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1
