@@ -50,6 +50,7 @@ class Walk:
     """Vectors ``x(0) .. x(rounds)``, one folder ``round=s`` each."""
 
     graph: Graph
+    target: str
     path: str
     rounds: int
     alpha: float
@@ -66,11 +67,14 @@ class Walk:
         side = vectors.where(s % 2 == (0 if kind == USER else 1))
         return side.groupBy("node").agg(F.sum(F.col("x") * weight).alias("score"))
 
-    def first_items(self) -> DataFrame:
+    def own_items(self) -> DataFrame:
         """Numbers of the target's own items: the nodes after one step."""
-        spark = self.graph.links.sparkSession
+        graph, spark = self.graph, self.graph.links.sparkSession
+        if self.rounds == 0:
+            target = graph.users.where(F.col("user_id") == self.target).select("user")
+            return graph.links.join(F.broadcast(target), "user", "left_semi").select("item")
         vectors = spark.read.schema(f"{_VECTOR}, round int").parquet(self.path)
-        return vectors.where("round = 1").select("node")
+        return vectors.where("round = 1").select(F.col("node").alias("item"))
 
 
 class _Side:
@@ -184,7 +188,7 @@ def walk_from(
     finally:
         for side in sides:
             side.close()
-    return Walk(graph, path, rounds, alpha)
+    return Walk(graph, target, path, rounds, alpha)
 
 
 def _item_scores(walk: Walk, include_unreached: bool) -> DataFrame:
@@ -251,12 +255,11 @@ def best_items(
 ) -> DataFrame:
     """``personal_rank`` on a graph that is built already, for one target after another."""
     walk = walk_from(graph, target, **walk_options)
-    own = walk.first_items().withColumnRenamed("node", "item")
     # Beyond twelve digits scores differ by the order of adding alone.
     order = [twelve_digits(F.col("score")).desc(), id_order(F.col("item_id")).asc()]
     best = (
         _item_scores(walk, include_unreached)
-        .join(own, "item", "left_anti")
+        .join(walk.own_items(), "item", "left_anti")
         .orderBy(*order)
         .limit(top)
     )

@@ -70,6 +70,11 @@ def test_unknown_target_keeps_its_restart(golden):
 def test_include_unreached_adds_zeros(golden):
     dense = _scores(rank_scores(deep_pairs(golden), "1", include_unreached=True, max_iter=1))
     assert dense[("item", "11")] == 0.0 and dense[("user", "2")] == 0.0
+    for rounds in (0, 1):
+        (row,) = personal_rank(
+            deep_pairs(golden), "1", include_unreached=True, max_iter=rounds
+        ).collect()
+        assert (row.item_id, row.score) == ("11", 0.0)
     rows = personal_rank(deep_pairs(golden), "unknown", include_unreached=True).collect()
     assert [(r.item_id, r.score) for r in rows] == [("9", 0.0), ("10", 0.0), ("11", 0.0)]
 
