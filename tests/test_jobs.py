@@ -1,8 +1,10 @@
 from pathlib import Path
+from unittest.mock import Mock
 
 import pytest
 from conftest import GOLDEN
 
+from shoptrail.__main__ import main
 from shoptrail.constants import DEEP_BEHAVIORS
 from shoptrail.operators.counts import log_counts
 from shoptrail.operators.pairs import deep_pairs, written_pairs
@@ -60,6 +62,29 @@ def test_the_four_jobs(spark, raw_log, tmp_path):
         ]
 
 
+def test_command_line(spark, raw_log, tmp_path, capsys):
+    out = str(tmp_path)
+    main(["features", raw_log, out])
+    assert "7 of 10 lines" in capsys.readouterr().out
+    main(["pairs", f"{out}/clean_behavior_log.parquet", out, "--form", "parquet", "--top", "1"])
+    assert _read(f"{out}/item_co_occurrence.txt") == ["9,10\t2"]
+    main(["clusters", f"{out}/user_features.csv", out, "--k", "2"])
+    assert len(_read(f"{out}/cluster_centers.txt")) == 2
+    main(["recommend", f"{out}/clean_behavior_log.csv", "1", out, "--alpha", "0.5"])
+    assert _read(f"{out}/personal_rank_recommendations.txt")[0].startswith("1\t11:")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    session = Mock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "yarn"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    session.conf.get.return_value = "/shared/"
+    assert shared_folder(session) == "/shared"
+
+
 def test_views_are_not_read_for_deep_pairs(spark, golden, tmp_path):
     path = str(tmp_path / "log.parquet")
     exports.write_table(golden, path, "behavior")
