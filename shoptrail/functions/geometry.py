@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Up to this many centres the comparison is unrolled into generated code.
-_UNROLLED = 48
+# Up to this many centres the comparison is unrolled into generated code; with
+# twice as many the generated method is too long for the JVM to compile.
+_UNROLLED = 16
 
 
 def distance(point: Sequence[Column], centre: Sequence[Column]) -> Column:
