@@ -18,6 +18,11 @@ def as_long(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+def is_plain_number(c: Column) -> Column:
+    """Whether ``c`` is a whole number written the way Spark writes it."""
+    return F.coalesce(as_long(c).cast("string") == c, F.lit(False))
+
+
 def as_double(c: Column) -> Column:
     """The finite number in ``c``; null for anything else."""
     d = c.try_cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.functions.text import id_order
+from shoptrail.functions.text import id_order, is_plain_number
 from shoptrail.operators.pairs import attach, degrees, without, written_pairs
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
@@ -13,9 +13,13 @@ from shoptrail.sources.durable import durable
 BLOCK_USERS = 100_000
 
 
-def _sorted_ids(c: str) -> Column:
+def _sorted_ids(ids: Column, numbers: bool) -> Column:
+    """All ``ids`` of a group in id order."""
+    if numbers:
+        ordered = F.sort_array(F.collect_list(ids.cast("bigint")))
+        return F.transform(ordered, lambda n: n.cast("string"))
     # Only ids are shuffled; their sort keys are made after it.
-    ordered = F.sort_array(F.transform(F.collect_list(c), id_order))
+    ordered = F.sort_array(F.transform(F.collect_list(ids), id_order))
     return F.transform(ordered, lambda s: s["id"])
 
 
@@ -38,7 +42,10 @@ def item_user_index(pairs: DataFrame, block_users: int = BLOCK_USERS) -> DataFra
         rows = pairs.count()
         small = without(pairs, large, "item_id", rows).select("user_id", "item_id", first)
         blocked = small.unionByName(_cut(attach(pairs, large, "item_id", rows), block_users))
-    return blocked.groupBy("item_id", "block").agg(_sorted_ids("user_id").alias("users"))
+    user = F.col("user_id")
+    # Where all ids are plain numbers, which one scan tells, they sort as such.
+    numbers = pairs.where(~is_plain_number(user)).isEmpty()
+    return blocked.groupBy("item_id", "block").agg(_sorted_ids(user, numbers).alias("users"))
 
 
 def _cut(pairs: DataFrame, block_users: int) -> DataFrame:

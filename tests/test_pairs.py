@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from brute_force import id_key, items_of, top_pairs
 
-from shoptrail.functions.text import id_order
+from shoptrail.functions.text import id_order, is_plain_number
 from shoptrail.operators import pairs as pairs_module
 from shoptrail.operators.co_occurrence import item_co_occurrence
 from shoptrail.operators.index import item_user_index
@@ -37,6 +37,13 @@ def test_deep_pairs_and_index_golden(golden):
     assert index == {("9", 0): ["1", "2"], ("10", 0): ["1", "2"], ("11", 0): ["2"]}
 
 
+def test_plain_numbers(spark):
+    ids = {"0": True, "12": True, "-3": True, "07": False, "+1": False, "1a": False, "": False}
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    plain = df.select("id", is_plain_number(F.col("id")).alias("plain")).collect()
+    assert {r.id: r.plain for r in plain} == ids
+
+
 def test_id_order_is_total(spark):
     ids = ["9", "10", "1a", "07", "7", "", "-3", "b", "99999999999999999999"]
     df = spark.createDataFrame([(i,) for i in ids], "id string")
@@ -70,10 +77,12 @@ def test_attach_is_an_inner_join(pairs_of, monkeypatch, share, limit):
 
 
 @pytest.mark.parametrize("block_users", [1, 7, 20, 1000])
-@pytest.mark.parametrize("broadcast_keys", [0, 1000])
-def test_index_blocks_join_to_the_whole_list(pairs_of, monkeypatch, block_users, broadcast_keys):
+@pytest.mark.parametrize(("broadcast_keys", "hot"), [(0, "hot"), (1000, "-12"), (1000, "007")])
+def test_index_blocks_join_to_the_whole_list(
+    pairs_of, monkeypatch, block_users, broadcast_keys, hot
+):
     monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", broadcast_keys)
-    pairs = skewed_pairs(2)
+    pairs = {(hot if u == "hot" else u, i) for u, i in skewed_pairs(2)}
     rows = item_user_index(pairs_of(pairs), block_users).orderBy("item_id", "block").collect()
     lists = defaultdict(list)
     for r in rows:
