@@ -14,6 +14,8 @@ from shoptrail.sources.durable import durable
 HOT_PER_PARTITION = 4
 # The most keys that are broadcast; a whole table only after it was counted.
 BROADCAST_KEYS = 100_000
+# The most keys of one shuffle partition that are hashed for a join, not sorted.
+HASH_KEYS = 500_000
 
 
 def deep_pairs(log: DataFrame) -> DataFrame:
@@ -44,12 +46,21 @@ def degrees(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _is_hot(keyed: DataFrame, rows: int) -> Column:
-    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = min(HOT_PER_PARTITION * partitions, BROADCAST_KEYS)
+    share = min(HOT_PER_PARTITION * _partitions(keyed), BROADCAST_KEYS)
     return F.col("degree") * share > F.lit(rows)
 
 
+def _cold_keys(keyed: DataFrame, rows: int, keys: int) -> DataFrame:
+    """The other keys, as the hashed side of a join if they are few enough."""
+    cold = keyed.where(~_is_hot(keyed, rows))
+    return cold.hint("shuffle_hash") if keys <= HASH_KEYS * _partitions(keyed) else cold
+
+
 def hot_keys(keyed: DataFrame, rows: int) -> DataFrame:
     """Keys with so many of the ``rows`` rows that one task should not get them all."""
     return keyed.where(_is_hot(keyed, rows))
@@ -63,10 +74,11 @@ def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
     hot keys meet a broadcast of the hot keys and never move, and the rest is
     an ordinary join in which no key weighs down a partition.
     """
-    if keyed.count() <= BROADCAST_KEYS:
+    keys = keyed.count()
+    if keys <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed), key)
     big = durable(big, "to-join")  # both parts read it
-    hot, cold = hot_keys(keyed, rows), keyed.where(~_is_hot(keyed, rows))
+    hot, cold = hot_keys(keyed, rows), _cold_keys(keyed, rows, keys)
     hot_rows = big.join(F.broadcast(hot), key)
     cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return hot_rows.unionByName(cold_rows)
@@ -77,9 +89,8 @@ def without(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
 
     For keys that are not in ``keyed`` and are not hot.
     """
-    if keyed.count() <= BROADCAST_KEYS:
+    keys, keyed = keyed.count(), keyed.select(key, "degree")
+    if keys <= BROADCAST_KEYS:
         return big.join(F.broadcast(keyed.select(key)), key, "left_anti")
-    hot, cold = hot_keys(keyed, rows), keyed.where(~_is_hot(keyed, rows))
-    return big.join(F.broadcast(hot.select(key)), key, "left_anti").join(
-        cold.select(key), key, "left_anti"
-    )
+    hot, cold = hot_keys(keyed, rows), _cold_keys(keyed, rows, keys)
+    return big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left_anti")

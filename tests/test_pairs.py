@@ -60,9 +60,11 @@ def test_positions(spark, partitions):
 
 
 @pytest.mark.parametrize(("share", "limit"), [(0, 0), (1, 50), (4, 50), (100, 50), (4, 1000)])
-def test_attach_is_an_inner_join(pairs_of, monkeypatch, share, limit):
+@pytest.mark.parametrize("hashed", [0, 500_000])
+def test_attach_is_an_inner_join(pairs_of, monkeypatch, share, limit, hashed):
     monkeypatch.setattr(pairs_module, "HOT_PER_PARTITION", share)
     monkeypatch.setattr(pairs_module, "BROADCAST_KEYS", limit)
+    monkeypatch.setattr(pairs_module, "HASH_KEYS", hashed)
     pairs = skewed_pairs(1)
     df = pairs_of(pairs)
     keyed = degrees(df, "item_id").where("item_id <> '3'")
