@@ -106,14 +106,15 @@ def _all_counts(
     hot_users: int,
 ) -> DataFrame:
     """Users per item pair, ``(a, b, cnt)``, for all pairs that reach ``floor``."""
-    users = degrees(kept, "user_id")
+    large = durable(
+        degrees(kept, "user_id").where(F.col("degree") > list_items), "large-users"
+    )
     # One row: how many users have more items than each of the cuts.
     cuts = [list_items << i for i in range(40)]
-    sizes = users.agg(*[F.count_if(F.col("degree") > c) for c in cuts]).first()
+    sizes = large.agg(*[F.count_if(F.col("degree") > c) for c in cuts]).first()
     if sizes[0] == 0:
         return _count_lists(kept, hot_items).where(F.col("cnt") >= floor)
 
-    large = durable(users.where(F.col("degree") > list_items), "large-users")
     rows = kept.count()
     counts = _count_lists(without(kept, large, "user_id", rows), hot_items)
     if sizes[0] > _may_set_aside(floor, hot_users):
