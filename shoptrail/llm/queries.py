@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shoptrail.llm.line_dedup import dedup_lines
+from shoptrail.llm.mixing import mix
+from shoptrail.llm.sharding import place
 from shoptrail.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,13 +19,52 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _mixed_sizes(docs: DataFrame) -> DataFrame:
+    """A row per document with the words the mix takes."""
+    row = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("row")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", taken, row).drop("row")
+
+
+def _line_digests(docs: DataFrame) -> DataFrame:
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+# Lines by document: blanks off both ends, A to Z in lower case.
+_LINE_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed
+  WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (first <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                       FILTER (first IS NULL OR first = doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN firsts USING (key)
+GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_near_dedup": lambda spark, sf_dir: simhash_groups(
             _documents(spark, sf_dir)
         ),
+        "op4_source_mixing": lambda spark, sf_dir: _mixed_sizes(_documents(spark, sf_dir)),
+        "op5_sharding": lambda spark, sf_dir: place(_documents(spark, sf_dir)).select(
+            "doc_id", "slot", "shard"
+        ),
+        "op8_line_dedup": lambda spark, sf_dir: _line_digests(_documents(spark, sf_dir)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_line_dedup": _LINE_SQL}
