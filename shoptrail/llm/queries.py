@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail.llm.decontaminate import benchmark_copies
 from shoptrail.llm.line_dedup import dedup_lines
 from shoptrail.llm.mixing import mix
 from shoptrail.llm.sharding import place
@@ -63,6 +64,9 @@ def queries() -> dict[str, Query]:
             "doc_id", "slot", "shard"
         ),
         "op8_line_dedup": lambda spark, sf_dir: _line_digests(_documents(spark, sf_dir)),
+        "op9_decontamination": lambda spark, sf_dir: benchmark_copies(
+            _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+        ),
     }
 
 
