@@ -31,6 +31,9 @@ _NOT_LETTERS = bytes(c for c in range(256) if not (65 <= c <= 90 or 97 <= c <= 1
 _CONTINUED = bytes(range(0x80, 0xC0))
 _ENDS = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)")
 
+# Words that end in what ends no word of prose.
+_ODD_ENDS = re.compile(rb"[^\x20\x09-\x0Da-zA-Z0-9.,;:!?)\"'\x80-\xff](?=[\x20\x09-\x0D]|$)")
+
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -45,16 +48,11 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
         return 0
     number: dict[bytes, int] = {}
     ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
-    gram = np.zeros(n, np.int64)
-    for i in range(window):
-        # Renumbered at each step, so that no text is too long for 63 bits.
+    gram = ids[:n]
+    for i in range(1, window):
+        if i > 1 and len(number) ** (i + 1) >= 1 << 62:  # numbered anew, to fit
+            gram = np.unique(gram, return_inverse=True)[1]
         gram = gram * len(number) + ids[i : i + n]
-        if i < window - 1:
-            continue
-    if len(number) ** window >= 1 << 62:
-        _, gram = np.unique(
-            np.stack([ids[i : i + n] for i in range(window)], axis=1), axis=0, return_inverse=True
-        )
     order = np.argsort(gram, kind="stable")
     ordered = gram[order]
     same = ordered[1:] == ordered[:-1]
@@ -91,16 +89,17 @@ def _band(value: float, good: float, bad: float) -> int:
 
 # The rules: what they look at, and where they vote for and against.
 RULES = (
-    ("words", 80, 50),
     ("word_length_low", 3.0, 2.2),
     ("word_length_high", 9.0, 14.0),
-    ("symbols_per_word", 0.05, 0.2),
-    ("dup_line_share", 0.1, 0.5),
-    ("repeated_share", 0.2, 0.5),
+    ("symbols_per_word", 0.02, 0.15),
+    ("odd_ends_share", 0.03, 0.2),
+    ("letter_share", 0.9, 0.8),
+    ("dup_line_share", 0.1, 0.35),
+    ("repeated_share", 0.1, 0.4),
+    ("distinct_share", 0.5, 0.25),
     ("upper_share", 0.15, 0.6),
-    ("letter_share", 0.75, 0.55),
-    ("distinct_share", 0.35, 0.15),
-    ("words_per_sentence", 60.0, 200.0),
+    ("shouted_share", 0.02, 0.2),
+    ("words_per_sentence", 40.0, 120.0),
 )
 
 
@@ -108,18 +107,18 @@ def rule_values(text: bytes, words: list[bytes], base: tuple[int, ...]) -> tuple
     """What each of ``RULES`` looks at."""
     n, chars, symbols, dup_lines, repeated = base
     letters = len(text.translate(None, _NOT_LETTERS))
-    lines = text.count(b"\n") + 1
     some, packed = max(1, n), max(1, sum(map(len, words)))
     return (
-        n,
         chars / some,
         chars / some,
         symbols / some,
-        dup_lines / lines,
+        len(_ODD_ENDS.findall(text)) / some,
+        letters / packed,
+        dup_lines / (text.count(b"\n") + 1),
         repeated / some,
+        len(set(words)) / some**0.8,
         len(text.translate(None, _NOT_UPPER)) / max(1, letters),
-        letters / packed,
-        len(set(words)) / some ** 0.75,
+        text.count(b"!") / some,
         n / max(1, len(_ENDS.findall(text))),
     )
 

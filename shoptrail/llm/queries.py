@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from shoptrail.llm.decontaminate import benchmark_copies
 from shoptrail.llm.line_dedup import dedup_lines
 from shoptrail.llm.mixing import mix
+from shoptrail.llm.quality_gam import quality_scores
+from shoptrail.llm.quality_rules import judge
 from shoptrail.llm.sharding import place
 from shoptrail.llm.simhash import simhash_groups
+from shoptrail.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +62,8 @@ def queries() -> dict[str, Query]:
         "op1_simhash_near_dedup": lambda spark, sf_dir: simhash_groups(
             _documents(spark, sf_dir)
         ),
+        "op2_token_counts": lambda spark, sf_dir: token_counts(_documents(spark, sf_dir)),
+        "op3_quality_rules": lambda spark, sf_dir: judge(_documents(spark, sf_dir)),
         "op4_source_mixing": lambda spark, sf_dir: _mixed_sizes(_documents(spark, sf_dir)),
         "op5_sharding": lambda spark, sf_dir: place(_documents(spark, sf_dir)).select(
             "doc_id", "slot", "shard"
@@ -67,6 +72,9 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": lambda spark, sf_dir: benchmark_copies(
             _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
         ),
+        "op10_quality_classifier": lambda spark, sf_dir: quality_scores(
+            _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+        ),
     }
 
 

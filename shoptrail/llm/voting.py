@@ -41,12 +41,16 @@ class Votes:
         return right / (right + wrong)
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, share: float = 0.5) -> Votes:
+def estimate(
+    patterns: np.ndarray, counts: np.ndarray, share: float, doubt: float = 0.25
+) -> Votes:
     """Expectation-maximisation over distinct vote ``patterns`` seen ``counts`` times.
 
-    It starts from the prior, under which every labeller is better than chance,
-    and the prior's weight stays at a hundredth of the rows, so that labellers
-    that rarely vote keep it. Without rows the prior is the result.
+    It starts from what the votes against say: none leaves a row "for", each
+    multiplies its chance by ``doubt``; rows that nobody votes for or against
+    have chance ``share``. The prior, by which labellers are better than chance,
+    weighs as much as a hundredth of the rows, so that labellers that rarely
+    vote keep it. Without rows the prior is the result.
     """
     patterns = np.asarray(patterns, int)
     counts = np.asarray(counts, float)
@@ -55,18 +59,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, share: float = 0.5) -> Vo
     weight = max(1.0, total / 100) / (PRIOR_RIGHT + PRIOR_WRONG + PRIOR_ABSTAIN)
     good = np.array([PRIOR_WRONG, PRIOR_ABSTAIN, PRIOR_RIGHT])
     prior = weight * np.stack([np.tile(good[::-1], (labellers, 1)), np.tile(good, (labellers, 1))])
-    chance = prior / prior.sum(axis=2, keepdims=True)
     cast = np.stack([patterns == v for v in (AGAINST, ABSTAIN, FOR)], axis=2)
-    result = Votes(share, chance)
+    against = (patterns == AGAINST).sum(axis=1)
+    chance_for = np.where((patterns != ABSTAIN).any(axis=1), doubt ** against, share)
+    result = None
     for _ in range(ROUNDS):
-        of_for = result.posterior(patterns) * counts
-        seen = np.stack(
+        of_for = chance_for * counts
+        seen = prior + np.stack(
             [np.tensordot(counts - of_for, cast, 1), np.tensordot(of_for, cast, 1)]
-        ) + prior
+        )
         chance = seen / seen.sum(axis=2, keepdims=True)
         now = (of_for.sum() + share * weight) / (counts.sum() + weight)
-        done = abs(now - result.share) < 1e-12 and np.allclose(chance, result.chance, 0, 1e-10)
         result = Votes(float(np.clip(now, 1e-9, 1 - 1e-9)), chance)
-        if done:
+        before, chance_for = chance_for, result.posterior(patterns)
+        if np.allclose(before, chance_for, 0, 1e-10):
             break
     return result
