@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.llm.decontaminate import benchmark_copies
+from shoptrail.llm.language import identify
 from shoptrail.llm.line_dedup import dedup_lines
 from shoptrail.llm.mixing import mix
 from shoptrail.llm.quality_gam import quality_scores
@@ -68,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op5_sharding": lambda spark, sf_dir: place(_documents(spark, sf_dir)).select(
             "doc_id", "slot", "shard"
         ),
+        "op7_language_id": lambda spark, sf_dir: identify(_documents(spark, sf_dir)),
         "op8_line_dedup": lambda spark, sf_dir: _line_digests(_documents(spark, sf_dir)),
         "op9_decontamination": lambda spark, sf_dir: benchmark_copies(
             _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
