@@ -10,7 +10,7 @@ N-grams are hashed to 20 bits per order, so a model has at most 2 ** 20 entries
 order and language however large the corpus is. That bounds what is broadcast.
 
 A text is rejected where its cross-entropy is far above what the training
-documents of the language have at that length.
+documents of the language have, and nearer to what a foreign language has.
 """
 
 from __future__ import annotations
@@ -288,9 +288,12 @@ def _scored(docs: DataFrame, models: Models) -> DataFrame:
             any_ = ~np.isnan(found).any(axis=1) & (found.shape[1] > 0)
             best = np.full(len(texts), len(languages) - 1)
             lowest, score = np.zeros(len(texts)), np.zeros(len(texts))
+            second = np.full(len(texts), np.nan)
             if any_.any():
                 some = found[any_]
                 best[any_], lowest[any_] = some.argmin(axis=1), some.min(axis=1)
+                if some.shape[1] > 1:
+                    second[any_] = np.partition(some, 1, axis=1)[:, 1]
                 odds = (some - some.min(axis=1, keepdims=True)) * np.minimum(length[any_], 50)[:, None]
                 score[any_] = 1 / np.exp(-odds).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -298,31 +301,33 @@ def _scored(docs: DataFrame, models: Models) -> DataFrame:
                 + [
                     pa.array(languages[best].tolist(), pa.string()),
                     pa.array(np.where(any_, lowest, np.nan), from_pandas=True),
+                    pa.array(second, from_pandas=True),
                     pa.array(length),
                     pa.array(score),
                 ],
-                names=[*kept, "lang_pred", "cross_entropy", "letters", "score"],
+                names=[*kept, "lang_pred", "cross_entropy", "second", "letters", "score"],
             )
 
     before = ", ".join(f"{name} {kind}" for name, kind in docs.select(*kept).dtypes)
-    more = "lang_pred string, cross_entropy double, letters long, score double"
+    more = "lang_pred string, cross_entropy double, second double, letters long, score double"
     return docs.mapInArrow(run, f"{before}, {more}")
 
 
 def _limits(scored: DataFrame) -> DataFrame:
     """Per language and length class the greatest cross-entropy that is accepted.
 
-    It is well above what training documents of the language have, both at this
-    length and at all lengths. At most 64 rows a language.
+    It is the middle between what training documents of the language have and
+    what the next best language would give them, or more where their spread
+    asks for it. At most 64 rows a language.
     """
     right = scored.where(F.col("training") & (F.col("lang") == F.col("lang_pred")))
-
-    def high(by: list[str], name: str) -> DataFrame:
-        limit = F.avg("cross_entropy") + REJECT_FROM * F.stddev_pop("cross_entropy")
-        return right.groupBy(*by).agg(limit.alias(name))
-
-    both = high(["lang_pred", "length"], "at_length").join(high(["lang_pred"], "at_any"), "lang_pred")
-    return both.select("lang_pred", "length", F.greatest("at_length", "at_any").alias("limit"))
+    spread = F.avg("cross_entropy") + REJECT_FROM * F.stddev_pop("cross_entropy")
+    middle = (F.avg("cross_entropy") + F.avg("second")) / 2
+    at_any = right.groupBy("lang_pred").agg(F.greatest(spread, middle).alias("at_any"))
+    at_length = right.groupBy("lang_pred", "length").agg(spread.alias("at_length"))
+    return at_length.join(at_any, "lang_pred").select(
+        "lang_pred", "length", F.greatest("at_length", "at_any").alias("limit")
+    )
 
 
 def identify(docs: DataFrame) -> DataFrame:
