@@ -313,21 +313,19 @@ def _scored(docs: DataFrame, models: Models) -> DataFrame:
     return docs.mapInArrow(run, f"{before}, {more}")
 
 
-def _limits(scored: DataFrame) -> DataFrame:
-    """Per language and length class the greatest cross-entropy that is accepted.
+def _limits(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The greatest cross-entropies that are accepted, per language and at each length.
 
-    It is the middle between what training documents of the language have and
+    Per language it is the middle between what its training documents have and
     what the next best language would give them, or more where their spread
-    asks for it. At most 64 rows a language.
+    asks for it, as it does at some lengths. At most 64 rows a language.
     """
     right = scored.where(F.col("training") & (F.col("lang") == F.col("lang_pred")))
     spread = F.avg("cross_entropy") + REJECT_FROM * F.stddev_pop("cross_entropy")
     middle = (F.avg("cross_entropy") + F.avg("second")) / 2
     at_any = right.groupBy("lang_pred").agg(F.greatest(spread, middle).alias("at_any"))
     at_length = right.groupBy("lang_pred", "length").agg(spread.alias("at_length"))
-    return at_length.join(at_any, "lang_pred").select(
-        "lang_pred", "length", F.greatest("at_length", "at_any").alias("limit")
-    )
+    return F.broadcast(at_any), F.broadcast(at_length)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -356,8 +354,12 @@ def _identified(docs: DataFrame) -> DataFrame:
     models = train(rows.where("training"))
     length = F.floor(F.log2(F.col("letters") + 1)).cast("int").alias("length")
     scored = durable(_scored(rows, models).select("*", length), "languages")
-    limited = scored.join(F.broadcast(_limits(scored)), ["lang_pred", "length"], "left")
-    fits = F.coalesce(F.col("cross_entropy") <= F.col("limit"), F.lit(True))
+    at_any, at_length = _limits(scored)
+    limited = scored.join(at_any, "lang_pred", "left").join(
+        at_length, ["lang_pred", "length"], "left"
+    )
+    limit = F.greatest("at_any", "at_length")
+    fits = F.coalesce(F.col("cross_entropy") <= limit, F.lit(True))
     return limited.select(
         "doc_id",
         "text_key",
