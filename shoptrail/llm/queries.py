@@ -11,6 +11,7 @@ from shoptrail.llm.decontaminate import benchmark_copies
 from shoptrail.llm.language import identify
 from shoptrail.llm.line_dedup import dedup_lines
 from shoptrail.llm.mixing import mix
+from shoptrail.llm.pii import find_pii
 from shoptrail.llm.quality_gam import quality_scores
 from shoptrail.llm.quality_rules import judge
 from shoptrail.llm.sharding import place
@@ -69,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op5_sharding": lambda spark, sf_dir: place(_documents(spark, sf_dir)).select(
             "doc_id", "slot", "shard"
         ),
+        "op6_pii": lambda spark, sf_dir: find_pii(_documents(spark, sf_dir)),
         "op7_language_id": lambda spark, sf_dir: identify(_documents(spark, sf_dir)),
         "op8_line_dedup": lambda spark, sf_dir: _line_digests(_documents(spark, sf_dir)),
         "op9_decontamination": lambda spark, sf_dir: benchmark_copies(
