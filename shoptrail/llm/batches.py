@@ -5,16 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Exactly what bytes.split() splits at.
 BLANKS = "\x20\t\n\x0b\x0c\r"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-Rows = Callable[[list, pa.RecordBatch], dict]
-
-
 def documents(docs: DataFrame, *more) -> DataFrame:
     """``doc_id`` and ``text`` alone, with ``more`` columns; whatever else ``docs`` has."""
     return docs.select(
@@ -22,6 +19,24 @@ def documents(docs: DataFrame, *more) -> DataFrame:
     )
 
 
+def text_key() -> Column:
+    """A hash of the text, which with the id tells the rows of a table apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def id_or_last() -> Column:
+    """``doc_id`` as joins and sorts take it: no id comes after all ids."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
+
+
+def keyed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Whole rows as ``row``, whatever their columns, with ``id`` and ``text_key``."""
+    named = [c.alias(name) for name, c in more.items()]
+    return docs.select(
+        F.struct("*").alias("row"), id_or_last().alias("id"), text_key().alias("text_key"), *named
+    )
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from shoptrail.llm.batches import LOWER, as_bytes, documents
 
 NGRAM = 3
-MIN_SCORE = 0.6
+MIN_SCORE = 0.5
 # The most words of all items together, which bounds what is broadcast.
 MOST_ITEM_WORDS = 5_000_000
 # An item keeps at least this many seeds, if it has as many n-grams.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import documents
+from shoptrail.llm.batches import documents, id_or_last, keyed, text_key
 from shoptrail.operators.pairs import BROADCAST_KEYS
 from shoptrail.sources.durable import durable
 
@@ -249,13 +249,15 @@ def train(docs: DataFrame) -> Models:
 
 
 def _models(languages: list[str], every: pa.Table) -> Models:
+    if not languages:
+        return Models([], {}, {})
     lang = every.column("lang").to_numpy(zero_copy_only=False).astype(str)
     kind = every.column("kind").to_numpy(zero_copy_only=False).astype(str)
     n, slot = every.column("n").to_numpy(), every.column("slot").to_numpy()
     value = every.column("value").to_numpy()
     new = np.append(True, (lang[1:] != lang[:-1]) | (kind[1:] != kind[:-1]) | (n[1:] != n[:-1]))
     tables, unseen = {}, {}
-    starts = np.flatnonzero(new) if len(n) else np.empty(0, int)
+    starts = np.flatnonzero(new)
     for low, high in zip(starts, np.append(starts[1:], len(n)), strict=True):
         key = (str(lang[low]), str(kind[low]), int(n[low]))
         tables[key] = slot[low:high], value[low:high].astype(np.float32)
@@ -349,7 +351,7 @@ def _identified(docs: DataFrame) -> DataFrame:
         docs,
         F.col("lang").cast("string"),
         in_training().alias("training"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        text_key().alias("text_key"),
     )
     models = train(rows.where("training"))
     length = F.floor(F.log2(F.col("letters") + 1)).cast("int").alias("length")
@@ -373,19 +375,12 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is accepted, with all their columns."""
-    last = F.lit((1 << 63) - 1)
     rejected = durable(
         _identified(docs)
         .where(~F.col("accepted"))
-        .select(F.coalesce("doc_id", last).alias("_id"), F.col("text_key").alias("_text_key"))
+        .select(id_or_last().alias("id"), "text_key")
         .distinct(),
         "rejected",
     )
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("bigint"), last),
-            "_text_key": F.xxhash64(F.col("text").cast("string")),
-        }
-    )
     few = F.broadcast(rejected) if rejected.count() <= BROADCAST_KEYS else rejected
-    return keyed.join(few, ["_id", "_text_key"], "left_anti").select(*docs.columns)
+    return keyed(docs).join(few, ["id", "text_key"], "left_anti").select("row.*")

@@ -17,14 +17,12 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import BLANKS, documents
+from shoptrail.llm.batches import BLANKS, documents, id_or_last, text_key
 from shoptrail.sources.durable import durable
 
 MIN_CHARS = 10
 # The sketch finds every line with more than about a 3,750th of all rows.
 TRACKED = 10_000
-# Rows without an id count as one document, after all others.
-_LAST = (1 << 63) - 1
 
 
 def _lower(c: Column) -> Column:
@@ -93,10 +91,7 @@ def _runs(dropped: Column, n_lines: Column) -> Column:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return documents(docs).select(
-        F.coalesce("doc_id", F.lit(_LAST)).alias("id"),
-        F.xxhash64("text").alias("text_key"),
-        "doc_id",
-        "text",
+        id_or_last().alias("id"), text_key().alias("text_key"), "doc_id", "text"
     )
 
 

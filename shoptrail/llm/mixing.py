@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import documents
+from shoptrail.llm.batches import documents, id_or_last, keyed
 from shoptrail.operators.pairs import BROADCAST_KEYS
 from shoptrail.sources.durable import durable
 
@@ -253,22 +253,10 @@ def mix(
 
 def mixed(docs: DataFrame, **wishes) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` takes it."""
-    last = F.lit((1 << 63) - 1)
-    names = {"doc_id": "_id", "source": "_source", "size": "_size"}
-
-    def keyed(df: DataFrame, size: Column) -> DataFrame:
-        # Null ids and sources in words the join can hash.
-        return df.withColumns(
-            {
-                "_id": F.coalesce(F.col("doc_id").cast("bigint"), last),
-                "_source": F.concat(F.lit("="), F.col("source").cast("string")),
-                "_size": size,
-            }
-        ).withColumn("_source", F.coalesce("_source", F.lit("")))
-
-    taken = keyed(mix(docs, **wishes).where(F.col("copies") > 0), F.col("size"))
-    joined = keyed(docs, n_words(F.col("text").cast("string"))).join(
-        taken.select(*names.values(), F.col("copies").alias("_copies")), [*names.values()]
-    )
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return joined.select(*docs.columns, copy).select(*docs.columns)
+    # A missing source is in words the join can hash, and like no other.
+    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    taken = mix(docs, **wishes).where(F.col("copies") > 0)
+    taken = taken.select(id_or_last().alias("id"), source.alias("from"), "size", "copies")
+    rows = keyed(docs, **{"from": source, "size": n_words(F.col("text").cast("string"))})
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    return rows.join(taken, ["id", "from", "size"]).select("row", copies).select("row.*")

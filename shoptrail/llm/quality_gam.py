@@ -197,11 +197,12 @@ def _labelled(counted: DataFrame, labels: DataFrame, most: int) -> tuple[np.ndar
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = (
         counted.join(F.broadcast(sample), "doc_id")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "quality")
+        .agg(F.min("features").alias("features"))
         .orderBy("doc_id")
         .collect()
     )
-    x = np.array([r["features"] for r in rows]).reshape(len(rows), -1)
+    x = np.array([r["features"] for r in rows]).reshape(len(rows), len(features(b"")))
     return x, np.array([r["quality"] for r in rows], float)
 
 
@@ -218,14 +219,14 @@ def quality_scores(
     is the probability of label 1, ``predicted`` is 1 from ``predict_from`` on.
     Null texts count as empty and are scored too; texts count whole. Rows
     without an id are scored and not held out. Repeated rows each get a row, and
-    are fitted to once. Without labels all scores are 0.5.
+    are fitted to once, by
+    the least of their features. Without labels all scores are 0.5.
     """
     counted = durable(
         per_text(documents(docs), lambda t: (features(t),), "features array<double>"), "features"
     )
     x, y = _labelled(counted, labels, most_labelled)
-    width = len(features(b""))
-    model = fit(x.reshape(len(y), width), y)
+    model, width = fit(x, y), x.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import LOWER, documents, per_text
+from shoptrail.llm.batches import LOWER, documents, id_or_last, keyed, per_text, text_key
 from shoptrail.llm.components import connected
 from shoptrail.sources.durable import durable
 
@@ -75,7 +75,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, text_key, fingerprint)`` per row; ``text_key`` tells a row's texts apart."""
-    keyed = documents(docs, F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    keyed = documents(docs, text_key().alias("text_key"))
     return per_text(keyed, lambda t: (fingerprint(t, shingle),), "fingerprint long")
 
 
@@ -349,14 +349,8 @@ def near_distinct(
     """
     prints = durable(fingerprints(docs, shingle), "fingerprints")
     groups = _groups(prints, max_bits, block)
-    # A missing id is put in words the join can hash and sort by.
-    last = F.lit((1 << 63) - 1)
-    first = groups.where(F.col("first") == F.col("best")).select(
-        F.coalesce("best.doc_id", last).alias("_id"), F.col("best.text_key").alias("_text_key")
-    )
-    keyed = docs.withColumns(
-        {"_id": F.coalesce("doc_id", last), "_text_key": F.xxhash64(F.col("text").cast("string"))}
-    )
+    first = groups.where(F.col("first") == F.col("best")).select("best.*")
+    first = first.select(id_or_last().alias("id"), "text_key")
     # The join leaves the rows of an id together, so nothing moves again.
-    kept = keyed.join(first, ["_id", "_text_key"], "left_semi")
-    return kept.dropDuplicates(["_id", "_text_key"]).select(*docs.columns)
+    kept = keyed(docs).join(first, ["id", "text_key"], "left_semi")
+    return kept.dropDuplicates(["id", "text_key"]).select("row.*")

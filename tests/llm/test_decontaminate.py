@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+
+from shoptrail.llm.decontaminate import GAP, MATCH, MISMATCH, align, benchmark_copies, without_copies
+
+
+def plain_score(a, b):
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            gain = MATCH if a[i - 1] == b[j - 1] and a[i - 1] else MISMATCH
+            h[i, j] = max(0, h[i - 1, j - 1] + gain, h[i - 1, j] + GAP, h[i, j - 1] + GAP)
+    return h.max()
+
+
+def test_alignment_scores_equal_the_table():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        a, b = rng.integers(1, 5, rng.integers(1, 12)), rng.integers(0, 5, rng.integers(1, 20))
+        padded = np.append(a, [-1] * int(rng.integers(0, 4)))
+        score, low, high = align(padded[None], b[None])
+        assert score[0] == plain_score(a, b)
+        if score[0]:
+            assert plain_score(a, b[low[0] : high[0]]) == score[0]
+
+
+def edited(words, rng, share):
+    out = []
+    for w in words:
+        r = rng.random()
+        if r < share / 3:
+            continue
+        out.append(f"new{rng.randrange(99)}" if r < share * 2 / 3 else w)
+        if r > 1 - share / 3:
+            out.append(f"more{rng.randrange(99)}")
+    return out
+
+
+def planted(seed, n=300):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    common = ["the", "of", "and", "in", "to"]
+    text = lambda k: [rng.choice(common if rng.random() < 0.4 else vocabulary) for _ in range(k)]
+    items = {i: text(rng.randint(20, 60)) for i in range(12)}
+    rows, copies = [], set()
+    for d in range(n):
+        words = text(rng.randint(0, 400))
+        if d % 3 == 0:  # a third of all documents copy one item
+            item = 0 if d % 2 else rng.randrange(12)
+            share = rng.choice([0, 0, 0.1, 0.2])
+            at = rng.randint(0, len(words))
+            words[at:at] = edited(items[item], rng, share)
+            copies.add((d, item))
+        shown = " ".join(w.upper() + "," if rng.random() < 0.1 else w for w in words)
+        rows.append((d, shown))
+    return rows, [(i, " ".join(w)) for i, w in items.items()], copies
+
+
+def test_planted_and_edited_copies(docs_of, spark):
+    rows, items, copies = planted(1)
+    known = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(rows)
+    found = {(r["doc_id"], r["item_id"]) for r in benchmark_copies(docs, known).collect()}
+    assert found == copies
+    kept = {r["doc_id"] for r in without_copies(docs, known).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _ in copies}
+
+
+def test_passages_are_where_they_are(docs_of, spark):
+    known = spark.createDataFrame([(7, "alpha beta gamma delta epsilon")], "item_id long, text string")
+    docs = docs_of([(1, "one two. Alpha, beta; GAMMA delta epsilon three"), (2, "alpha beta gamma")])
+    found = benchmark_copies(docs, known, min_score=0.7).collect()
+    assert [tuple(r) for r in found] == [(1, 7, 1.0, 2, 7)]
+    lower = benchmark_copies(docs, known, min_score=0.5).collect()
+    assert {r["doc_id"]: r["score"] for r in lower} == {1: 1.0, 2: 0.6}
