@@ -8,8 +8,10 @@ from __future__ import annotations
 
 TARGET = "8"
 BLOCK_USERS = 20
+INDEX_USERS = 100_000
 KMEANS_ROUNDS = 20
 WALK_ROUNDS = 20
+STOP_TOL = 0.01
 
 EVENTS_LOG = """
 log AS (
@@ -28,11 +30,32 @@ log AS (
   SELECT CAST(o_custkey AS VARCHAR) AS user_id,
          CAST(l_partkey AS VARCHAR) AS item_id,
          CAST(l_suppkey AS VARCHAR) AS category_id,
-         'buy' AS behavior,
+         CASE WHEN l_returnflag = 'R' THEN 'pv' WHEN l_returnflag = 'A' THEN 'fav'
+              WHEN l_linenumber = 1 THEN 'cart' ELSE 'buy' END AS behavior,
          CAST(floor(epoch(o_orderdate)) AS BIGINT) AS ts
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 )"""
 
+KEYLESS_LOG = EVENTS_LOG.replace(
+    "FROM events", "FROM (SELECT * REPLACE (if(event_id % 7 = 0, '{}', props) AS props) FROM events)"
+)
+MIXED_LOG = f"""{EVENTS_LOG.replace("log AS", "plain_log AS")},
+log AS (
+  SELECT * REPLACE (CASE CAST(item_id AS BIGINT) % 3 WHEN 0 THEN 'x' || item_id
+                         WHEN 1 THEN '0' || item_id ELSE item_id END AS item_id)
+  FROM plain_log
+)"""
+PARTED_LOG = f"""{EVENTS_LOG.replace("log AS", "plain_log AS")},
+log AS (
+  SELECT * FROM plain_log WHERE (CAST(user_id AS BIGINT) + CAST(item_id AS BIGINT)) % 2 = 0
+)"""
+CATALOGUE_PAIRS = """
+pairs AS (
+  SELECT 'all' AS user_id, CAST(p_partkey AS VARCHAR) AS item_id FROM part
+  UNION
+  SELECT 'c' || c_custkey, CAST(c_custkey AS VARCHAR) FROM customer
+)"""
+
 EVENT_LINES = r"""
 fields AS (
   SELECT event_id % 20 AS damage,
@@ -137,6 +160,11 @@ features AS MATERIALIZED (
   SELECT user_id, {_scaled("f1")}, {_scaled("f2")}, {_scaled("f3")} FROM raw, extrema
 )"""
 
+COARSE = """
+features AS MATERIALIZED (
+  SELECT user_id, round(f1) AS f1, round(f2) AS f2, round(f3) AS f3 FROM fine_features
+)"""
+
 GRAPH = """
 nodes AS MATERIALIZED (
   SELECT 'user' AS kind, user_id AS id, count(*) AS degree FROM pairs GROUP BY user_id
@@ -177,28 +205,18 @@ ranked AS (
   ORDER BY cnt DESC, {_id_order("item_a")}, {_id_order("item_b")} LIMIT 1000
 )"""
 
-INDEX = f"""
-index AS (
-  SELECT item_id, CAST(0 AS BIGINT) AS block,
-         string_agg(user_id, ',' ORDER BY {_id_order("user_id")}) AS users
-  FROM pairs GROUP BY item_id
-)"""
-
-BLOCKS = f"""
-sizes AS (SELECT item_id, count(*) AS size FROM pairs GROUP BY item_id),
-positions AS (
-  SELECT user_id, row_number() OVER (ORDER BY {_id_order("user_id")}) - 1 AS position
-  FROM (SELECT DISTINCT user_id FROM pairs JOIN sizes USING (item_id) WHERE size > {BLOCK_USERS})
+def _index(block_users: int) -> str:
+    return f"""
+ranked_users AS (
+  SELECT item_id, user_id,
+         (row_number() OVER (PARTITION BY item_id ORDER BY {_id_order("user_id")}) - 1)
+           // {block_users} AS block
+  FROM pairs
 ),
-blocked AS (
-  SELECT item_id, user_id, CASE WHEN size > {BLOCK_USERS} THEN position // {BLOCK_USERS}
-                                ELSE 0 END AS block
-  FROM pairs JOIN sizes USING (item_id) LEFT JOIN positions USING (user_id)
-),
-blocks AS (
+index AS (
   SELECT item_id, CAST(block AS BIGINT) AS block,
          string_agg(user_id, ',' ORDER BY {_id_order("user_id")}) AS users
-  FROM blocked GROUP BY ALL
+  FROM ranked_users GROUP BY ALL
 )"""
 
 
@@ -267,6 +285,24 @@ best AS (
     return ",".join(parts)
 
 
+def _stopped(tol: float) -> str:
+    """The ranks of the first round in which none moved by more than ``tol``."""
+    shifts = "\nUNION ALL\n".join(
+        f"""SELECT {i + 1} AS round, max(abs(coalesce(n.score, 0) - coalesce(o.score, 0))) AS shift
+FROM r{i + 1} n FULL JOIN r{i} o ON n.kind = o.kind AND n.id = o.id"""
+        for i in range(WALK_ROUNDS)
+    )
+    every = "\nUNION ALL\n".join(
+        f"SELECT {i + 1} AS round, * FROM r{i + 1}" for i in range(WALK_ROUNDS)
+    )
+    return f"""
+shifts AS ({shifts}),
+last_round AS (
+  SELECT coalesce(min(round) FILTER (shift <= {tol}), {WALK_ROUNDS}) AS last FROM shifts
+),
+stopped AS (SELECT kind, id, score FROM ({every}) JOIN last_round ON round = last)"""
+
+
 def _on_log(log: str) -> dict[str, str]:
     def ask(select: str, *parts: str) -> str:
         return f"WITH {','.join([log, *parts])}\n{select}"
@@ -289,8 +325,8 @@ UNION ALL SELECT 'nodes', count(*) FROM nodes""",
             GRAPH,
         ),
         "deep_pairs": ask("SELECT * FROM pairs", PAIRS),
-        "item_user_index": ask("SELECT * FROM index", PAIRS, INDEX),
-        "item_user_index_blocks": ask("SELECT * FROM blocks", PAIRS, BLOCKS),
+        "item_user_index": ask("SELECT * FROM index", PAIRS, _index(INDEX_USERS)),
+        "item_user_index_blocks": ask("SELECT * FROM index", PAIRS, _index(BLOCK_USERS)),
         "item_co_occurrence_top1000": ask("SELECT * FROM ranked", PAIRS, CO_OCCURRENCE),
         "item_co_occurrence_large_users": ask("SELECT * FROM ranked", PAIRS, CO_OCCURRENCE),
         "graph_nodes": ask("SELECT * FROM nodes", PAIRS, GRAPH),
@@ -319,6 +355,44 @@ UNION ALL SELECT 'nodes', count(*) FROM nodes""",
     }
 
 
+def _special() -> dict[str, str]:
+    """Logs and limits that make rare cases happen."""
+
+    def ask(select: str, *parts: str) -> str:
+        return f"WITH {','.join(parts)}\n{select}"
+
+    mixed, parted = _on_log(MIXED_LOG), _on_log(PARTED_LOG)
+    fine = (STATS, RAW, EXTREMA, FEATURES.replace("features AS", "fine_features AS"))
+    verdict = """SELECT CASE WHEN user_id IS NULL THEN 'no user_id' WHEN item_id IS NULL
+THEN 'no item_id' WHEN category_id IS NULL THEN 'no category_id' ELSE 'kept' END AS verdict,
+count(*) AS line_count FROM log GROUP BY 1"""
+    with_ids = """
+known AS (SELECT * FROM log WHERE user_id IS NOT NULL AND item_id IS NOT NULL)"""
+    return {
+        "mixed_item_user_index_blocks": mixed["item_user_index_blocks"],
+        "mixed_item_co_occurrence_top1000": mixed["item_co_occurrence_top1000"],
+        "mixed_personal_rank_top10": mixed["personal_rank_top10"],
+        "parted_personal_rank_dense": parted["personal_rank_dense"],
+        "stopped_personal_rank_scores": ask(
+            "SELECT kind, id, round(score, 9) AS score FROM stopped",
+            EVENTS_LOG, PAIRS, GRAPH, _walk(), _stopped(STOP_TOL),
+        ),
+        "coarse_kmeans_labels": ask(
+            "SELECT user_id, cluster FROM labels", EVENTS_LOG, *fine, COARSE, _kmeans()
+        ),
+        "coarse_kmeans_centers": ask(
+            "SELECT cluster, round(c1, 4) AS c1, round(c2, 4) AS c2, round(c3, 4) AS c3 "
+            f"FROM c{KMEANS_ROUNDS}", EVENTS_LOG, *fine, COARSE, _kmeans()
+        ),
+        "catalogue_item_co_occurrence": ask("SELECT * FROM ranked", CATALOGUE_PAIRS, CO_OCCURRENCE),
+        "keyless_record_verdicts": ask(verdict, KEYLESS_LOG),
+        "keyless_deep_pairs": ask(
+            "SELECT DISTINCT user_id, item_id FROM known WHERE behavior IN ('cart', 'fav', 'buy')",
+            KEYLESS_LOG, with_ids,
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     kept = (
         "SELECT user_id, item_id, category_id, behavior, ts FROM judged WHERE verdict = 'kept'"
@@ -374,7 +448,8 @@ parsed AS (
             "FROM features"
         ),
         "export_index": (
-            f"WITH {events},{PAIRS},{INDEX}\nSELECT item_id || chr(9) || users AS value FROM index"
+            f"WITH {events},{PAIRS},{_index(INDEX_USERS)}\n"
+            "SELECT item_id || chr(9) || block || chr(9) || users AS value FROM index"
         ),
         "export_co_occurrence": (
             f"WITH {events},{PAIRS},{CO_OCCURRENCE}\n"
@@ -394,5 +469,21 @@ parsed AS (
             "coalesce(string_agg(item_id || ':' || printf('%.3f', score), ',' ORDER BY rank), '') "
             "AS value FROM best"
         ),
+        "feature_verdicts": f"""WITH {features},{damaged},
+parts AS (
+  SELECT {_strip("value")} AS line, string_split({_strip("value")}, ',') AS p FROM text
+)
+SELECT CASE WHEN line = '' THEN 'empty line' WHEN starts_with(line, 'user_id,') THEN 'header'
+            WHEN len(p) < 4 THEN 'too few fields' WHEN {_strip("p[1]")} = '' THEN 'blank user'
+            WHEN coalesce(isfinite(TRY_CAST({_strip("p[2]")} AS DOUBLE)), false)
+             AND coalesce(isfinite(TRY_CAST({_strip("p[3]")} AS DOUBLE)), false)
+             AND coalesce(isfinite(TRY_CAST({_strip("p[4]")} AS DOUBLE)), false) THEN 'kept'
+            ELSE 'not a finite number' END AS verdict, count(*) AS line_count
+FROM parts GROUP BY 1""",
+        "feature_row_verdicts": (
+            f"WITH {features}\nSELECT CASE WHEN f1 + f2 + f3 > 2 THEN 'not a finite number' "
+            "ELSE 'kept' END AS verdict, count(*) AS line_count FROM features GROUP BY 1"
+        ),
+        **_special(),
         **purchases,
     }

@@ -15,11 +15,16 @@ from shoptrail.sources.durable import durable
 _POINT = ("f1", "f2", "f3")
 
 
-def _finite(features: DataFrame) -> DataFrame:
+def all_finite() -> Column:
+    """Whether all three features are finite numbers; false for null."""
     ok = F.lit(True)
     for c in _POINT:
-        ok = ok & (F.abs(c) < F.lit(float("inf")))
-    return features.where(ok).select("user_id", *_POINT)
+        ok = ok & F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False))
+    return ok
+
+
+def _finite(features: DataFrame) -> DataFrame:
+    return features.where(all_finite()).select("user_id", *_POINT)
 
 
 def initial_centers(
@@ -54,7 +59,8 @@ def kmeans_users(
 
     Each round is one aggregation to at most ``k`` rows, combined on the map
     side; those rows are all the driver sees. A cluster without users keeps
-    its centre. Rows with values that are not finite take no part.
+    its centre. Rows with values that are not finite take no part;
+    ``feature_row_verdicts`` counts them.
     """
     points = durable(_finite(features), "points")
     first = initial_centers(points, k, seed).collect()

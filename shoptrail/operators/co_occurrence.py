@@ -14,18 +14,26 @@ may hold a third of the log. Exact steps keep it in bounds:
    their pairs ever listed.
 4. Should more users be that large, the smaller of them are counted as lists
    cut into parts, each pair of parts a row of its own.
+5. In a sparse log the floor is so low that nobody may be set aside. Then the
+   few largest users are, in another way: the items they share in the same way
+   form a class, and of the pairs of two classes only the first in id order can
+   be in the answer. These few pairs join those that other users have. So the
+   ``CLASS_USERS`` largest users cost their items and no more at any floor;
+   further large users then cost the square of their items.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import combinations_with_replacement
 from operator import add
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.constants import TOP_ITEM_PAIRS
+from shoptrail.operators import pairs as pairs_module
 from shoptrail.operators.pairs import attach, degrees, hot_keys, without, written_pairs
 from shoptrail.operators.positions import with_position
 from shoptrail.sources.durable import durable
@@ -35,6 +43,8 @@ LIST_ITEMS = 1000
 # The most users that are set aside, which is the length of a bitmap.
 HOT_USERS = 1024
 _WORD_BITS = 64
+# The most users set aside by classes of items, of which they make 2 ** this many.
+CLASS_USERS = 4
 
 
 def item_co_occurrence(
@@ -56,26 +66,26 @@ def item_co_occurrence(
         ),
         "items",
     )
-    floor = _floor_of_common(pairs, items, top)
+    floor = _floor_of_common(pairs, items, top, list_items)
     frequent = items.where(F.col("degree") >= floor)
     kept = durable(
         attach(pairs, frequent, "item_id", pairs.count()).select("user_id", "item"),
         "frequent-pairs",
     )
-    hot_items = hot_keys(frequent, kept.count())
-    counts = _all_counts(kept, hot_items, floor, top, list_items, hot_users)
+    counts = _all_counts(kept, floor, top, list_items, hot_users)
     best = counts.orderBy(F.desc("cnt"), "a", "b").limit(top)
-    return _with_ids(best, items).orderBy(F.desc("cnt"), "a", "b").select(
+    return _with_ids(best, items, top).orderBy(F.desc("cnt"), "a", "b").select(
         "item_a", "item_b", "cnt"
     )
 
 
-def _with_ids(best: DataFrame, items: DataFrame) -> DataFrame:
+def _with_ids(best: DataFrame, items: DataFrame, top: int) -> DataFrame:
     """Item numbers of the answer, at most ``top`` rows, back to ids."""
     first = items.select(F.col("item").alias("a"), F.col("item_id").alias("item_a"))
     second = items.select(F.col("item").alias("b"), F.col("item_id").alias("item_b"))
-    named = first.join(F.broadcast(best), "a")
-    return second.join(F.broadcast(named), "b")
+    if top > pairs_module.BROADCAST_KEYS:
+        return second.join(first.join(best, "a"), "b")
+    return second.join(F.broadcast(first.join(F.broadcast(best), "a")), "b")
 
 
 def _least_of_top(counts: DataFrame, top: int) -> int:
@@ -85,21 +95,20 @@ def _least_of_top(counts: DataFrame, top: int) -> int:
     return least if found == top else 1
 
 
-def _floor_of_common(pairs: DataFrame, items: DataFrame, top: int) -> int:
+def _floor_of_common(pairs: DataFrame, items: DataFrame, top: int, list_items: int) -> int:
     """A count that at least ``top`` pairs reach.
 
-    The number of items tried follows from ``top`` alone, so they are
-    broadcast and no user has a long list of them.
+    The number of items tried follows from ``top`` and ends at the longest
+    list a task holds; with fewer items the floor is only lower.
     """
-    tried = math.isqrt(8 * top) + 1
+    tried = min(math.isqrt(8 * top) + 1, max(2, list_items))
     common = items.orderBy(F.desc("degree"), "item").limit(tried).select("item_id", "item")
     trial = pairs.join(F.broadcast(common), "item_id").select("user_id", "item")
-    return _least_of_top(_count_lists(trial), top)
+    return _least_of_top(_count_lists(trial, spread=False), top)
 
 
 def _all_counts(
     kept: DataFrame,
-    hot_items: DataFrame,
     floor: int,
     top: int,
     list_items: int,
@@ -113,28 +122,46 @@ def _all_counts(
     cuts = [list_items << i for i in range(40)]
     sizes = large.agg(*[F.count_if(F.col("degree") > c) for c in cuts]).first()
     if sizes[0] == 0:
-        return _count_lists(kept, hot_items).where(F.col("cnt") >= floor)
+        return _count_lists(kept).where(F.col("cnt") >= floor)
 
     rows = kept.count()
-    counts = _count_lists(without(kept, large, "user_id", rows), hot_items)
+    counts = _count_lists(without(kept, large, "user_id", rows))
     if sizes[0] > _may_set_aside(floor, hot_users):
         counts = durable(counts, "counts")
         floor = max(floor, _least_of_top(counts, top))
     allowed = _may_set_aside(floor, hot_users)
+    by_class = min(CLASS_USERS, hot_users)
+    if sizes[0] > allowed and allowed < by_class:
+        largest = durable(
+            large.orderBy(F.desc("degree"), "user_id").limit(by_class).select("user_id"),
+            "largest-users",
+        )
+        if sizes[0] > by_class:
+            others = large.join(F.broadcast(largest), "user_id", "left_anti")
+            middle = attach(kept, durable(others, "large-users"), "user_id", rows)
+            counts = _sum(counts, _count_cut_lists(middle, list_items))
+        masks, words = _bitmaps(kept, largest, min(by_class, sizes[0]))
+        alone = _best_of_classes(masks.select("item", F.col(words[0]).alias("mask")), top)
+        counts = _add_shares(_sum(counts, alone), masks, words)
+        return counts.where(F.col("cnt") >= floor)
     cut, hot_count = next((c, n) for c, n in zip(cuts, sizes, strict=True) if n <= allowed)
     if cut > list_items:
         middle = attach(kept, large.where(F.col("degree") <= cut), "user_id", rows)
-        counts = (
-            counts.unionByName(_count_cut_lists(middle, list_items))
-            .groupBy("a", "b")
-            .agg(F.sum("cnt").alias("cnt"))
-        )
+        counts = _sum(counts, _count_cut_lists(middle, list_items))
     if hot_count:
         hot = large.where(F.col("degree") > cut).select("user_id")
-        counts = _add_hot_users(counts, kept, hot, hot_count, floor)
+        masks, words = _bitmaps(kept, hot, hot_count)
+        # A pair gains at most the number of hot users; rarer pairs are out.
+        near = counts.where(F.col("cnt") >= floor - hot_count)
+        counts = _add_shares(near, masks, words)
     return counts.where(F.col("cnt") >= floor)
 
 
+def _sum(counts: DataFrame, more: DataFrame) -> DataFrame:
+    both = counts.unionByName(more)
+    return both.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
+
+
 def _may_set_aside(floor: int, hot_users: int) -> int:
     """How many users may be: fewer than ``floor``, or their pairs could matter.
 
@@ -158,26 +185,38 @@ def _count(tails: DataFrame) -> DataFrame:
     )
 
 
-def _count_lists(pairs: DataFrame, hot_items: DataFrame | None = None) -> DataFrame:
+def _count_lists(pairs: DataFrame, spread: bool = True) -> DataFrame:
     """Users per item pair where every user's list is known to be short.
 
-    Pairs of hot items repeat within a task and combine there. Other pairs
-    rarely do: their lists move whole, to where their first item is counted,
-    which is a third of the bytes. Without ``hot_items`` all count as hot.
+    Pairs of an item that starts very many of them repeat within a task and
+    combine there. Other pairs rarely do: their lists move whole, to where
+    their first item is counted, which is a third of the bytes. What counts is
+    the work, the pairs an item starts, so that no task gets much more than
+    others. Without ``spread`` all pairs combine where they are.
     """
     lists = pairs.groupBy("user_id").agg(
         F.sort_array(F.collect_list("item")).alias("items")
     )
+    if not spread:
+        return _count(_tails(lists, "items"))
+    lists = durable(lists, "lists")
     tails = _tails(lists, "items")
-    if hot_items is None:
-        return _count(tails)
-    hot = F.broadcast(hot_items.select(F.col("item").alias("a")))
+    hot = F.broadcast(_hot_starts(lists))
     cold = tails.join(hot, "a", "left_anti").where(F.size("later") > 0)
     return _count(tails.join(hot, "a", "left_semi")).unionByName(
         _count(cold.repartition("a"))
     )
 
 
+def _hot_starts(lists: DataFrame) -> DataFrame:
+    """Items ``a`` that start more pairs than one task should count."""
+    starts = lists.select(F.posexplode("items").alias("i", "a"), F.size("items").alias("n"))
+    work = durable(
+        starts.groupBy("a").agg(F.sum(F.col("n") - 1 - F.col("i")).alias("degree")), "work"
+    )
+    return hot_keys(work, work.agg(F.sum("degree")).first()[0] or 0).select("a")
+
+
 def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
     """Users per item pair; ``sized`` has each user's ``degree``.
 
@@ -208,10 +247,8 @@ def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
     return _count(within.unionByName(across[0]).unionByName(across[1]))
 
 
-def _add_hot_users(
-    counts: DataFrame, kept: DataFrame, hot: DataFrame, hot_count: int, floor: int
-) -> DataFrame:
-    """Add to each count the ``hot`` users that have both items."""
+def _bitmaps(kept: DataFrame, hot: DataFrame, hot_count: int) -> tuple[DataFrame, list[str]]:
+    """Per item the ``hot`` users that have it, as bits of the named words."""
     # At most HOT_USERS rows: one small window numbers them.
     bits = hot.select(
         "user_id", (F.row_number().over(Window.orderBy("user_id")) - 1).alias("bit")
@@ -225,8 +262,11 @@ def _add_hot_users(
         .agg(*[F.bit_or(F.when(word == i, flag)).alias(w) for i, w in enumerate(words)]),
         "hot-bitmaps",
     )
-    # A pair gains at most the number of hot users; rarer pairs are out.
-    near = counts.where(F.col("cnt") >= floor - hot_count)
+    return masks, words
+
+
+def _add_shares(counts: DataFrame, masks: DataFrame, words: list[str]) -> DataFrame:
+    """Add to each count the hot users that have both items."""
     left = masks.select(F.col("item").alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
     right = masks.select(F.col("item").alias("b"), *[F.col(w).alias(f"b_{w}") for w in words])
     shared = [
@@ -234,7 +274,50 @@ def _add_hot_users(
         for w in words
     ]
     return (
-        near.join(left, "a", "left")
+        counts.join(left, "a", "left")
         .join(right, "b", "left")
         .select("a", "b", (F.col("cnt") + reduce(add, shared)).alias("cnt"))
     )
+
+
+def _best_of_classes(masks: DataFrame, top: int) -> DataFrame:
+    """The ``top`` pairs that most of a few users share: ``(a, b, cnt)``, ``cnt`` 0.
+
+    Items with the same ``mask`` are a class, and all pairs of two classes have
+    the same number of these users. Of such pairs those of low items come
+    first: the pair of the r-th and the s-th item has r * s pairs, itself
+    included, that do not come after it, so about top * log(top) can matter.
+    """
+    # At most 2 ** CLASS_USERS classes.
+    sizes = sorted(map(tuple, masks.groupBy("mask").count().collect()))
+    levels: dict[int, list[tuple[int, int, int]]] = {}
+    found: dict[int, int] = {}
+    for (one, n), (two, m) in combinations_with_replacement(sizes, 2):
+        shared, pairs_of = (one & two).bit_count(), n * (n - 1) // 2 if one == two else n * m
+        if shared and pairs_of:
+            levels.setdefault(shared, []).append((one, two, shared))
+            found[shared] = found.get(shared, 0) + pairs_of
+    wanted, total = [], 0
+    for shared in sorted(levels, reverse=True):
+        if total < top:
+            wanted += levels[shared]
+            total += found[shared]
+    table = masks.sparkSession.createDataFrame(wanted, "mask long, two long, shared int")
+    rank = F.row_number().over(Window.partitionBy("mask").orderBy("item")).alias("r")
+    ranked = durable(masks.select("mask", "item", rank).where(F.col("r") <= top + 1), "classes")
+    r, same = F.col("r"), F.col("mask") == F.col("two")
+    first = F.when(same, r + 1).otherwise(1)
+    last = F.floor(F.when(same, (top + r * (r + 1) / 2) / r).otherwise(top / r)).cast("int")
+    partners = (
+        ranked.join(F.broadcast(table), "mask")
+        .where(first <= last)
+        .select("item", "shared", "two", F.explode(F.sequence(first, last)).alias("s"))
+    )
+    other = ranked.select(
+        F.col("mask").alias("two"), F.col("r").alias("s"), F.col("item").alias("other")
+    )
+    found_pairs = partners.join(other, ["two", "s"]).select(
+        F.least("item", "other").alias("a"), F.greatest("item", "other").alias("b"), "shared"
+    )
+    best = found_pairs.orderBy(F.desc("shared"), "a", "b").limit(top)
+    return best.select("a", "b", F.lit(0).cast("bigint").alias("cnt"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.constants import USER
+from shoptrail.operators.clusters import all_finite
 from shoptrail.operators.features import user_stats
 from shoptrail.operators.graph import graph_nodes
 
@@ -37,3 +38,21 @@ def log_counts(log: DataFrame, pairs: DataFrame) -> DataFrame:
         _figures(pairs=F.col("pairs"), edges=F.col("edges"), nodes=F.col("nodes"))
     )
     return of_log.unionByName(of_graph)
+
+
+def record_verdicts(log: DataFrame) -> DataFrame:
+    """Number of records with all their ids, and of those without, by the first missing."""
+    missing = F.lit(None)
+    for name in ("category_id", "item_id", "user_id"):
+        missing = F.when(F.col(name).isNull(), f"no {name}").otherwise(missing)
+    return log.groupBy(F.coalesce(missing, F.lit("kept")).alias("verdict")).agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+def feature_row_verdicts(features: DataFrame) -> DataFrame:
+    """Number of feature rows that clustering takes, and of those it leaves out."""
+    verdict = F.when(all_finite(), "kept").otherwise("not a finite number")
+    return features.groupBy(verdict.alias("verdict")).agg(
+        F.count(F.lit(1)).alias("line_count")
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.functions.text import id_order, is_plain_number
 from shoptrail.operators.pairs import attach, degrees, without, written_pairs
-from shoptrail.operators.positions import with_position
+from shoptrail.operators.positions import numbered
 from shoptrail.sources.durable import durable
 
 BLOCK_USERS = 100_000
@@ -26,10 +26,10 @@ def _sorted_ids(ids: Column, numbers: bool) -> Column:
 def item_user_index(pairs: DataFrame, block_users: int = BLOCK_USERS) -> DataFrame:
     """Per item its users in id order: ``(item_id, block, users)``.
 
-    An item with up to ``block_users`` users is one row, block 0. A larger one
-    is cut at fixed positions of the sorted list of users, so no list exceeds
-    ``block_users``, and its blocks in order are the whole list. The cuts
-    depend on the ids alone, not on the partitioning.
+    The list of an item is cut every ``block_users`` users, and its blocks are
+    numbered from 0, so an item has as many rows as its own users ask for,
+    whatever other items there are. Only items with more users than that are
+    ranked by a distributed sort; the others are in block 0 anyway.
     """
     pairs = written_pairs(pairs)
     first = F.lit(0).cast("bigint").alias("block")
@@ -49,12 +49,20 @@ def item_user_index(pairs: DataFrame, block_users: int = BLOCK_USERS) -> DataFra
 
 
 def _cut(pairs: DataFrame, block_users: int) -> DataFrame:
-    """Pairs with the block of the user: its position in the list of all users.
+    """Pairs with the block of the user: its rank within the item, by blocks.
 
-    Any ``block_users`` neighbouring positions hold at most that many users of
-    one item.
+    One sort numbers the pairs by item and user; an item's first number is
+    where its ranks begin.
     """
-    pairs = durable(pairs.select("user_id", "item_id"), "large-pairs")
-    users = durable(with_position(degrees(pairs, "user_id"), "user_id"), "users")
-    block = F.floor(F.col("position") / block_users).alias("block")
-    return attach(pairs, users, "user_id", pairs.count()).select("user_id", "item_id", block)
+    ranked = durable(
+        numbered(pairs.select("user_id", "item_id"), F.col("item_id"), id_order(F.col("user_id"))),
+        "ranked-pairs",
+    )
+    starts = durable(
+        ranked.groupBy("item_id").agg(
+            F.min("position").alias("start"), F.count(F.lit(1)).alias("degree")
+        ),
+        "starts",
+    )
+    block = F.floor((F.col("position") - F.col("start")) / block_users).alias("block")
+    return attach(ranked, starts, "item_id", ranked.count()).select("user_id", "item_id", block)

@@ -1,8 +1,8 @@
-"""Distributed numbering of a sorted column."""
+"""Distributed numbering of sorted rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions.text import id_order
@@ -13,14 +13,19 @@ _ROW_BITS = 33
 
 
 def with_position(df: DataFrame, key: str) -> DataFrame:
-    """``df`` (unique in ``key``) with ``position`` 0, 1, 2 ... in id order.
+    """``df`` (unique in ``key``) with ``position`` 0, 1, 2 ... in id order."""
+    return numbered(df, id_order(F.col(key)))
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``position`` 0, 1, 2 ... in an ``order`` without ties.
 
     A range sort numbers the rows inside each partition; the partitions'
     sizes, one row each, turn that into positions in the whole. No partition
     sees more than its own range.
     """
     ranged = durable(
-        df.orderBy(id_order(F.col(key))).withColumn("_id", F.monotonically_increasing_id()),
+        df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()),
         "positions",
     )
     split = ranged.withColumn("_part", F.shiftright("_id", _ROW_BITS)).withColumn(

@@ -34,6 +34,7 @@ from shoptrail.functions.numbers import twelve_digits
 from shoptrail.functions.text import id_order
 from shoptrail.operators.graph import Graph, build_graph
 from shoptrail.operators.pairs import BROADCAST_KEYS
+from shoptrail.operators.positions import numbered
 from shoptrail.sources.durable import new_path
 
 # The walk's vector is broadcast up to this many rows (two numbers each).
@@ -263,6 +264,10 @@ def best_items(
         .orderBy(*order)
         .limit(top)
     )
-    # At most ``top`` rows are left to number.
+    if top > BROADCAST_KEYS:  # more than one task should number
+        ranked = numbered(best, *order)
+        return ranked.select(
+            (F.col("position") + 1).cast("int").alias("rank"), "item_id", "score"
+        )
     rank = F.row_number().over(Window.orderBy(*order)).alias("rank")
     return best.select(rank, "item_id", "score")

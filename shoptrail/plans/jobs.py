@@ -32,10 +32,14 @@ from shoptrail.operators.index import item_user_index
 from shoptrail.operators.pairs import deep_pairs, written_pairs
 from shoptrail.operators.walk import personal_rank
 from shoptrail.schemas import BEHAVIOR_LOG, USER_FEATURES
+from shoptrail.session import settings
 from shoptrail.sources import exports
 from shoptrail.sources.durable import run_folder
 from shoptrail.sources.text_files import parse_feature_lines, read_lines
 
+# Text per cleaning task: large, so that the files it writes are.
+INPUT_SPLIT = "512m"
+
 
 def read_log(
     spark: SparkSession,
@@ -58,11 +62,13 @@ def clean_and_features(spark: SparkSession, input_path: str, output_dir: str) ->
 
     The text is parsed once, into a table with a folder per behaviour; the rest
     reads that. Views are most of a log, and the jobs on deep interactions
-    never open their folder.
+    never open their folder. Every task reads ``INPUT_SPLIT`` of text, as it
+    writes a file per behaviour.
     """
     seen = Observation()
-    log = clean_behavior_log(read_lines(spark, input_path), observation=seen)
-    exports.write_table(log, f"{output_dir}/clean_behavior_log.parquet", "behavior")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": INPUT_SPLIT}):
+        log = clean_behavior_log(read_lines(spark, input_path), observation=seen)
+        exports.write_table(log, f"{output_dir}/clean_behavior_log.parquet", "behavior")
     log = read_log(spark, f"{output_dir}/clean_behavior_log.parquet", "parquet")
     exports.write_lines(exports.log_lines(log), f"{output_dir}/clean_behavior_log.csv")
     exports.write_table(user_features(log), f"{output_dir}/user_features.parquet")

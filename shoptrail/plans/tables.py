@@ -15,7 +15,17 @@ def _epoch_seconds(column: str) -> Column:
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a typed log; event types that are no behaviour drop out."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return _log_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def with_ids(log: DataFrame) -> DataFrame:
+    """Records that name a user, an item and a category; ``record_verdicts`` counts the rest."""
+    return log.where(
+        F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("category_id").isNotNull()
+    )
+
+
+def _log_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     item = F.get_json_object("props", "$.k")
     behavior = (
@@ -33,15 +43,65 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyless_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a log in which every seventh event names no item."""
+    log = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
+        "props", F.when(F.col("event_id") % 7 == 0, F.lit("{}")).otherwise(F.col("props"))
+    )
+    return _log_of(log)
+
+
+def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a log with number, text and zero-led item ids."""
+    n = F.col("item_id").cast("bigint")
+    mixed = (
+        F.when(n % 3 == 0, F.concat(F.lit("x"), "item_id"))
+        .when(n % 3 == 1, F.concat(F.lit("0"), "item_id"))
+        .otherwise(F.col("item_id"))
+    )
+    return events_log(spark, sf_dir).withColumn("item_id", mixed)
+
+
+def parted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a log of two halves: even users with even items, odd with odd."""
+    both = F.col("user_id").cast("bigint") + F.col("item_id").cast("bigint")
+    return events_log(spark, sf_dir).where(both % 2 == 0)
+
+
+def coarse_features(features: DataFrame) -> DataFrame:
+    """Features as whole numbers, so that many users coincide."""
+    return features.select("user_id", *[F.round(c).alias(c) for c in ("f1", "f2", "f3")])
+
+
+def catalogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sparse log: one user has all of ``part``, each customer the part of its number."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    item = F.col("p_partkey").cast("string").alias("item_id")
+    own = customers.select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("user_id"),
+        F.col("c_custkey").cast("string").alias("item_id"),
+    )
+    return parts.select(F.lit("all").alias("user_id"), item).distinct().unionByName(own.distinct())
+
+
 def purchase_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` with ``lineitem`` as a log: every line is a customer's purchase."""
+    """``orders`` with ``lineitem`` as a log of what customers do with parts.
+
+    Returned lines are views, lines of old orders favourites or carts, the rest
+    purchases.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("l_partkey").cast("string").alias("item_id"),
         F.col("l_suppkey").cast("string").alias("category_id"),
-        F.lit("buy").alias("behavior"),
+        F.when(F.col("l_returnflag") == "R", "pv")
+        .when(F.col("l_returnflag") == "A", "fav")
+        .when(F.col("l_linenumber") == 1, "cart")
+        .otherwise("buy")
+        .alias("behavior"),
         _epoch_seconds("o_orderdate").alias("ts"),
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +27,19 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Settings of the session for a while; they are what they were afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

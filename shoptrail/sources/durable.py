@@ -7,6 +7,8 @@ planner real sizes, and leaves nothing on an executor that could be lost.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,14 +22,16 @@ _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session, or a scratch folder in local mode."""
+    """The folder named by the session, or in local mode a scratch folder for its time."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="shoptrail-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
@@ -42,7 +46,8 @@ def run_folder(spark: SparkSession) -> Iterator[None]:
     """Give the tables written inside a folder of their own, deleted at the end.
 
     For work that writes its results before it ends. DataFrames that leave the
-    block must not read tables written in it.
+    block must not read tables written in it. Deleting takes a classic session,
+    whose driver reaches the file system.
     """
     path = new_path(spark, "run")
     token = _run_folder.set(path)

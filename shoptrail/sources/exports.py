@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.functions.text import fixed, id_order
+from shoptrail.session import settings
 
 # Decimals of features and centres, and of scores.
 FEATURE_PLACES = 4
@@ -28,9 +29,10 @@ def feature_lines(features: DataFrame) -> DataFrame:
 
 
 def index_lines(index: DataFrame) -> DataFrame:
-    """Sorted by item; the blocks of a large item are consecutive lines."""
+    """``item<tab>block<tab>users`` lines, sorted by item and block."""
+    block = F.col("block").cast("string")
     return index.orderBy("item_id", "block").select(
-        F.concat_ws("\t", "item_id", F.array_join("users", ",")).alias("value")
+        F.concat_ws("\t", "item_id", block, F.array_join("users", ",")).alias("value")
     )
 
 
@@ -73,5 +75,11 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+# Folders a task writes side by side; with fewer open files it would sort first.
+OPEN_FOLDERS = 8
+
+
 def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """A table, with a folder per value of ``partition_by``: few values, no sort."""
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FOLDERS}):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

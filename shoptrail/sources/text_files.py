@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.constants import FEATURE_FIELDS, FEATURE_HEADER_PREFIX
@@ -14,12 +14,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def parse_feature_lines(lines: DataFrame) -> DataFrame:
-    """``user,f1,f2,f3`` lines as typed rows.
-
-    Header, short lines, blank users and values that are not finite numbers
-    are dropped.
-    """
+def judge_feature_lines(lines: DataFrame) -> DataFrame:
+    """Fields of each line, and ``reason`` why it is no feature row (null if it is)."""
     split = lines.select(strip(F.col("value")).alias("line")).select(
         "line", F.split("line", ",", -1).alias("parts")
     )
@@ -29,16 +25,39 @@ def parse_feature_lines(lines: DataFrame) -> DataFrame:
         strip(F.get("parts", F.lit(0))).alias("user_id"),
         *[as_double(strip(F.get("parts", F.lit(i)))).alias(f"f{i}") for i in (1, 2, 3)],
     )
-    kept = (
-        (F.col("line") != "")
-        & ~F.col("line").startswith(FEATURE_HEADER_PREFIX)
-        & (F.col("field_count") >= FEATURE_FIELDS)
-        & (F.col("user_id") != "")
-        & F.col("f1").isNotNull()
-        & F.col("f2").isNotNull()
-        & F.col("f3").isNotNull()
+    no_number = F.col("f1").isNull() | F.col("f2").isNull() | F.col("f3").isNull()
+    reason = (
+        F.when(F.col("line").isNull() | (F.col("line") == ""), "empty line")
+        .when(F.col("line").startswith(FEATURE_HEADER_PREFIX), "header")
+        .when(F.col("field_count") < FEATURE_FIELDS, "too few fields")
+        .when(F.col("user_id") == "", "blank user")
+        .when(no_number, "not a finite number")
     )
+    return fields.withColumn("reason", reason)
+
+
+def parse_feature_lines(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """``user,f1,f2,f3`` lines as typed rows.
+
+    Header, short lines, blank users and values that are not finite numbers
+    are dropped. An ``observation`` receives the counts ``lines`` and ``kept``.
+    """
+    judged = judge_feature_lines(lines)
+    kept = F.col("reason").isNull()
+    if observation is not None:
+        judged = judged.observe(
+            observation, F.count(F.lit(1)).alias("lines"), F.count_if(kept).alias("kept")
+        )
     # Unnesting zero or one row per line splits the line once; a filter would
     # be pushed below the projection and split it again.
     row = F.struct("user_id", "f1", "f2", "f3")
-    return fields.select(F.inline(F.when(kept, F.array(row))))
+    return judged.select(F.inline(F.when(kept, F.array(row))))
+
+
+def feature_verdicts(lines: DataFrame) -> DataFrame:
+    """Number of lines per reject reason; feature rows count as ``kept``."""
+    return (
+        judge_feature_lines(lines)
+        .groupBy(F.coalesce("reason", F.lit("kept")).alias("verdict"))
+        .agg(F.count(F.lit(1)).alias("line_count"))
+    )

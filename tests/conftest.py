@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "shoptrail-tests",
         "local[*]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

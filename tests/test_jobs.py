@@ -42,7 +42,7 @@ def test_the_four_jobs(spark, raw_log, tmp_path):
     for form, ending in (("text", "csv"), ("parquet", "parquet")):
         log = f"clean_behavior_log.{ending}"
         jobs.index_and_co_occurrence(spark, f"{out}/{log}", out, form)
-        assert _read(f"{out}/item_user_inverted_index.txt") == ["10\t1,2", "11\t2", "9\t1,2"]
+        assert _read(f"{out}/item_user_inverted_index.txt") == ["10\t0\t1,2", "11\t0\t2", "9\t0\t1,2"]
         assert _read(f"{out}/item_co_occurrence.txt") == ["9,10\t2", "9,11\t1", "10,11\t1"]
         jobs.recommend(spark, f"{out}/{log}", "1", out, form=form)
         assert _read(f"{out}/personal_rank_recommendations.txt") == ["1\t11:0.059"]

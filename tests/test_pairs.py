@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from brute_force import id_key, items_of, top_pairs
 
 from shoptrail.functions.text import id_order, is_plain_number
+from shoptrail.operators import co_occurrence
 from shoptrail.operators import pairs as pairs_module
 from shoptrail.operators.co_occurrence import item_co_occurrence
 from shoptrail.operators.index import item_user_index
@@ -141,3 +142,56 @@ def test_text_ids_order_pairs(pairs_of):
     pairs = {("u", i) for i in ("9", "10", "1a")}
     rows = [tuple(r) for r in item_co_occurrence(pairs_of(pairs)).collect()]
     assert rows == [("9", "10", 1), ("9", "1a", 1), ("10", "1a", 1)]
+
+
+def test_index_of_an_item_depends_on_its_own_users(pairs_of):
+    pairs = {(str(u), "a") for u in range(111)} | {(str(u), "b") for u in range(30)}
+    more = {(str(u), "c") for u in range(0, 4000, 3)}
+    rows = [
+        sorted(map(tuple, item_user_index(pairs_of(p), 50).where("item_id <> 'c'").collect()))
+        for p in (pairs, pairs | more)
+    ]
+    assert rows[0] == rows[1]
+    assert [(item, block, len(users)) for item, block, users in rows[0]] == [
+        ("a", 0, 50), ("a", 1, 50), ("a", 2, 11), ("b", 0, 30),
+    ]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("top", [1, 7, 60, 3000])
+def test_largest_users_by_classes(pairs_of, seed, top):
+    """A sparse log where a few users have very many items and the floor is low."""
+    rng = random.Random(seed)
+    pairs = {(f"h{h}", str(i)) for h in range(2 + seed) for i in rng.sample(range(90), 70)}
+    pairs |= {(f"s{u}", str(rng.randrange(90))) for u in range(150)}
+    pairs |= {(f"p{u}", str(i)) for u in range(20) for i in rng.sample(range(90), 2)}
+    found = item_co_occurrence(pairs_of(pairs), top, list_items=10).collect()
+    assert [tuple(r) for r in found] == top_pairs(pairs, top)
+
+
+def test_one_user_with_all_items_costs_its_items(pairs_of, monkeypatch):
+    """The rows that are listed follow ``top``, not the square of the user's items."""
+    listed = []
+    whole = co_occurrence._best_of_classes
+
+    def counted(masks, top):
+        best = whole(masks, top)
+        listed.append(masks.count())
+        return best
+
+    monkeypatch.setattr(co_occurrence, "_best_of_classes", counted)
+    monkeypatch.setattr(co_occurrence, "_count_cut_lists", None)
+    for n in (500, 1000):
+        pairs = {("all", str(i)) for i in range(n)} | {(f"u{i}", str(i)) for i in range(n)}
+        found = [tuple(r) for r in item_co_occurrence(pairs_of(pairs), 20, 100).collect()]
+        assert found == [("0", str(i), 1) for i in range(1, 21)]
+    assert listed == [500, 1000]
+
+
+def test_hot_starts_by_work(spark, pairs_of):
+    """An item that starts many pairs is hot even if few users have it."""
+    lists = [(f"u{u}", [0, *range(100, 110)]) for u in range(40)]
+    lists += [(f"v{u}", [1]) for u in range(4000)]
+    df = spark.createDataFrame(lists, "user_id string, items array<long>")
+    hot = {r["a"] for r in co_occurrence._hot_starts(df).collect()}
+    assert 0 in hot and 1 not in hot
