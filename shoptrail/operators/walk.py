@@ -16,8 +16,10 @@ because ``x(t)`` and ``x(t-1)`` share no node: the stopping test needs no join.
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ _VECTOR = "node bigint, x double"
 
 @dataclass
 class Walk:
-    """Vectors ``x(0) .. x(rounds)``, one folder ``round=s`` each."""
+    """Vectors ``x(0) .. x(rounds)``, one folder ``round=s`` each; later ones do not count."""
 
     graph: Graph
     target: str
@@ -65,7 +67,7 @@ class Walk:
         )
         # Only the folders of that side are read.
         vectors = spark.read.schema(f"{_VECTOR}, round int").parquet(self.path)
-        side = vectors.where(s % 2 == (0 if kind == USER else 1))
+        side = vectors.where((s % 2 == (0 if kind == USER else 1)) & (s <= self.rounds))
         return side.groupBy("node").agg(F.sum(F.col("x") * weight).alias("score"))
 
     def own_items(self) -> DataFrame:
@@ -149,15 +151,23 @@ class _Side:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def _write_round(spark: SparkSession, vector: DataFrame, path: str, s: int):
-    """Write ``x(s)``; return it with its number of rows and largest value."""
+def _write_rounds(spark: SparkSession, vectors: list[DataFrame], path: str, s: int):
+    """Write ``x(s)`` and those after it in one job.
+
+    Returns the last one, with its number of rows, and the largest value of each.
+    """
+    every = range(s, s + len(vectors))
+    tagged = [v.withColumn("round", F.lit(r)) for r, v in zip(every, vectors, strict=True)]
+    peak = [F.max(F.when(F.col("round") == r, F.col("x"))).alias(f"peak{r}") for r in every]
+    rows = F.count_if(F.col("round") == every[-1]).alias("rows")
     seen = Observation()
-    folder = f"{path}/round={s}"
-    vector.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.max("x").alias("peak")
-    ).write.parquet(folder)
+    union = reduce(DataFrame.unionByName, tagged).observe(seen, rows, *peak)
+    union.write.mode("append").partitionBy("round").parquet(path)
     found = seen.get
-    return spark.read.schema(_VECTOR).parquet(folder), found["rows"], found["peak"] or 0.0
+    last = spark.read.schema(_VECTOR).parquet(f"{path}/round={every[-1]}") if found["rows"] else None
+    if last is None:  # no folder for no rows
+        last = spark.createDataFrame([], _VECTOR)
+    return last, found["rows"], [found[f"peak{r}"] or 0.0 for r in every]
 
 
 def walk_from(
@@ -176,16 +186,22 @@ def walk_from(
     start = graph.users.where(F.col("user_id") == target).select(
         F.col("user").alias("node"), F.lit(1.0).alias("x")
     )
+    # Where no vector is too long to broadcast, two steps make one job.
+    at_once = 2 if max(graph.users.count(), graph.items.count()) <= broadcast_rows else 1
     try:
-        vector, rows, peak = _write_round(spark, start, path, 0)
-        rounds = 0
-        while rounds < max_iter:
-            last = peak
-            stepped = sides[rounds % 2].step(vector, rows)
-            rounds += 1
-            vector, rows, peak = _write_round(spark, stepped, path, rounds)
-            if alpha**rounds * max(peak, last) <= tol:
-                break
+        vector, rows, peaks = _write_rounds(spark, [start], path, 0)
+        rounds, moved = 0, math.inf
+        while rounds < max_iter and moved > tol:
+            stepped = [vector]
+            for s in range(rounds, min(max_iter, rounds + at_once)):
+                stepped.append(sides[s % 2].step(stepped[-1], rows))
+            last = peaks[-1]
+            vector, rows, peaks = _write_rounds(spark, stepped[1:], path, rounds + 1)
+            for peak in peaks:
+                if moved > tol:
+                    rounds += 1
+                    moved = alpha**rounds * max(peak, last)
+                    last = peak
     finally:
         for side in sides:
             side.close()
