@@ -3,6 +3,7 @@ from unittest.mock import Mock
 
 import pytest
 from conftest import GOLDEN
+from pyspark.sql import Observation
 
 from shoptrail.__main__ import main
 from shoptrail.constants import DEEP_BEHAVIORS
@@ -12,6 +13,7 @@ from shoptrail.plans import jobs
 from shoptrail.schemas import BEHAVIOR_LOG
 from shoptrail.sources import exports
 from shoptrail.sources.durable import durable, run_folder, shared_folder
+from shoptrail.sources.text_files import feature_verdicts, parse_feature_lines
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +129,41 @@ def test_durable_writes_once_to_the_shared_folder(spark, golden):
     assert written_pairs(pairs.withColumn("more", pairs.user_id)).columns == pairs.columns
     assert all(shared_folder(spark) in f for f in once.inputFiles())
     assert sorted(map(tuple, once.collect())) == sorted(GOLDEN)
+
+
+def _plans(spark):
+    """Texts of the plans that ran so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [store.apply(i).physicalPlanDescription() for i in range(store.size())]
+
+
+def test_partitioned_write_needs_no_sort(spark, raw_log, tmp_path):
+    jobs.clean_and_features(spark, raw_log, str(tmp_path))
+    writes = [p for p in _plans(spark) if f"{tmp_path}/clean_behavior_log.parquet" in p and "WriteFiles" in p]
+    assert writes and not any("Sort" in p for p in writes)
+    folders = sorted(p.name for p in (tmp_path / "clean_behavior_log.parquet").glob("behavior=*"))
+    assert folders == [f"behavior={b}" for b in ("buy", "cart", "fav", "pv")]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_dropped_feature_lines_are_counted(spark):
+    lines = ["user_id,f1,f2,f3", "1,0.1,0.2,0.3", "2,0.1,nan,0.3", "3,1", ",1,2,3", "", "4,1,2,x"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    counts = {r["verdict"]: r["line_count"] for r in feature_verdicts(df).collect()}
+    assert counts == {
+        "header": 1, "kept": 1, "not a finite number": 2, "too few fields": 1,
+        "blank user": 1, "empty line": 1,
+    }
+    seen = Observation()
+    assert parse_feature_lines(df, seen).count() == 1
+    assert seen.get == {"lines": 7, "kept": 1}
+
+
+def test_a_cluster_of_local_processes_needs_a_shared_folder(monkeypatch):
+    session = Mock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        shared_folder(session)
