@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Exactly what bytes.split() splits at.
 BLANKS = "\x20\t\n\x0b\x0c\r"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
+# Texts in one Arrow batch, and its bytes. Spark's own 10,000 rows and 64 MB take,
+# with the copies that are made on the way, some hundreds of MB a task.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": (1000, "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": (16 << 20, "16m"),
+}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of Arrow batches to ``BATCH``, where they are higher.
+
+    They are settings of the session and read when a query runs, so they stay.
+    """
+    for key, (most, value) in BATCH.items():
+        now = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(key).lower())
+        size = int(now[1]) << " kmg".index(now[2] or " ") * 10 if now else 0
+        if not 0 < size <= most:
+            spark.conf.set(key, value)
+
+
 def documents(docs: DataFrame, *more) -> DataFrame:
     """``doc_id`` and ``text`` alone, with ``more`` columns; whatever else ``docs`` has."""
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"), *more
     )

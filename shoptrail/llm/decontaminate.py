@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import LOWER, as_bytes, documents
+from shoptrail.llm.batches import LOWER, as_bytes, bound_batches, documents
 
 NGRAM = 3
 MIN_SCORE = 0.5
@@ -208,6 +208,7 @@ def _copies(
 def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
     """The items with their rare n-grams, broadcast."""
     spark = docs.sparkSession
+    bound_batches(spark)
     known = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > 8 * MOST_ITEM_WORDS:

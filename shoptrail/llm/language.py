@@ -16,7 +16,7 @@ documents of the language have, and nearer to what a foreign language has.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,9 +36,9 @@ MOST_LANGUAGES = 64
 UNKNOWN = "und"
 # A text is rejected beyond this many standard deviations above the mean.
 REJECT_FROM = 8.0
-_LETTERS_AT_ONCE = 1 << 18
+_LETTERS_AT_ONCE = 1 << 17
 # Distinct n-grams of a language a task holds.
-_MOST_HELD = 1 << 20
+_MOST_HELD = 1 << 19
 _SPACE = 32
 
 
@@ -101,18 +101,24 @@ def _ends(points: np.ndarray) -> np.ndarray:
     return np.stack([g[1:] for g in grams] + [g[:-1] for g in grams[:-1]])
 
 
-def _together(texts: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray]]:
-    """Texts with letters by their places, as many at a time as make a good array."""
-    some, size = [], 0
-    for i, points in enumerate(texts):
-        if len(points) > 1:
-            some.append(i)
-            size += len(points)
-        if some and (size > _LETTERS_AT_ONCE or i == len(texts) - 1):
-            yield some, np.concatenate([_ends(texts[k]) for k in some], axis=1)
-            some, size = [], 0
+def _together(texts: Iterable[np.ndarray]) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+    """Texts with letters by their places and lengths, as many as make a good array.
+
+    Only these are held as numbers at a time.
+    """
+    places, lengths, some, size = [], [], [], 0
+    for place, points in enumerate(texts):
+        if len(points) < 2:
+            continue
+        places.append(place)
+        lengths.append(len(points) - 1)
+        some.append(_ends(points))
+        size += len(points)
+        if size > _LETTERS_AT_ONCE:
+            yield places, lengths, np.concatenate(some, axis=1)
+            places, lengths, some, size = [], [], [], 0
     if some:
-        yield some, np.concatenate([_ends(texts[k]) for k in some], axis=1)
+        yield places, lengths, np.concatenate(some, axis=1)
 
 
 def _distinct(ends: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,11 +141,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        by_lang: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(letters(text or ""))
-        for lang, texts in by_lang.items():
-            for _, ends in _together(texts):
+        by_lang: dict[str, list[int]] = {}
+        for place, lang in enumerate(batch.column(0).to_pylist()):
+            by_lang.setdefault(lang, []).append(place)
+        for lang, places in by_lang.items():
+            texts = (letters(batch.column(1)[p].as_py() or "") for p in places)
+            for _, _, ends in _together(texts):
                 ends, n = _distinct(ends, np.ones(ends.shape[1]))
                 if lang in held:
                     ends = np.concatenate([held[lang][0], ends], axis=1)
@@ -221,17 +228,22 @@ class Models:
             total = np.where(np.isnan(p), total, p)
         return total
 
-    def cross_entropies(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Nats per letter of each text under each language; nan without letters."""
-        found = np.full((len(texts), len(self.languages)), np.nan)
-        for some, ends in _together(texts):
+    def cross_entropies(
+        self, texts: Iterable[np.ndarray], n: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of ``n`` texts the nats per letter under each language, and the letters.
+
+        The former are nan for a text without letters.
+        """
+        found, length = np.full((n, len(self.languages)), np.nan), np.zeros(n, np.int64)
+        for places, lengths, ends in _together(texts):
             _, first, inverse = np.unique(ends[ORDER - 1], return_index=True, return_inverse=True)
-            lengths = np.array([len(texts[i]) - 1 for i in some])
+            length[places] = lengths
             starts = np.cumsum(lengths) - lengths
             for k, lang in enumerate(self.languages):
                 each = self.log_probability(lang, ends[:, first])[inverse]
-                found[some, k] = -np.add.reduceat(each, starts) / lengths
-        return found
+                found[places, k] = -np.add.reduceat(each, starts) / lengths
+        return found, length
 
 
 def train(docs: DataFrame) -> Models:
@@ -284,13 +296,12 @@ def _scored(docs: DataFrame, models: Models) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = [letters(t or "") for t in batch.column("text").to_pylist()]
-            found = sent.value.cross_entropies(texts)
-            length = np.array([max(0, len(t) - 1) for t in texts])
+            n = batch.num_rows
+            texts = (letters(t.as_py() or "") for t in batch.column("text"))
+            found, length = sent.value.cross_entropies(texts, n)
             any_ = ~np.isnan(found).any(axis=1) & (found.shape[1] > 0)
-            best = np.full(len(texts), len(languages) - 1)
-            lowest, score = np.zeros(len(texts)), np.zeros(len(texts))
-            second = np.full(len(texts), np.nan)
+            best = np.full(n, len(languages) - 1)
+            lowest, score, second = np.zeros(n), np.zeros(n), np.full(n, np.nan)
             if any_.any():
                 some = found[any_]
                 best[any_], lowest[any_] = some.argmin(axis=1), some.min(axis=1)

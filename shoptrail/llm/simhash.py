@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm.batches import LOWER, documents, id_or_last, keyed, per_text, text_key
 from shoptrail.llm.components import connected
+from shoptrail.session import settings
 from shoptrail.sources.durable import durable
 
 SHINGLE = 4
@@ -286,7 +287,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
     if not 0 <= max_bits <= 4:
         raise ValueError("three Golay segments find up to 4 differing bits")
     keyed = prints.select("fingerprint").distinct().mapInArrow(_keyed, "key long, fingerprint long")
-    found = durable(_verified(keyed, max_bits, block), "simhash-links")
+    # These rows are two numbers each.
+    with settings(prints.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": 20_000}):
+        found = durable(_verified(keyed, max_bits, block), "simhash-links")
     pairs = found.where(F.col("key").isNull()).select("a", "b")
     large = found.where(F.col("key").isNotNull())
     if not large.isEmpty():

@@ -64,7 +64,8 @@ def test_probabilities_equal_plain_kneser_ney(docs_of):
     models = L.train(docs_of(rows))
     clean = L._Letters()
     tests = [t for _, t, _ in corpus(2, 20)] + ["qqq", "Ünknown wörds 12 here", "a"]
-    found = models.cross_entropies([clean(t) for t in tests])
+    found, length = models.cross_entropies([clean(t) for t in tests], len(tests))
+    assert length.tolist() == [len(letters(t)) - 1 for t in tests]
     for k, lang in enumerate(models.languages):
         p = plain_model([t for _, t, own in rows if own == lang])
         expected = [plain_entropy(p, t) for t in tests]

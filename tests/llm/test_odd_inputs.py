@@ -85,3 +85,19 @@ def test_mix_of_odd_texts(odd):
     assert sum(r["n"] for r in rows) == odd.count()
     assert all(0 <= r["copies"] <= 3 for r in rows)
     assert mix(odd.limit(0)).collect() == []
+
+
+def test_batches_are_bounded(spark):
+    from shoptrail.llm.batches import BATCH, bound_batches
+    from shoptrail.session import settings
+
+    rows, size = BATCH
+    with settings(spark, {rows: 10_000, size: "64m"}):
+        bound_batches(spark)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("1000", "16m")
+        bound_batches(spark)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("1000", "16m")
+        spark.conf.set(rows, 10)
+        spark.conf.set(size, "8m")
+        bound_batches(spark)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("10", "8m")
