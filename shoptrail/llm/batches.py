@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,22 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def send(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast of ``value``: what is returned gives it, in tasks.
+
+    Its classes travel with it, so executors need no copy of this package.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list[object] = []
+
+    def get() -> object:
+        if not held:  # once per task
+            held.append(pickle.loads(packed.value))
+        return held[0]
+
+    return get
+
+
 def documents(docs: DataFrame, *more) -> DataFrame:
     """``doc_id`` and ``text`` alone, with ``more`` columns; whatever else ``docs`` has."""
     bound_batches(docs.sparkSession)

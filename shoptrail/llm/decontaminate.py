@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import LOWER, as_bytes, bound_batches, documents
+from shoptrail.llm.batches import LOWER, as_bytes, bound_batches, documents, send
 
 NGRAM = 3
 MIN_SCORE = 0.5
@@ -216,12 +216,12 @@ def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
     rows = known.where(F.col("text").isNotNull()).distinct().collect()
     rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     table = Items([(item_id, text.encode()) for item_id, text in rows], ngram)
-    sent = spark.sparkContext.broadcast(table)
+    sent = send(spark, table)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = [
-                np.unique(sent.value.hits(sent.value.numbers(words(t or b"")))[1])
+                np.unique(sent().hits(sent().numbers(words(t or b"")))[1])
                 for t in as_bytes(batch.column(0))
             ]
             if seen:
@@ -235,7 +235,7 @@ def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     table.keep_rare(dict(map(tuple, counts.collect())))
-    return spark.sparkContext.broadcast(table)
+    return send(spark, table)
 
 
 def benchmark_copies(
@@ -254,10 +254,10 @@ def benchmark_copies(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copies = _copies(sent.value, as_bytes(batch.column(1)), min_score)
+            copies = _copies(sent(), as_bytes(batch.column(1)), min_score)
             ids = batch.column(0).to_pylist()
             found = [
-                (ids[row], sent.value.ids[item], *copies[row, item])
+                (ids[row], sent().ids[item], *copies[row, item])
                 for row, item in sorted(copies)
             ]
             if found:
@@ -280,7 +280,7 @@ def without_copies(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copied = {row for row, _ in _copies(sent.value, as_bytes(batch.column(place)), min_score)}
+            copied = {row for row, _ in _copies(sent(), as_bytes(batch.column(place)), min_score)}
             yield batch.filter(pa.array([row not in copied for row in range(batch.num_rows)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.batches import documents, id_or_last, keyed, text_key
+from shoptrail.llm.batches import documents, id_or_last, keyed, send, text_key
 from shoptrail.operators.pairs import BROADCAST_KEYS
 from shoptrail.sources.durable import durable
 
@@ -287,18 +287,18 @@ def in_training(doc_id: str = "doc_id") -> Column:
 
 def _scored(docs: DataFrame, models: Models) -> DataFrame:
     """``docs`` without its text, with the best language, its cross-entropy and the score."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    sent = send(docs.sparkSession, models)
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _Letters()
-        languages = np.array([*sent.value.languages, UNKNOWN], object)
+        languages = np.array([*sent().languages, UNKNOWN], object)
         for batch in batches:
             if not batch.num_rows:
                 continue
             n = batch.num_rows
             texts = (letters(t.as_py() or "") for t in batch.column("text"))
-            found, length = sent.value.cross_entropies(texts, n)
+            found, length = sent().cross_entropies(texts, n)
             any_ = ~np.isnan(found).any(axis=1) & (found.shape[1] > 0)
             best = np.full(n, len(languages) - 1)
             lowest, score, second = np.zeros(n), np.zeros(n), np.full(n, np.nan)
