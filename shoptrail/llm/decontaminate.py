@@ -1,11 +1,11 @@
 """Training passages that copy test items, edited copies included.
 
-Word n-grams of the test items are looked up in every text. The rare ones of an
-item are its seeds: rarity is the number of documents that hold the n-gram, over
-all documents, and an item's rarest half are seeds, however frequent, so that an
-item that very many documents copy keeps its seeds too. Around a seed, passage
-and item are aligned by Smith-Waterman on words, and the score, as a share of
-what the whole item would score against itself, decides.
+Word n-grams of the test items are looked up in every text. All of them are
+seeds, however frequent: which of them an edited copy leaves whole is not known
+beforehand. Around a seed, passage and item are aligned by Smith-Waterman on
+words, and the score, as a share of what the whole item would score against
+itself, decides. A passage is as wide as any alignment that reaches the score,
+and is not aligned where it has too few words of the item to reach it.
 
 The test items are the small side. Their n-grams are broadcast, with a bound on
 their size, so no text moves and no item gathers the documents that copy it.
@@ -26,8 +26,6 @@ NGRAM = 3
 MIN_SCORE = 0.5
 # The most words of all items together, which bounds what is broadcast.
 MOST_ITEM_WORDS = 5_000_000
-# An item keeps at least this many seeds, if it has as many n-grams.
-LEAST_SEEDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 _PUNCTUATION = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 # Cells of the tables that are filled at once.
@@ -51,16 +49,13 @@ class Items:
                 for w in found:
                     self.number.setdefault(w, len(self.number) + 1)
                 self.words.append(self.numbers(found))
+        self.size = np.array([len(w) for w in self.words], np.int64)
         grams = [self.grams(w) for w in self.words] or [np.empty(0, np.int64)]
-        self._keep(
-            np.concatenate(grams),
-            np.repeat(np.arange(len(grams)), [len(g) for g in grams]),
-            np.concatenate([np.arange(len(g)) for g in grams]),
-        )
-
-    def _keep(self, gram: np.ndarray, item: np.ndarray, at: np.ndarray) -> None:
+        gram = np.concatenate(grams)
         order = np.argsort(gram, kind="stable")
-        self.gram, self.item, self.at = gram[order], item[order], at[order]
+        self.gram = gram[order]
+        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
+        self.at = np.concatenate([np.arange(len(g)) for g in grams])[order]
 
     def numbers(self, found: list[bytes]) -> np.ndarray:
         """Numbers of words; 0 for a word no item has."""
@@ -87,18 +82,8 @@ class Items:
         hit = self.gram[place] == found if len(self.gram) else np.zeros(len(found), bool)
         return known[hit], found[hit]
 
-    def keep_rare(self, documents_with: dict[int, int]) -> None:
-        """Leave each item its rarest half of n-grams, or ``LEAST_SEEDS``."""
-        seen = np.array([documents_with.get(g, 0) for g in self.gram.tolist()], np.int64)
-        order = np.lexsort((self.gram, seen, self.item))
-        starts = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        rank = np.arange(len(order)) - starts[self.item[order]]
-        n = np.diff(starts)[self.item[order]]
-        seeds = order[rank < np.maximum(LEAST_SEEDS, -(-n // 2))]
-        self._keep(self.gram[seeds], self.item[seeds], self.at[seeds])
-
-    def passages(self, numbers: np.ndarray) -> list[tuple[int, int, int]]:
-        """``(item, start, end)`` of the passages around seeds."""
+    def passages(self, numbers: np.ndarray, min_score: float) -> list[tuple[int, int, int]]:
+        """``(item, start, end)`` of the passages around seeds that can reach ``min_score``."""
         position, gram = self.hits(numbers)
         if not len(position):
             return []
@@ -108,15 +93,24 @@ class Items:
         item, start = self.item[which], np.repeat(position, count) - self.at[which]
         order = np.lexsort((start, item))
         item, start = item[order], start[order]
-        size = np.array([len(w) for w in self.words])[item]
-        slack = np.maximum(4, size // 4)
+        size = self.size[item]
+        # A whole item can lose so many words to gaps and still reach the score.
+        slack = np.maximum(4, np.ceil(MATCH * size * (1 - min_score) / -GAP).astype(np.int64))
         # Seeds of an item on about the same diagonal share a passage.
         new = np.append(True, (item[1:] != item[:-1]) | (start[1:] - start[:-1] > slack[1:]))
         at = np.flatnonzero(new)
         last = np.append(at[1:], len(item)) - 1
         low = np.maximum(0, start[at] - slack[at])
         high = np.minimum(len(numbers), start[last] + (size + slack)[at])
-        return list(zip(item[at].tolist(), low.tolist(), high.tolist(), strict=True))
+        found, here = [], np.zeros(len(self.number) + 1, bool)
+        for i, start, end in zip(item[at].tolist(), low.tolist(), high.tolist(), strict=True):
+            # No alignment matches more words of the item than the passage has.
+            here[numbers[start:end]] = True
+            most = np.count_nonzero(here[self.words[i]])
+            here[numbers[start:end]] = False
+            if most / len(self.words[i]) >= min_score:
+                found.append((i, start, end))
+        return found
 
 
 def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,7 +189,7 @@ def _copies(
     found, kept = [], {}
     for row, text in enumerate(texts):
         numbers = items.numbers(words(text or b""))
-        if passages := items.passages(numbers):
+        if passages := items.passages(numbers, min_score):
             kept[row] = numbers
             found += [(row, *p) for p in passages]
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
@@ -206,7 +200,7 @@ def _copies(
 
 
 def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
-    """The items with their rare n-grams, broadcast."""
+    """The items with their n-grams, broadcast."""
     spark = docs.sparkSession
     bound_batches(spark)
     known = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
@@ -215,27 +209,7 @@ def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
         raise ValueError("the test items are more than is broadcast; pass them in parts")
     rows = known.where(F.col("text").isNotNull()).distinct().collect()
     rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    table = Items([(item_id, text.encode()) for item_id, text in rows], ngram)
-    sent = send(spark, table)
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [
-                np.unique(sent().hits(sent().numbers(words(t or b"")))[1])
-                for t in as_bytes(batch.column(0))
-            ]
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seen))], names=["gram"])
-
-    # No more rows than the items have n-grams.
-    counts = (
-        docs.select(F.col("text").cast("string"))
-        .mapInArrow(grams, "gram long")
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    table.keep_rare(dict(map(tuple, counts.collect())))
-    return send(spark, table)
+    return send(spark, Items([(item_id, text.encode()) for item_id, text in rows], ngram))
 
 
 def benchmark_copies(

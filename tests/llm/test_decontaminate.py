@@ -74,3 +74,35 @@ def test_passages_are_where_they_are(docs_of, spark):
     assert [tuple(r) for r in found] == [(1, 7, 1.0, 2, 7)]
     lower = benchmark_copies(docs, known, min_score=0.5).collect()
     assert {r["doc_id"]: r["score"] for r in lower} == {1: 1.0, 2: 0.6}
+
+
+def test_edited_copies_equal_the_table_of_whole_texts(docs_of, spark):
+    """One edited copy of each item, alone and beside a whole copy."""
+    rng = random.Random(5)
+    common = ["the", "of", "and", "in", "to"]
+    text = lambda k: [rng.choice(common) if rng.random() < 0.4 else f"w{rng.randrange(300)}" for _ in range(k)]
+    items = {i: text(rng.randint(20, 60)) for i in range(60)}
+    edits = {i: edited(w, rng, rng.choice([0.1, 0.2, 0.3])) for i, w in items.items()}
+    # Many words put in at one place: the alignment goes on far from its diagonal.
+    for i in range(50, 60):
+        edits[i] = items[i][: len(items[i]) // 2] + [f"new{k}" for k in range(len(items[i]) // 2)] + items[i][len(items[i]) // 2 :]
+    rows = [(i, " ".join(text(30) + w + text(30))) for i, w in edits.items()]
+    rows += [(100 + i, " ".join(text(100))) for i in range(60)]
+    rows += [(200 + i, " ".join(text(5) + items[i])) for i in range(0, 60, 2)]
+    number = {}
+    as_numbers = lambda w: np.array([number.setdefault(x, len(number) + 1) for x in w])
+    expected = {}
+    for i, w in items.items():
+        one, texts = as_numbers(w), [as_numbers(t.split()) for _, t in rows]
+        two = np.zeros((len(rows), max(map(len, texts))), np.int64)
+        for k, t in enumerate(texts):
+            two[k, : len(t)] = t
+        score, _, _ = align(np.tile(one, (len(rows), 1)), two)
+        for (d, _), s in zip(rows, score, strict=True):
+            if s / (MATCH * len(w)) >= 0.5:
+                expected[d, i] = s / (MATCH * len(w))
+    known = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    found = benchmark_copies(docs_of(rows), known).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == expected
+    # Half the items have no whole copy, so that only their edited one shows them.
+    assert sum(d < 60 for d, _ in expected) > 45
