@@ -6,8 +6,10 @@ aggregations, and these into sorted arrays of n-gram hashes with the log
 probability and the back-off weight of each. A text is scored under every
 language by its cross-entropy per letter; the lowest wins.
 
-N-grams are hashed to 20 bits per order, so a model has at most 2 ** 20 entries an
-order and language however large the corpus is. That bounds what is broadcast.
+Every counted n-gram is an entry, under its whole 64-bit hash. Models of up to
+``MOST_ENTRIES`` entries and ``MOST_LANGUAGES`` languages are broadcast. Larger ones
+stay a written table, and the distinct n-grams of the texts are joined to it;
+both ways give the same results.
 
 A text is rejected where its cross-entropy is far above what the training
 documents of the language have, and nearer to what a foreign language has.
@@ -29,9 +31,9 @@ from shoptrail.operators.pairs import BROADCAST_KEYS
 from shoptrail.sources.durable import durable
 
 ORDER = 4
-HASH_BITS = 20
 DISCOUNT = 0.75
-# A language more costs up to 12 bytes an entry.
+# What is broadcast: 12 bytes an entry, and a pass over a text per language.
+MOST_ENTRIES = 1 << 22
 MOST_LANGUAGES = 64
 UNKNOWN = "und"
 # A text is rejected beyond this many standard deviations above the mean.
@@ -86,10 +88,6 @@ def gram_hashes(points: np.ndarray, order: int = ORDER) -> list[np.ndarray]:
     return hashes
 
 
-def slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - HASH_BITS)).astype(np.int32)
-
-
 _GRAMS = [f"g{n}" for n in range(1, ORDER + 1)]
 # An n-gram is a letter after its context, the n - 1 letters before.
 _CONTEXTS = [f"c{n}" for n in range(1, ORDER)]
@@ -159,7 +157,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kneser_ney(counted: DataFrame) -> DataFrame:
-    """``(lang, kind, n, slot, value)``: log probabilities and log back-off weights.
+    """``(lang, kind, n, gram, value)``: log probabilities and log back-off weights.
 
     ``counted`` has a row per language and longest n-gram. Shorter n-grams count
     by the number of different letters seen before them.
@@ -194,37 +192,38 @@ def _kneser_ney(counted: DataFrame) -> DataFrame:
 
 
 def _entries(rows: DataFrame, kind: str, n: int, gram: str, value: Column) -> DataFrame:
-    """Of n-grams that share a slot the greatest value stays."""
-    slot = F.shiftrightunsigned(F.col(gram), 64 - HASH_BITS).cast("int")
-    return (
-        rows.groupBy("lang", slot.alias("slot"))
-        .agg(F.max(value).alias("value"))
-        .select("lang", F.lit(kind).alias("kind"), F.lit(n).alias("n"), "slot", "value")
+    return rows.select(
+        "lang",
+        F.lit(kind).alias("kind"),
+        F.lit(n).alias("n"),
+        F.col(gram).alias("gram"),
+        value.cast("float").alias("value"),
     )
 
 
 @dataclass
 class Models:
-    """Per language, kind and order sorted slots with their values."""
+    """Per language, kind and order sorted hashes with their values."""
 
     languages: list[str]
     tables: dict[tuple[str, str, int], tuple[np.ndarray, np.ndarray]]
     unseen: dict[str, float]
 
-    def _look_up(self, key: tuple[str, str, int], slot: np.ndarray, missing: float) -> np.ndarray:
+    def _look_up(self, key: tuple[str, str, int], gram: np.ndarray, missing: float) -> np.ndarray:
         if key not in self.tables:
-            return np.full(len(slot), missing)
+            return np.full(len(gram), missing)
         at, values = self.tables[key]
-        place = np.minimum(np.searchsorted(at, slot), len(at) - 1)
-        return np.where(at[place] == slot, values[place], missing)
+        place = np.minimum(np.searchsorted(at, gram), len(at) - 1)
+        return np.where(at[place] == gram, values[place], missing)
 
     def log_probability(self, lang: str, ends: np.ndarray) -> np.ndarray:
         """Of the last letter of each longest n-gram, in nats."""
+        ends = ends.view(np.int64)
         total = np.full(ends.shape[1], self.unseen[lang])
         for n in range(1, ORDER + 1):
             if n > 1:
-                total = total + self._look_up((lang, "w", n - 1), slots(ends[ORDER + n - 2]), 0.0)
-            p = self._look_up((lang, "p", n), slots(ends[n - 1]), np.nan)
+                total = total + self._look_up((lang, "w", n - 1), ends[ORDER + n - 2], 0.0)
+            p = self._look_up((lang, "p", n), ends[n - 1], np.nan)
             total = np.where(np.isnan(p), total, p)
         return total
 
@@ -246,18 +245,66 @@ class Models:
         return found, length
 
 
-def train(docs: DataFrame) -> Models:
+@dataclass
+class ModelTable:
+    """What ``Models`` holds, as a written table, for more than is broadcast."""
+
+    entries: DataFrame
+
+    def unseen(self) -> DataFrame:
+        """``(model, unseen)``, a row per language."""
+        none = F.max(F.when(F.col("n") == 0, F.col("value").cast("double")))
+        letters = F.count_if((F.col("kind") == "p") & (F.col("n") == 1))
+        return self.entries.groupBy(F.col("lang").alias("model")).agg(
+            (none - F.log(letters + 1)).alias("unseen")
+        )
+
+    def log_probabilities(self, seen: DataFrame) -> DataFrame:
+        """``(g4, model, above)`` for the n-grams ``seen``: the log probability above ``unseen``.
+
+        Languages that have no part of an n-gram are left out.
+        """
+        looked_up = [("p", n, g) for n, g in enumerate(_GRAMS, 1)]
+        looked_up += [("w", n, c) for n, c in enumerate(_CONTEXTS, 1)]
+        found = []
+        for kind, n, column in looked_up:
+            entries = self.entries.where((F.col("kind") == kind) & (F.col("n") == n))
+            named = entries.select(F.col("gram").alias(column), F.col("lang").alias("model"), "value")
+            found.append(
+                seen.join(named, column).select(
+                    _GRAMS[-1], "model", F.lit(f"{kind}{n}").alias("name"), "value"
+                )
+            )
+        every = found[0]
+        for more in found[1:]:
+            every = every.unionByName(more)
+        by_name = every.groupBy(_GRAMS[-1], "model").agg(
+            *[
+                F.max(F.when(F.col("name") == name, F.col("value").cast("double"))).alias(name)
+                for name in (f"{kind}{n}" for kind, n, _ in looked_up)
+            ]
+        )
+        rows = by_name.join(self.unseen(), "model")
+        total = F.coalesce("p1", "unseen")
+        for n in range(2, ORDER + 1):
+            total = F.coalesce(F.col(f"p{n}"), total + F.coalesce(F.col(f"w{n - 1}"), F.lit(0.0)))
+        return rows.select(_GRAMS[-1], "model", (total - F.col("unseen")).alias("above"))
+
+
+def train(docs: DataFrame) -> Models | ModelTable:
     """Models of the languages in ``lang`` of ``docs``; rows without one are left out."""
     labelled = docs.select(F.col("lang").cast("string"), F.col("text").cast("string")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     schema = ", ".join(["lang string", "n long", *(f"{c} long" for c in (*_GRAMS, *_CONTEXTS))])
     counted = durable(labelled.mapInArrow(_count, schema), "ngrams")
-    languages = sorted(r[0] for r in counted.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages are more than is broadcast")
-    every = _kneser_ney(counted).orderBy("lang", "kind", "n", "slot").toArrow()
-    return _models(languages, every)
+    every = durable(_kneser_ney(counted), "models")
+    # Each language has one weight of letters never seen.
+    size = every.agg(F.count(F.lit(1)), F.count_if(F.col("n") == 0)).first()
+    if size[0] > MOST_ENTRIES or size[1] > MOST_LANGUAGES:
+        return ModelTable(every)
+    languages = sorted(r[0] for r in every.where("n = 0").select("lang").collect())
+    return _models(languages, every.orderBy("lang", "kind", "n", "gram").toArrow())
 
 
 def _models(languages: list[str], every: pa.Table) -> Models:
@@ -265,14 +312,14 @@ def _models(languages: list[str], every: pa.Table) -> Models:
         return Models([], {}, {})
     lang = every.column("lang").to_numpy(zero_copy_only=False).astype(str)
     kind = every.column("kind").to_numpy(zero_copy_only=False).astype(str)
-    n, slot = every.column("n").to_numpy(), every.column("slot").to_numpy()
+    n, gram = every.column("n").to_numpy(), every.column("gram").to_numpy()
     value = every.column("value").to_numpy()
     new = np.append(True, (lang[1:] != lang[:-1]) | (kind[1:] != kind[:-1]) | (n[1:] != n[:-1]))
     tables, unseen = {}, {}
     starts = np.flatnonzero(new)
     for low, high in zip(starts, np.append(starts[1:], len(n)), strict=True):
         key = (str(lang[low]), str(kind[low]), int(n[low]))
-        tables[key] = slot[low:high], value[low:high].astype(np.float32)
+        tables[key] = gram[low:high], value[low:high]
     for one in languages:
         # The weight of letters never seen, shared with one letter more than were.
         letters = len(tables[one, "p", 1][0])
@@ -285,8 +332,10 @@ def in_training(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 != 1, F.lit(False))
 
 
-def _scored(docs: DataFrame, models: Models) -> DataFrame:
+def _scored(docs: DataFrame, models: Models | ModelTable) -> DataFrame:
     """``docs`` without its text, with the best language, its cross-entropy and the score."""
+    if isinstance(models, ModelTable):
+        return _scored_by_join(docs, models)
     sent = send(docs.sparkSession, models)
     kept = [c for c in docs.columns if c != "text"]
 
@@ -326,6 +375,93 @@ def _scored(docs: DataFrame, models: Models) -> DataFrame:
     return docs.mapInArrow(run, f"{before}, {more}")
 
 
+def _grams_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` without its text as ``row`` and ``letters``, and ``(row, times, ...)`` of its n-grams."""
+    kept = [c for c in docs.columns if c != "text"]
+    ends_of = [*_GRAMS, *_CONTEXTS]
+    numbers = ["row", "letters", "times", *ends_of]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = _Letters()
+        for batch in batches:
+            row, length = batch.column("row").to_numpy(), np.zeros(batch.num_rows, np.int64)
+            texts = (letters(t.as_py() or "") for t in batch.column("text"))
+            for places, lengths, ends in _together(texts):
+                length[places] = lengths
+                place = np.repeat(places, lengths)
+                order = np.lexsort((ends[ORDER - 1], place))
+                place, ends = place[order], ends[:, order].view(np.int64)
+                last = ends[ORDER - 1]
+                new = np.append(True, (place[1:] != place[:-1]) | (last[1:] != last[:-1]))
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(place)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(at), batch.schema.field(c).type) for c in kept]
+                    + [pa.array(row[place[at]]), pa.nulls(len(at), pa.int64()), pa.array(times)]
+                    + [pa.array(e[at]) for e in ends],
+                    names=[*kept, *numbers],
+                )
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept]
+                + [batch.column("row"), pa.array(length), none]
+                + [none] * len(ends_of),
+                names=[*kept, *numbers],
+            )
+
+    before = ", ".join(f"{name} {kind}" for name, kind in docs.select(*kept).dtypes)
+    schema = ", ".join([before, *(f"{c} long" for c in numbers)])
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    both = durable(numbered.mapInArrow(run, schema), "grams")
+    texts = both.where(F.col("times").isNull()).select(*kept, "row", "letters")
+    return texts, both.where(F.col("times").isNotNull()).select("row", "times", *ends_of)
+
+
+def _scored_by_join(docs: DataFrame, models: ModelTable) -> DataFrame:
+    """``_scored`` with the models as a table."""
+    texts, grams = _grams_of(docs)
+    seen = durable(grams.select(*_GRAMS, *_CONTEXTS).distinct(), "distinct")
+    above = models.log_probabilities(seen)
+    # Every language has the space all texts end with, so each text meets all of them.
+    sums = (
+        grams.select("row", "times", _GRAMS[-1])
+        .join(above, _GRAMS[-1])
+        .groupBy("row", "model")
+        .agg(F.sum(F.col("times") * F.col("above")).alias("above"))
+    )
+    entropy = -(F.col("unseen") + F.col("above") / F.col("letters"))
+    each = (
+        sums.join(models.unseen(), "model")
+        .join(texts.select("row", "letters"), "row")
+        .select("row", "letters", F.struct(entropy.alias("h"), "model").alias("one"))
+    )
+    ordered = each.groupBy("row").agg(
+        F.sort_array(F.collect_list("one")).alias("every"),
+        F.least(F.max("letters"), F.lit(50)).alias("most"),
+    )
+    first, second = F.get("every", F.lit(0)), F.get("every", F.lit(1))
+    odds = F.aggregate(
+        "every",
+        F.lit(0.0),
+        lambda total, one: total + F.exp((first["h"] - one["h"]) * F.col("most")),
+    )
+    best = ordered.select(
+        "row",
+        first["model"].alias("lang_pred"),
+        first["h"].alias("cross_entropy"),
+        second["h"].alias("second"),
+        (1 / odds).alias("score"),
+    )
+    return texts.join(best, "row", "left").select(
+        *[c for c in docs.columns if c != "text"],
+        F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"),
+        "cross_entropy",
+        "second",
+        "letters",
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+    )
+
+
 def _limits(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The greatest cross-entropies that are accepted, per language and at each length.
 
@@ -338,7 +474,7 @@ def _limits(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     middle = (F.avg("cross_entropy") + F.avg("second")) / 2
     at_any = right.groupBy("lang_pred").agg(F.greatest(spread, middle).alias("at_any"))
     at_length = right.groupBy("lang_pred", "length").agg(spread.alias("at_length"))
-    return F.broadcast(at_any), F.broadcast(at_length)
+    return at_any, at_length
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -368,6 +504,8 @@ def _identified(docs: DataFrame) -> DataFrame:
     length = F.floor(F.log2(F.col("letters") + 1)).cast("int").alias("length")
     scored = durable(_scored(rows, models).select("*", length), "languages")
     at_any, at_length = _limits(scored)
+    if isinstance(models, Models):
+        at_any, at_length = F.broadcast(at_any), F.broadcast(at_length)
     limited = scored.join(at_any, "lang_pred", "left").join(
         at_length, ["lang_pred", "length"], "left"
     )

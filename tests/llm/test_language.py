@@ -101,3 +101,44 @@ def test_kept_documents_are_the_accepted_ones(docs_of):
     rows = corpus(5, 60) + [(900, None, None), (901, "...", None)]
     kept = L.accepted_documents(docs_of(rows)).collect()
     assert sorted(r["doc_id"] for r in kept) == list(range(60))
+
+
+def test_many_ngrams_keep_their_own_probabilities(docs_of):
+    """A script of 3000 letters, with most of its 4-grams seen once."""
+    rng = random.Random(6)
+    text = lambda k: "".join(" " if rng.random() < 0.1 else chr(0x4E00 + rng.randrange(3000)) for _ in range(k))
+    rows = [(i, text(2000), "zz") for i in range(200)]
+    tests = [text(300) for _ in range(4)]
+    models = L.train(docs_of(rows))
+    clean = L._Letters()
+    found, _ = models.cross_entropies([clean(t) for t in tests], len(tests))
+    p = plain_model([t for _, t, _ in rows])
+    assert found[:, 0] == pytest.approx([plain_entropy(p, t) for t in tests], rel=1e-4)
+
+
+def identified(docs):
+    columns = ("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "accepted")
+    rows = L.identify(docs).select(*columns).collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[2], r[4] or 0))
+
+
+def test_broadcast_and_joined_models_give_the_same(docs_of, monkeypatch):
+    rows = corpus(7, 90) + [(9000, "qxjk zzz 語 wvw", None), (9001, None, "aa"), (9002, "12 -", "bb")]
+    rows += [(9003, "one text twice", None)] * 2 + [(None, "no id sch ung lich", "bb")]
+    docs = docs_of(rows)
+    one = identified(docs)
+    monkeypatch.setattr(L, "MOST_ENTRIES", 0)
+    two = identified(docs)
+    assert isinstance(L.train(docs), L.ModelTable)
+    assert len(one) == len(two) == len(rows)
+    for a, b in zip(one, two, strict=True):
+        assert (*a[:3], a[5]) == (*b[:3], b[5])
+        assert b[3:5] == (pytest.approx(a[3], rel=1e-9), a[4] and pytest.approx(a[4], rel=1e-9))
+
+
+def test_more_languages_than_are_broadcast(docs_of, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 2)
+    rows = corpus(8, 90)
+    found = identified(docs_of(rows))
+    lang = {d: own for d, _, own in rows}
+    assert np.mean([pred == lang[d] for d, _, pred, *_ in found]) > 0.99
