@@ -4,7 +4,8 @@ Word n-grams of the test items are looked up in every text. All of them are
 seeds, however frequent: which of them an edited copy leaves whole is not known
 beforehand. Around a seed, passage and item are aligned by Smith-Waterman on
 words, and the score, as a share of what the whole item would score against
-itself, decides. A passage is as wide as any alignment that reaches the score,
+itself, decides; or, for an excerpt of a long item, the score alone, if it is
+that of ``EXCERPT`` matching words. A passage is as wide as any alignment that reaches the score,
 and is not aligned where it has too few words of the item to reach it.
 
 The test items are the small side. Their n-grams are broadcast, with a bound on
@@ -24,6 +25,8 @@ from shoptrail.llm.batches import LOWER, as_bytes, bound_batches, documents, sen
 
 NGRAM = 3
 MIN_SCORE = 0.5
+# An alignment that scores as this many matching words is a copy, however long the item.
+EXCERPT = 50
 # The most words of all items together, which bounds what is broadcast.
 MOST_ITEM_WORDS = 5_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -95,7 +98,8 @@ class Items:
         item, start = item[order], start[order]
         size = self.size[item]
         # A whole item can lose so many words to gaps and still reach the score.
-        slack = np.maximum(4, np.ceil(MATCH * size * (1 - min_score) / -GAP).astype(np.int64))
+        least = np.minimum(min_score * size, EXCERPT)
+        slack = np.maximum(4, np.ceil(MATCH * (size - least) / -GAP).astype(np.int64))
         # Seeds of an item on about the same diagonal share a passage.
         new = np.append(True, (item[1:] != item[:-1]) | (start[1:] - start[:-1] > slack[1:]))
         at = np.flatnonzero(new)
@@ -108,7 +112,7 @@ class Items:
             here[numbers[start:end]] = True
             most = np.count_nonzero(here[self.words[i]])
             here[numbers[start:end]] = False
-            if most / len(self.words[i]) >= min_score:
+            if most / len(self.words[i]) >= min_score or most >= EXCERPT:
                 found.append((i, start, end))
         return found
 
@@ -185,7 +189,7 @@ def _aligned(
 def _copies(
     items: Items, texts: list[bytes | None], min_score: float
 ) -> dict[tuple[int, int], tuple[float, int, int]]:
-    """The best passage for each (row, item) that reaches ``min_score``."""
+    """The best passage for each (row, item) that reaches ``min_score`` or ``EXCERPT``."""
     found, kept = [], {}
     for row, text in enumerate(texts):
         numbers = items.numbers(words(text or b""))
@@ -194,7 +198,8 @@ def _copies(
             found += [(row, *p) for p in passages]
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for row, item, score, start, end in _aligned(items, found, kept):
-        if score >= min_score and score > best.get((row, item), (0.0, 0, 0))[0]:
+        enough = score >= min_score or round(score * len(items.words[item]) * MATCH) >= MATCH * EXCERPT
+        if enough and score > best.get((row, item), (0.0, 0, 0))[0]:
             best[row, item] = (score, start, end)
     return best
 
@@ -217,7 +222,8 @@ def benchmark_copies(
 ) -> DataFrame:
     """``(doc_id, item_id, score, start_word, end_word)``: passages that copy an item.
 
-    ``score`` is 1 for a whole copy. Words are in lower case without ASCII
+    ``score`` is 1 for a whole copy. It is less than ``min_score`` only for
+    excerpts that score as ``EXCERPT`` matching words. Words are in lower case without ASCII
     punctuation; ``start_word`` and ``end_word`` (exclusive) count them from 0.
     Of several passages of a document the best one for an item is returned, the
     first of equal ones. Null or empty texts have no passage, items of fewer

@@ -106,3 +106,14 @@ def test_edited_copies_equal_the_table_of_whole_texts(docs_of, spark):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == expected
     # Half the items have no whole copy, so that only their edited one shows them.
     assert sum(d < 60 for d, _ in expected) > 45
+
+
+def test_long_excerpts_of_long_items(docs_of, spark):
+    long = [f"w{i}" for i in range(300)]
+    known = spark.createDataFrame([(1, " ".join(long))], "item_id long, text string")
+    other = [f"x{i}" for i in range(40)]
+    rows = [(n, " ".join(other + long[80 : 80 + n] + other)) for n in (49, 50, 140, 150)]
+    found = benchmark_copies(docs_of(rows), known).collect()
+    expected = {n: (n / 300, 40, 40 + n) for n in (50, 140, 150)}
+    assert {r["doc_id"]: (r["score"], r["start_word"], r["end_word"]) for r in found} == expected
+    assert [r["doc_id"] for r in without_copies(docs_of(rows), known).collect()] == [49]
