@@ -6,9 +6,9 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-from shoptrail.session import build_session  # noqa: E402
+from given import GOLDEN  # noqa: E402
 
-TESTDATA = "/root/testdata/sf0.001"
+from shoptrail.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,17 +27,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-GOLDEN = [
-    ("1", "10", "100", "pv", 0),
-    ("1", "10", "100", "buy", 86400),
-    ("1", "9", "100", "cart", 172800),
-    ("2", "10", "100", "fav", 86400),
-    ("2", "9", "100", "buy", 259200),
-    ("2", "11", "101", "cart", 0),
-    ("3", "11", "101", "pv", 345600),
-]
-
-
 @pytest.fixture(scope="session")
 def golden(spark):
     from shoptrail.schemas import BEHAVIOR_LOG

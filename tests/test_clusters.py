@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import TESTDATA
+from given import TESTDATA
 from pyspark.sql import functions as F
 
 from shoptrail.functions import geometry

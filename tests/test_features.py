@@ -1,5 +1,5 @@
 import pytest
-from conftest import TESTDATA
+from given import TESTDATA
 from pyspark.sql import functions as F
 
 from shoptrail.operators.features import (

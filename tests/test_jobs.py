@@ -2,7 +2,7 @@ from pathlib import Path
 from unittest.mock import Mock
 
 import pytest
-from conftest import GOLDEN
+from given import GOLDEN
 from pyspark.sql import Observation
 
 from shoptrail.__main__ import main

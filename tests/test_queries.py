@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import TESTDATA
+from given import TESTDATA
 
 entry_point = importlib.import_module("__spark_entry__")
 QUERIES = entry_point.queries()
