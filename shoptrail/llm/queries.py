@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail.llm.conversations import repair_digests
 from shoptrail.llm.decontaminate import benchmark_copies
 from shoptrail.llm.language import identify
 from shoptrail.llm.line_dedup import dedup_lines
@@ -16,7 +17,9 @@ from shoptrail.llm.quality_gam import quality_scores
 from shoptrail.llm.quality_rules import judge
 from shoptrail.llm.sharding import place
 from shoptrail.llm.simhash import simhash_groups
+from shoptrail.llm.token_alignment import alignment_counts
 from shoptrail.llm.token_counts import token_counts
+from shoptrail.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +82,15 @@ def queries() -> dict[str, Query]:
         "op10_quality_classifier": lambda spark, sf_dir: quality_scores(
             _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
         ),
+        "op11_toxicity": lambda spark, sf_dir: toxicity_scores(
+            _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+        ),
+        "op12_conversation_repair": lambda spark, sf_dir: repair_digests(
+            spark.read.parquet(f"{sf_dir}/conversations.parquet")
+        ),
+        "op13_token_alignment": lambda spark, sf_dir: alignment_counts(
+            _documents(spark, sf_dir)
+        ),
     }
 
 
