@@ -93,9 +93,14 @@ def subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 
 
 class Landmarks:
-    """Kernels of words with a fixed list of words."""
+    """Kernels of words with a fixed list of words.
+
+    By subsequence, the landmarks that have it follow each other: few do, so a word meets
+    few entries, whatever the number of landmarks.
+    """
 
     def __init__(self, words: list[str]) -> None:
+        self.words = words
         keys, weights, owners = [], [], []
         for places, k, w in subsequences(words):
             used = w > 0
@@ -103,10 +108,11 @@ class Landmarks:
             weights.append(w[used])
             owners.append(np.repeat(places, used.sum(axis=1)))
         flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-        self.keys, rows = np.unique(flat, return_inverse=True)
-        self.table = np.zeros((len(self.keys), len(words)), np.float32)
-        if len(flat):
-            self.table[rows, np.concatenate(owners)] = np.concatenate(weights)
+        order = np.argsort(flat, kind="stable")
+        self.keys, starts = np.unique(flat[order], return_index=True)
+        self.bounds = np.append(starts, len(flat)).astype(np.intp)
+        self.owners = np.concatenate(owners)[order] if keys else np.empty(0, np.intp)
+        self.weights = np.concatenate(weights)[order] if keys else np.empty(0)
         self.known = np.zeros(1 << 20, bool)  # most other keys are told by their hash
         self.known[self._slots(self.keys)] = True
 
@@ -117,21 +123,26 @@ class Landmarks:
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """A row per word, a column per landmark. Words have ``LONGEST`` letters at most."""
-        out = np.zeros((len(words), self.table.shape[1]), np.float32)
+        most = len(self.words)
+        out = np.zeros((len(words), most))
         if not len(self.keys):
             return out
         for places, keys, weights in subsequences(words):
             hit = self.known[self._slots(keys)] & (weights > 0)
             row = np.nonzero(hit)[0]
-            mine, share = keys[hit], weights[hit].astype(np.float32)
+            mine, share = keys[hit], weights[hit]
             at = np.minimum(np.searchsorted(self.keys, mine), len(self.keys) - 1)
             same = self.keys[at] == mine
             row, at, share = row[same], at[same], share[same]
-            if len(row):
-                starts = np.flatnonzero(np.diff(row, prepend=-1))
-                sums = np.add.reduceat(self.table[at] * share[:, None], starts, axis=0)
-                out[places[row[starts]]] = sums
-        return np.maximum(out, 0) ** POWER
+            n = self.bounds[at + 1] - self.bounds[at]
+            entry = np.arange(n.sum()) + np.repeat(self.bounds[at] - (np.cumsum(n) - n), n)
+            cell = np.repeat(row, n) * most + self.owners[entry]
+            sums = np.bincount(cell, np.repeat(share, n) * self.weights[entry], len(places) * most)
+            out[places] = sums.reshape(len(places), most)
+        powers = out.copy()
+        for _ in range(POWER - 1):  # many times faster than a general power
+            powers *= out
+        return powers
 
 
 # -- Texts as words and sentences ---------------------------------------------------------
@@ -249,7 +260,7 @@ def choose(words: list[str], weights: np.ndarray, most: int) -> list[str]:
 
     This is a pivoted Cholesky factorisation of the words' kernel matrix.
     """
-    k = word_kernels(Landmarks(words), words).astype(float)
+    k = Landmarks(words).kernel(words)
     left = np.diag(k).copy()
     factor = np.zeros((len(words), min(most, len(words))))
     chosen: list[int] = []
@@ -321,8 +332,8 @@ class Model:
         if len(self.known) > KNOWN:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+        for i in range(0, len(new), 2048):
+            part = new[i : i + 2048]
             parts = [stretches(w) for w in part]
             flat = self.landmarks.kernel([p for s in parts for p in s]) @ self.weights
             self.known.update(zip(part, _best(flat, [len(s) for s in parts]).tolist()))
@@ -445,7 +456,7 @@ def _sentence_kernels(sample: DataFrame, landmarks: Landmarks, shares: list[floa
 
     kernels = sample.mapInArrow(run, "doc_id long, number long, toxic int, kernel binary")
     rows = kernels.orderBy("doc_id", "number", "kernel").collect()
-    width = landmarks.table.shape[1]
+    width = len(landmarks.words)
     x = np.array([np.frombuffer(r["kernel"], np.float32) for r in rows], float)
     return x.reshape(len(rows), width), np.array([2.0 * r["toxic"] - 1 for r in rows])
 
@@ -499,8 +510,7 @@ def _machine(landmarks: Landmarks, x: np.ndarray, y: np.ndarray) -> Model:
 
     The way there is the landmarks' kernel matrix to the power -1/2.
     """
-    gram = (landmarks.table.T @ landmarks.table).astype(float)
-    values, vectors = np.linalg.eigh(np.maximum(gram, 0) ** POWER)
+    values, vectors = np.linalg.eigh(landmarks.kernel(landmarks.words))
     root = vectors / np.sqrt(np.maximum(values, RIDGE)) @ vectors.T
     w, offset = train_svm(x @ root, y)
     return Model(landmarks, (root @ w).astype(np.float32), offset, np.zeros(FIGURES), 0.0)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -49,7 +50,7 @@ def test_words_and_sentences():
     spelt = [words.distinct[i] for i in words.at[:6]]
     assert spelt == ["ab", "c", "de", "", "f", "g"]
     assert "idiotab" in words.distinct and "word" in words.distinct
-    assert words.texts.tolist() == [0, 0, 1, 2, 3, 3, 4, 4, 4]
+    assert words.texts.tolist() == [0, 0, 0, 1, 2, 3, 3, 4, 4, 4]
     ends = np.diff(words.starts, append=len(words.at))
     assert ends.max() <= toxicity.SENTENCE
 
@@ -65,7 +66,7 @@ def corpus(n=600):
     bad = ["dumbhead", "ratface", "wormbrain"]
     rows, labels = [], []
     for i in range(n):
-        words = [plain[(i * 7 + j * j) % len(plain)] for j in range(30)]
+        words = random.Random(i).choices(plain, k=30)
         if toxic := i % 4 == 0:
             words[i % 29] = bad[i % 3]
             words[(i + 9) % 29] = bad[(i + 1) % 3]
@@ -77,7 +78,7 @@ def corpus(n=600):
 def test_held_out_rows_and_disguised_words(spark):
     rows, labels = corpus()
     base = "a garden with many old trees"
-    disguised = ["dumbxhead ratfface", "d u m b h e a d", "w.o.r.m.b.r.a.i.n rat-face", "wormbrainn"]
+    disguised = ["dumbxhead ratfface", "d u m b h e a d", "w.o.r.m.b.r.a.i.n rat-face", "wormbrainn d.umb-head"]
     more = [(10_000 + i, f"{base} {d} and one door.") for i, d in enumerate(disguised)]
     clean = [(20_000, f"{base} and one door."), (20_001, None), (20_002, ""), (None, base)]
     docs = spark.createDataFrame(rows + more + clean, SCHEMA).repartition(5)
