@@ -5,22 +5,27 @@ whole number. The whole part is certain. The fractions are rounded in pairs: of
 two fractional documents one takes mass from the other, at random and without
 bias, until one of them is 0 or 1, and the other goes on to the next pair. The
 mass is words, so the words taken from a source stay what they were until one
-document is left. That one is rounded to the nearest whole copy: a source misses
-its target by at most half the words of one document.
+document is left. That one is rounded to the nearest whole copy, and smaller ones are
+rounded the other way to make up for it: a source misses its target by about half the
+words of a small document.
 
 The pairs form a tree. Documents of a source and size class are dealt to blocks
 of some hundred by a hash of their id; a block leaves one fractional document,
-and these are dealt to blocks again. All draws are hashes of ids, so every run
-gives the same result whatever the partitioning.
+and these are dealt to blocks again. Some documents of every source, by a hash, wait
+(of a small source all): at the end the leftovers of the classes are carried down
+through them, from the largest to the smallest, so that a large leftover meets the
+mass it needs to be finished and what is left over at last is small. All draws are
+hashes of ids, so every run gives the same result whatever the partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.batches import documents, id_or_last, keyed
 from shoptrail.operators.pairs import BROADCAST_KEYS
+from shoptrail.operators.positions import numbered
 from shoptrail.sources.durable import durable
 
 WEIGHTS = (5, 2, 1)
@@ -28,6 +33,8 @@ MOST_COPIES = 3
 SEED = 42
 # Documents paired in one block.
 BLOCK = 128
+# Documents of a source, about as many, that wait for what the blocks leave.
+RESERVE = 512
 # Size classes per doubling of the size.
 _CLASSES = 8
 _TINY = 1e-9
@@ -45,33 +52,38 @@ def targets(
 
     Sources in code-point order, null last, have the ``weights`` in turn and
     share all sizes by them. A target stops at ``most_copies`` times the size of
-    its source, and what it leaves goes to the others by weight. Where the
-    targets stop follows from the order of cap by weight: the capped sources
-    come first in it, and each source tells whether the level it would get
-    after those before it is above its cap.
+    its source, and what it leaves goes to the others by weight: the level, words
+    per weight, rises from round to round until no further source is above its cap.
+    A round is one aggregation of a row per source; sources are numbered by a
+    distributed sort. No sources, or sources without words, give targets of 0.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turn = (F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1) % len(weights)
-    weighted = totals.select(
-        "source",
-        "source_size",
-        F.get(F.array(*[F.lit(float(w)) for w in weights]), turn).alias("weight"),
-        (F.col("source_size") * float(most_copies)).alias("cap"),
-    )
-    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source"))
-    everything = Window.partitionBy()
-    before = F.sum("cap").over(by_cap) - F.col("cap")
-    weight_before = F.sum("weight").over(by_cap) - F.col("weight")
-    level = (F.sum("source_size").over(everything) - before) / (
-        F.sum("weight").over(everything) - weight_before
+    turn = F.col("position") % len(weights)
+    weighted = durable(
+        numbered(totals, F.asc_nulls_last("source")).select(
+            "source",
+            "source_size",
+            F.get(F.array(*[F.lit(float(w)) for w in weights]), turn).alias("weight"),
+            (F.col("source_size") * float(most_copies)).alias("cap"),
+        ),
+        "weighted-sources",
     )
-    levels = weighted.select(
-        "*", level.alias("level"), F.row_number().over(by_cap).alias("place")
-    )
-    first = F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("place"))
-    shared = levels.select("*", F.min_by("level", first).over(everything).alias("final"))
-    return shared.select(
-        "source", "source_size", F.least("cap", F.col("final") * F.col("weight")).alias("target")
+    every = weighted.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (every[0] or 0) / (every[1] or 1.0)
+    capped = 0
+    while True:
+        above = F.col("cap") < F.col("weight") * F.lit(level)
+        # Sums of whole numbers, the same in any order.
+        n, size, weight = weighted.agg(
+            F.count_if(above),
+            F.coalesce(F.sum(F.when(above, F.col("source_size"))), F.lit(0)),
+            F.sum(F.when(~above, F.col("weight"))),
+        ).first()
+        if n == capped or not weight:
+            break
+        capped, level = n, (every[0] - most_copies * size) / weight
+    return weighted.select(
+        "source", "source_size", F.least("cap", F.col("weight") * F.lit(level)).alias("target")
     )
 
 
@@ -88,10 +100,11 @@ def _source_table(units: DataFrame, weights: tuple[float, ...], most_copies: flo
     sizes = units.select("source", (F.col("size") * F.col("n")).alias("size"), _class())
     wanted = targets(sizes.select("source", "size"), weights, most_copies)
     blocks = sizes.groupBy("source", "class").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count(F.lit(1)).alias("units")
     )
     by_class = blocks.groupBy("source").agg(
-        F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("blocks")
+        F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("blocks"),
+        F.sum("units").alias("units"),
     )
     renamed = by_class.withColumnRenamed("source", "_source")
     same = F.col("source").eqNullSafe(F.col("_source"))
@@ -133,6 +146,7 @@ def _pair(state: Column, item: Column) -> Column:
             F.array(
                 F.struct(
                     F.when(first_done, one["id"]).otherwise(item["id"]).alias("id"),
+                    F.when(first_done, s).otherwise(t).alias("words"),
                     (goes_up == first_done).alias("taken"),
                 )
             ),
@@ -152,7 +166,8 @@ def _round(items: DataFrame, keys: list[str], seed: int, level: int) -> DataFram
     groups = items.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("items"))
     first = F.get("items", F.lit(0))
     none = F.transform(
-        F.slice("items", 1, 0), lambda i: F.struct(i["id"].alias("id"), F.lit(False).alias("taken"))
+        F.slice("items", 1, 0),
+        lambda i: F.struct(i["id"].alias("id"), i["words"].alias("words"), F.lit(False).alias("taken")),
     )
     start = F.struct(
         F.struct(*[first[c].alias(c) for c in ("p", "words", "id")]).alias("left"),
@@ -164,6 +179,38 @@ def _round(items: DataFrame, keys: list[str], seed: int, level: int) -> DataFram
     )
 
 
+def _corrected(rounds: DataFrame) -> DataFrame:
+    """The last round, where rounding what is left over is made good by smaller documents.
+
+    Rounding a fraction adds or takes words. From the largest document of the group to the
+    smallest, one is rounded the other way where that brings the words nearer to what they
+    were. So a source misses its target by about half of a small document.
+    """
+    left = F.col("left")
+    wanted = F.when(left["p"] >= 0.5, 1 - left["p"]).otherwise(-left["p"]) * left["words"]
+    ordered = F.sort_array(
+        F.transform(
+            "done",
+            lambda d: F.struct(
+                (-d["words"]).alias("order"), d["id"].alias("id"), d["words"].alias("words"),
+                d["taken"].alias("taken"),
+            ),
+        )
+    )
+
+    def turn(state: Column, d: Column) -> Column:
+        off = state["off"] + F.when(d["taken"], -d["words"]).otherwise(d["words"])
+        nearer = F.abs(off) < F.abs(state["off"])
+        now = F.struct(d["id"].alias("id"), d["words"].alias("words"), (d["taken"] != nearer).alias("taken"))
+        return F.struct(
+            F.when(nearer, off).otherwise(state["off"]).alias("off"),
+            F.concat(state["done"], F.array(now)).alias("done"),
+        )
+
+    start = F.struct(wanted.alias("off"), F.slice("done", 1, 0).alias("done"))
+    return rounds.withColumn("done", F.aggregate(ordered, start, turn)["done"])
+
+
 def _rounded(rounds: DataFrame) -> DataFrame:
     return rounds.select(F.explode("done").alias("d")).select("d.id.*", "d.taken")
 
@@ -176,12 +223,15 @@ def _round_fractions(items: DataFrame, most_blocks: int, seed: int) -> DataFrame
     """``(doc_id, source, size, taken)`` for ``items`` with fraction ``p`` and block keys.
 
     The tree first joins the blocks of a size class, as many rounds as the most
-    blocks ask for, then the size classes of a source.
+    blocks ask for, then the size classes of a source and what was in ``reserve``.
     """
     keys = ["source", "class", "block"]
+    reserve = items.where("reserve").select("doc_id", "source", "size", "p", "words")
+    items = items.where("not reserve").drop("reserve")
     found, level = [], 0
     while True:
-        rounds = durable(_round(items, keys, seed, level), "rounds")
+        rounds = _round(items, keys, seed, level)
+        rounds = durable(rounds if "class" in keys else _corrected(rounds), "rounds")
         found.append(_rounded(rounds))
         level += 1
         if most_blocks > 1:
@@ -190,7 +240,7 @@ def _round_fractions(items: DataFrame, most_blocks: int, seed: int) -> DataFrame
             items = _going(rounds, F.col("class"), block)
         elif "class" in keys:
             keys = ["source"]
-            items = _going(rounds)
+            items = _going(rounds).unionByName(reserve)
         else:
             break
     taken = (F.col("p") >= 0.5).alias("taken")
@@ -227,7 +277,9 @@ def mix(
         "*", F.floor("wish").alias("sure"), (F.col("wish") - F.floor("wish")).alias("p")
     )
     dealt = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("size"))
+    waits = F.xxhash64(F.lit(seed), F.lit("reserve"), F.col("doc_id"), F.col("size"))
     items = wanted.where(F.col("p") > 0).select(
+        (F.pmod(waits, F.col("units")) < RESERVE).alias("reserve"),
         "source",
         "class",
         F.pmod(dealt, F.element_at("blocks", F.col("class"))).alias("block"),

@@ -68,6 +68,33 @@ def test_small_blocks_need_more_rounds_and_stay_near(docs_of, monkeypatch):
         assert abs(taken - own[0]["target"]) <= max(r["size"] for r in own) / 2 + 1e-6
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_small_sources_come_as_near_as_a_small_document(docs_of, seed):
+    """Twelve sources of thirty documents: half a common document, or 2 % of the target."""
+    rng = random.Random(seed)
+    rows = [
+        (i, "w " * max(1, int(rng.lognormvariate(5, 1))), "en", f"src{i % 12}") for i in range(360)
+    ]
+    found = mix(docs_of(rows)).collect()
+    for source in {r["source"] for r in found}:
+        own = [r for r in found if r["source"] == source]
+        taken = sum(r["copies"] * r["size"] for r in own)
+        median = sorted(r["size"] for r in own)[len(own) // 2]
+        assert abs(taken - own[0]["target"]) <= max(median / 2, 0.02 * own[0]["target"]), (source, taken, own[0]["target"])
+
+
+def test_blocks_and_reserve_come_near(docs_of, monkeypatch):
+    """With a reserve far smaller than the sources, leftovers of all classes meet it."""
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    monkeypatch.setattr(mixing, "RESERVE", 32)
+    rows = mix(docs_of(corpus(5, 1500))).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(1500))
+    for source in ["hot", "a", "b", "c", None]:
+        own = [r for r in rows if r["source"] == source]
+        taken = sum(r["copies"] * r["size"] for r in own)
+        assert abs(taken - own[0]["target"]) <= max(30, 0.03 * own[0]["target"])
+
+
 def test_every_document_keeps_its_chance(spark):
     """Over many seeds the copies of each document average to the wish."""
     rows = [(i, "w " * (3 + 7 * i % 50), "en", "ab"[i % 2], 0) for i in range(20)]
