@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -174,8 +174,24 @@ def align_tokens(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PI
     rows and rows without an id each get a row. Other columns are not read, so their names
     may be anything; an empty table gives no rows.
     """
+    return _tokenized(docs, byte_level, pieces, ALIGNED, _arrays)
+
+
+def _arrays(found: list[tuple[list[int], ...]]) -> list[pa.Array]:
+    return [pa.array(c, _INTS) for c in zip(*found, strict=True)]
+
+
+def _tokenized(
+    docs: DataFrame,
+    byte_level: str,
+    pieces: str,
+    schema: str,
+    columns: Callable[[list[tuple[list[int], ...]]], list[pa.Array]],
+) -> DataFrame:
+    """``doc_id`` and what ``columns`` makes of the alignments of some texts."""
     files = Path(byte_level).read_text(encoding="utf-8"), Path(pieces).read_bytes()
     both = send(docs.sparkSession, (Tokenizers, *files))
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, *contents = both()
@@ -186,14 +202,11 @@ def align_tokens(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PI
             tokenizers = tokenizers or make(*contents)
             ids, at = batch.column("doc_id"), 0
             for group in _chunks(as_bytes(batch.column("text"))):
-                found = zip(*tokenizers.align(group), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(group)), *(pa.array(c, _INTS) for c in found)],
-                    names=["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"],
-                )
+                made = columns(list(tokenizers.align(group)))
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(group)), *made], names=names)
                 at += len(group)
 
-    return documents(docs).mapInArrow(run, ALIGNED)
+    return documents(docs).mapInArrow(run, schema)
 
 
 def groups_text(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> str:
@@ -215,31 +228,24 @@ _DIGEST = (
 )
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(found: list[tuple[list[int], ...]]) -> list[pa.Array]:
     """Sizes, hash of the groups, and distinct linked pairs ``a << 32 | b`` with their number."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b, a_ends, b_ends = (batch.column(c).to_pylist() for c in range(1, 5))
-        hashes, pairs, times = [], [], []
-        for row in zip(a, b, a_ends, b_ends, strict=True):
-            ids_a, ids_b, i, j = (np.array(c, np.int64) for c in row)
-            found, n = np.unique(ids_a[i - 1] << 32 | ids_b[j - 1], return_counts=True)
-            pairs.append(found)
-            times.append(n.astype(np.int32))
-            spelt = groups_text(*row)
-            hashes.append(hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
-        sizes = [pa.array([len(x) for x in c], pa.int64()) for c in (a, b, a_ends)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                *sizes,
-                pa.array(hashes),
-                pa.array(pairs, pa.list_(pa.int64())),
-                pa.array(times, _INTS),
-            ],
-            names=[part.split()[0] for part in _DIGEST.split(", ")],
-        )
+    hashes, pairs, times = [], [], []
+    for a, b, a_ends, b_ends in found:
+        last_a = np.array(a, np.int64)[np.array(a_ends, np.intp) - 1]
+        last_b = np.array(b, np.int64)[np.array(b_ends, np.intp) - 1]
+        distinct, n = np.unique(last_a << 32 | last_b, return_counts=True)
+        pairs.append(distinct)
+        times.append(n.astype(np.int32))
+        spelt = groups_text(a, b, a_ends, b_ends)
+        hashes.append(hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
+    sizes = [pa.array([len(row[c]) for row in found], pa.int64()) for c in range(3)]
+    return [
+        *sizes,
+        pa.array(hashes),
+        pa.array(pairs, pa.list_(pa.int64())),
+        pa.array(times, _INTS),
+    ]
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
@@ -277,7 +283,7 @@ def alignment_counts(
     Repeated rows count repeatedly; an empty table gives no rows. ``frequent`` moves work
     between broadcast and join, never the result.
     """
-    aligned = align_tokens(docs, byte_level, pieces).mapInArrow(_digests, _DIGEST)
+    aligned = _tokenized(docs, byte_level, pieces, _DIGEST, _digests)
     rows = durable(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
     zipped = F.arrays_zip(F.col("pairs").alias("pair"), F.col("times").alias("times"))
     links = rows.select("row", F.inline(zipped).alias("pair", "times"))
