@@ -55,6 +55,13 @@ pairs AS (
   UNION
   SELECT 'c' || c_custkey, CAST(c_custkey AS VARCHAR) FROM customer
 )"""
+CROWDED_PAIRS = f"""{CATALOGUE_PAIRS.replace("pairs AS", "catalogue_pairs AS")},
+pairs AS (
+  SELECT * FROM catalogue_pairs
+  UNION
+  SELECT 'large' || u, CAST(p_partkey AS VARCHAR) FROM part, range(24) AS users(u)
+  WHERE u < 12 OR p_partkey % (u - 10) <> 0
+)"""
 
 EVENT_LINES = r"""
 fields AS (
@@ -385,6 +392,7 @@ known AS (SELECT * FROM log WHERE user_id IS NOT NULL AND item_id IS NOT NULL)""
             f"FROM c{KMEANS_ROUNDS}", EVENTS_LOG, *fine, COARSE, _kmeans()
         ),
         "catalogue_item_co_occurrence": ask("SELECT * FROM ranked", CATALOGUE_PAIRS, CO_OCCURRENCE),
+        "crowded_item_co_occurrence": ask("SELECT * FROM ranked", CROWDED_PAIRS, CO_OCCURRENCE),
         "keyless_record_verdicts": ask(verdict, KEYLESS_LOG),
         "keyless_deep_pairs": ask(
             "SELECT DISTINCT user_id, item_id FROM known WHERE behavior IN ('cart', 'fav', 'buy')",

@@ -14,22 +14,23 @@ may hold a third of the log. Exact steps keep it in bounds:
    their pairs ever listed.
 4. Should more users be that large, the smaller of them are counted as lists
    cut into parts, each pair of parts a row of its own.
-5. In a sparse log the floor is so low that nobody may be set aside. Then the
-   few largest users are, in another way: the items they share in the same way
-   form a class, and of the pairs of two classes only the first in id order can
-   be in the answer. These few pairs join those that other users have. So the
-   ``CLASS_USERS`` largest users cost their items and no more at any floor;
-   further large users then cost the square of their items.
+5. In a sparse log the floor is so low that few users or none may be set aside
+   like that. Then the ``hot_users`` largest are, in another way: items that the
+   same of these users have are a class, and a search over pairs of classes,
+   best bound first, finds the first pairs that these users share most often.
+   Those join the pairs that other users have. So these users cost their items
+   and the pairs of their classes; further large users cost the square of their
+   items.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
-from itertools import combinations_with_replacement
 from operator import add
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.constants import TOP_ITEM_PAIRS
@@ -43,8 +44,10 @@ LIST_ITEMS = 1000
 # The most users that are set aside, which is the length of a bitmap.
 HOT_USERS = 1024
 _WORD_BITS = 64
-# The most users set aside by classes of items, of which they make 2 ** this many.
-CLASS_USERS = 4
+# The most classes of items the driver compares; more are compared in a join.
+LEADING_CLASSES = 1024
+# The most classes with a common user that one group of that join holds.
+CLASS_BLOCK = 2048
 
 
 def item_co_occurrence(
@@ -130,18 +133,18 @@ def _all_counts(
         counts = durable(counts, "counts")
         floor = max(floor, _least_of_top(counts, top))
     allowed = _may_set_aside(floor, hot_users)
-    by_class = min(CLASS_USERS, hot_users)
-    if sizes[0] > allowed and allowed < by_class:
+    if sizes[0] > allowed and allowed < hot_users:
+        by_class = min(hot_users, sizes[0])
         largest = durable(
-            large.orderBy(F.desc("degree"), "user_id").limit(by_class).select("user_id"),
-            "largest-users",
+            large.orderBy(F.desc("degree"), "user_id").limit(by_class), "largest-users"
         )
         if sizes[0] > by_class:
-            others = large.join(F.broadcast(largest), "user_id", "left_anti")
+            others = large.join(F.broadcast(largest.select("user_id")), "user_id", "left_anti")
             middle = attach(kept, durable(others, "large-users"), "user_id", rows)
             counts = _sum(counts, _count_cut_lists(middle, list_items))
-        masks, words = _bitmaps(kept, largest, min(by_class, sizes[0]))
-        alone = _best_of_classes(masks.select("item", F.col(words[0]).alias("mask")), top)
+        masks, words = _bitmaps(kept, largest, by_class)
+        # A pair that only these users have is theirs as often as it is found.
+        alone = _best_of_classes(masks.where(_bits_in(words) >= floor), top)
         counts = _add_shares(_sum(counts, alone), masks, words)
         return counts.where(F.col("cnt") >= floor)
     cut, hot_count = next((c, n) for c, n in zip(cuts, sizes, strict=True) if n <= allowed)
@@ -149,7 +152,7 @@ def _all_counts(
         middle = attach(kept, large.where(F.col("degree") <= cut), "user_id", rows)
         counts = _sum(counts, _count_cut_lists(middle, list_items))
     if hot_count:
-        hot = large.where(F.col("degree") > cut).select("user_id")
+        hot = large.where(F.col("degree") > cut)
         masks, words = _bitmaps(kept, hot, hot_count)
         # A pair gains at most the number of hot users; rarer pairs are out.
         near = counts.where(F.col("cnt") >= floor - hot_count)
@@ -248,23 +251,29 @@ def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
 
 
 def _bitmaps(kept: DataFrame, hot: DataFrame, hot_count: int) -> tuple[DataFrame, list[str]]:
-    """Per item the ``hot`` users that have it, as bits of the named words."""
-    # At most HOT_USERS rows: one small window numbers them.
-    bits = hot.select(
-        "user_id", (F.row_number().over(Window.orderBy("user_id")) - 1).alias("bit")
-    )
+    """Per item the ``hot`` users that have it, as bits of the named words.
+
+    Low bits are users with few items.
+    """
+    # At most ``hot_users`` rows: one small window numbers them.
+    number = F.row_number().over(Window.orderBy("degree", "user_id")) - 1
+    bits = hot.select("user_id", number.alias("bit"))
     words = [f"w{i}" for i in range(math.ceil(hot_count / _WORD_BITS))]
     flag = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit") % _WORD_BITS)
     word = F.floor(F.col("bit") / _WORD_BITS)
     masks = durable(
         kept.join(F.broadcast(bits), "user_id")
         .groupBy("item")
-        .agg(*[F.bit_or(F.when(word == i, flag)).alias(w) for i, w in enumerate(words)]),
+        .agg(*[F.bit_or(F.when(word == i, flag).otherwise(0)).alias(w) for i, w in enumerate(words)]),
         "hot-bitmaps",
     )
     return masks, words
 
 
+def _bits_in(words: list[str]) -> Column:
+    return reduce(add, [F.bit_count(F.col(w)) for w in words])
+
+
 def _add_shares(counts: DataFrame, masks: DataFrame, words: list[str]) -> DataFrame:
     """Add to each count the hot users that have both items."""
     left = masks.select(F.col("item").alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
@@ -283,41 +292,188 @@ def _add_shares(counts: DataFrame, masks: DataFrame, words: list[str]) -> DataFr
 def _best_of_classes(masks: DataFrame, top: int) -> DataFrame:
     """The ``top`` pairs that most of a few users share: ``(a, b, cnt)``, ``cnt`` 0.
 
-    Items with the same ``mask`` are a class, and all pairs of two classes have
-    the same number of these users. Of such pairs those of low items come
-    first: the pair of the r-th and the s-th item has r * s pairs, itself
-    included, that do not come after it, so about top * log(top) can matter.
+    ``masks`` has ``item`` and the words of its bitmap. Items with the same
+    bitmap are a class, and all pairs of two classes have the same number of
+    these users. Of such pairs those of low items come first: the pair of the
+    r-th and the s-th item has r * s pairs, itself included, that do not come
+    after it, so about top * log(top) can matter.
     """
-    # At most 2 ** CLASS_USERS classes.
-    sizes = sorted(map(tuple, masks.groupBy("mask").count().collect()))
-    levels: dict[int, list[tuple[int, int, int]]] = {}
-    found: dict[int, int] = {}
-    for (one, n), (two, m) in combinations_with_replacement(sizes, 2):
-        shared, pairs_of = (one & two).bit_count(), n * (n - 1) // 2 if one == two else n * m
-        if shared and pairs_of:
-            levels.setdefault(shared, []).append((one, two, shared))
-            found[shared] = found.get(shared, 0) + pairs_of
-    wanted, total = [], 0
-    for shared in sorted(levels, reverse=True):
-        if total < top:
-            wanted += levels[shared]
-            total += found[shared]
-    table = masks.sparkSession.createDataFrame(wanted, "mask long, two long, shared int")
-    rank = F.row_number().over(Window.partitionBy("mask").orderBy("item")).alias("r")
-    ranked = durable(masks.select("mask", "item", rank).where(F.col("r") <= top + 1), "classes")
-    r, same = F.col("r"), F.col("mask") == F.col("two")
+    words = masks.columns[1:]
+    classes = _classes(masks, words)
+    pairs = durable(_best_class_pairs(classes, words, top), "class-pairs")
+    ranked = durable(_first_items(masks, classes, pairs, words, top), "classes")
+    r, same = F.col("r"), F.col("one") == F.col("two")
     first = F.when(same, r + 1).otherwise(1)
-    last = F.floor(F.when(same, (top + r * (r + 1) / 2) / r).otherwise(top / r)).cast("int")
+    last = F.floor(F.when(same, (top + r * (r + 1) / 2) / r).otherwise(top / r))
+    last = F.least(last, "n_two").cast("int")
     partners = (
-        ranked.join(F.broadcast(table), "mask")
+        ranked.withColumnRenamed("lead", "one")
+        .join(_broadcast_if_small(pairs, top), "one")
         .where(first <= last)
         .select("item", "shared", "two", F.explode(F.sequence(first, last)).alias("s"))
     )
     other = ranked.select(
-        F.col("mask").alias("two"), F.col("r").alias("s"), F.col("item").alias("other")
+        F.col("lead").alias("two"), F.col("r").alias("s"), F.col("item").alias("other")
     )
     found_pairs = partners.join(other, ["two", "s"]).select(
         F.least("item", "other").alias("a"), F.greatest("item", "other").alias("b"), "shared"
     )
     best = found_pairs.orderBy(F.desc("shared"), "a", "b").limit(top)
     return best.select("a", "b", F.lit(0).cast("bigint").alias("cnt"))
+
+
+def _broadcast_if_small(df: DataFrame, top: int) -> DataFrame:
+    """``df``, of at most 2 * ``top`` rows, broadcast while that is few."""
+    return F.broadcast(df) if 2 * top <= pairs_module.BROADCAST_KEYS else df
+
+
+def _classes(masks: DataFrame, words: list[str]) -> DataFrame:
+    """Per bitmap: items ``n``, users ``bits``, the two least items ``lead`` and ``second``.
+
+    ``lead`` names the class. Both least items combine on the map side.
+    """
+    leads = masks.groupBy(*words).agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("lead"))
+    leads = durable(leads.withColumn("bits", _bits_in(words)), "class-leads")
+    # A class of one has no pair of its own, and its second item is never asked for.
+    several = leads.where(F.col("n") > 1).select(*words, "lead")
+    rest = masks.join(several, words).where(F.col("item") > F.col("lead"))
+    seconds = rest.groupBy("lead").agg(F.min("item").alias("second"))
+    return durable(leads.join(seconds, "lead", "left"), "item-classes")
+
+
+def _best_class_pairs(classes: DataFrame, words: list[str], top: int) -> DataFrame:
+    """Pairs of classes that can have one of the ``top`` pairs: ``(one, two, shared, n_two)``.
+
+    Two classes share at most the users of the smaller one, so classes are
+    taken by their users, most first, until no later class can reach the count
+    that ``top`` pairs have. The driver looks at ``LEADING_CLASSES`` at most.
+    Are there more, their count is a floor for a join of all classes above it.
+    A class pair whose first items come after those of ``top`` others has no
+    pair to add, so at most ``top`` are returned.
+    """
+    head = classes.orderBy(F.desc("bits"), "lead").limit(LEADING_CLASSES + 1).collect()
+    seen: list[tuple[int, int, int, int | None]] = []
+    found, tally, floor = [], Counter(), 1
+    for row in head[:LEADING_CLASSES]:
+        if row["bits"] < floor:
+            break
+        mask = 0
+        for w in reversed(words):
+            mask = mask << _WORD_BITS | row[w] & (1 << _WORD_BITS) - 1
+        seen.append((mask, row["n"], row["lead"], row["second"]))
+        for other, m, lead, _ in seen:
+            one, two = sorted((row["lead"], lead))
+            shared = (mask & other).bit_count()
+            pairs = row["n"] * m if one != two else m * (m - 1) // 2
+            if pairs and shared >= floor:
+                tally[shared] += pairs
+                second = two if one != two else row["second"]
+                found.append((-shared, one, second, two, m if two == lead else row["n"]))
+        floor = max(floor, _level_of(tally, top))
+    if len(seen) == LEADING_CLASSES < len(head) and head[-1]["bits"] >= floor:
+        return _joined_class_pairs(classes, words, floor, top)
+    best = sorted(found)[:top]
+    return classes.sparkSession.createDataFrame(
+        [(one, two, -less, n) for less, one, _, two, n in best if -less >= floor],
+        "one long, two long, shared int, n_two long",
+    )
+
+
+def _level_of(tally: Counter, top: int) -> int:
+    """The largest count that at least ``top`` pairs reach; 1 where there are fewer."""
+    total = 0
+    for shared in sorted(tally, reverse=True):
+        total += tally[shared]
+        if total >= top:
+            return shared
+    return 1
+
+
+def _joined_class_pairs(
+    classes: DataFrame, words: list[str], floor: int, top: int
+) -> DataFrame:
+    """The same from all classes with ``floor`` users or more.
+
+    Classes that share ``floor`` users have one in common among the first
+    ``bits - floor + 1`` of each, in the order of bits, so they meet at one of
+    these, rare users first. Many classes at one user are compared in blocks.
+    """
+    near = classes.where(F.col("bits") >= floor)
+    every = F.sequence(F.lit(0), F.lit(_WORD_BITS * len(words) - 1))
+    users = F.filter(
+        every,
+        lambda b: F.getbit(
+            F.get(F.array(*words), F.floor(b / _WORD_BITS).cast("int")), b % _WORD_BITS
+        )
+        == 1,
+    )
+    prefix = F.slice(users, 1, (F.col("bits") - floor + 1).cast("int"))
+    at_user = durable(near.select("lead", "n", *words, F.explode(prefix).alias("bit")), "at-user")
+    blocks = at_user.groupBy("bit").agg(
+        F.ceil(F.count(F.lit(1)) / CLASS_BLOCK).cast("int").alias("blocks")
+    )
+    split = at_user.join(F.broadcast(blocks), "bit").withColumn(
+        "block", F.pmod(F.hash("lead"), F.col("blocks"))
+    )
+    low = split.withColumn("high", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    high = split.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("block"))))
+    low = low.select(
+        "bit", F.col("block").alias("low"), "high", F.col("lead").alias("x"),
+        F.col("n").alias("n_x"), *[F.col(w).alias(f"x_{w}") for w in words],
+    )
+    high = high.select(
+        "bit", "low", F.col("block").alias("high"), F.col("lead").alias("y"),
+        F.col("n").alias("n_y"), *[F.col(w).alias(f"y_{w}") for w in words],
+    )
+    shared = reduce(
+        add, [F.bit_count(F.col(f"x_{w}").bitwiseAND(F.col(f"y_{w}"))) for w in words]
+    )
+    met = low.join(high, ["bit", "low", "high"]).where(
+        ((F.col("low") < F.col("high")) | (F.col("x") < F.col("y"))) & (shared >= floor)
+    )
+    one, two = F.least("x", "y"), F.greatest("x", "y")
+    n_two = F.when(F.col("x") > F.col("y"), F.col("n_x")).otherwise(F.col("n_y"))
+    across = met.select(
+        one.alias("one"), two.alias("two"), shared.alias("shared"), n_two.alias("n_two"),
+        two.alias("second"),
+    ).dropDuplicates(["one", "two"])
+    within = near.where(F.col("n") > 1).select(
+        F.col("lead").alias("one"), F.col("lead").alias("two"), F.col("bits").alias("shared"),
+        F.col("n").alias("n_two"), "second",
+    )
+    best = across.unionByName(within).orderBy(F.desc("shared"), "one", "second").limit(top)
+    return best.select("one", "two", "shared", "n_two")
+
+
+def _first_items(
+    masks: DataFrame, classes: DataFrame, pairs: DataFrame, words: list[str], top: int
+) -> DataFrame:
+    """The first ``top + 1`` items of each class in ``pairs``: ``(lead, item, r)``.
+
+    Items are numbers, so they are ranked within ranges of about a shuffle
+    partition; sizes of a class's earlier ranges turn that into ranks in the
+    class. No task sorts a whole class, and ranges past the last rank are not
+    ranked at all.
+    """
+    asked = pairs.select(F.col("one").alias("lead")).union(pairs.select("two")).distinct()
+    named = classes.join(_broadcast_if_small(asked, top), "lead", "left_semi")
+    members = masks.join(_broadcast_if_small(named.select("lead", *words), top), words)
+    parts = int(masks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = (masks.agg(F.max("item")).first()[0] or 0) // parts + 1
+    ranged = durable(
+        members.select("lead", "item", F.floor(F.col("item") / width).alias("range")), "members"
+    )
+    # One row per class and range.
+    before = Window.partitionBy("lead").orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    sizes = ranged.groupBy("lead", "range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select(
+        "lead", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+    ).where(F.col("offset") <= top)
+    rank = F.row_number().over(Window.partitionBy("lead", "range").orderBy("item"))
+    return (
+        ranged.join(offsets, ["lead", "range"])
+        .select("lead", "item", (rank + F.col("offset")).alias("r"))
+        .where(F.col("r") <= top + 1)
+    )

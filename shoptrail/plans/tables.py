@@ -85,6 +85,25 @@ def catalogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(F.lit("all").alias("user_id"), item).distinct().unionByName(own.distinct())
 
 
+def crowded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many large users in a sparse log: ``catalogue_pairs`` and 24 more users of ``part``.
+
+    Twelve have all parts; of the others each leaves out every n-th part, n from 2.
+    """
+    user = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("u")
+    large = (
+        spark.read.parquet(f"{sf_dir}/part.parquet")
+        .select("p_partkey", user)
+        .where((F.col("u") < 12) | (F.col("p_partkey") % (F.col("u") - 10) != 0))
+        .select(
+            F.concat(F.lit("large"), F.col("u").cast("string")).alias("user_id"),
+            F.col("p_partkey").cast("string").alias("item_id"),
+        )
+        .distinct()
+    )
+    return catalogue_pairs(spark, sf_dir).unionByName(large)
+
+
 def purchase_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` with ``lineitem`` as a log of what customers do with parts.
 

@@ -188,6 +188,37 @@ def test_one_user_with_all_items_costs_its_items(pairs_of, monkeypatch):
     assert listed == [500, 1000]
 
 
+@pytest.mark.parametrize("leading", [3, 1024])
+@pytest.mark.parametrize(("seed", "top"), [(0, 1), (1, 9), (2, 150), (3, 5000)])
+def test_many_large_users_by_classes(pairs_of, monkeypatch, leading, seed, top):
+    """Seventy large users, two bitmap words, in a log whose floor is low."""
+    monkeypatch.setattr(co_occurrence, "LEADING_CLASSES", leading)
+    monkeypatch.setattr(co_occurrence, "CLASS_BLOCK", 7)
+    monkeypatch.setattr(co_occurrence, "_count_cut_lists", None)
+    rng = random.Random(seed)
+    pairs = {(f"h{h}", str(i)) for h in range(70) for i in rng.sample(range(300), 12)}
+    pairs |= {(f"h{h}", str(i)) for h in range(5) for i in range(0, 300, 2)}
+    pairs |= {(f"s{u}", str(rng.randrange(300))) for u in range(150)}
+    pairs |= {(f"p{u}", str(i)) for u in range(20) for i in rng.sample(range(300), 2)}
+    found = item_co_occurrence(pairs_of(pairs), top, list_items=10).collect()
+    assert [tuple(r) for r in found] == top_pairs(pairs, top)
+
+
+def test_no_task_ranks_a_whole_class(spark):
+    """One class of all items: windows are over ranges of it, and few rows are kept."""
+    masks = spark.range(5000).select(F.col("id").alias("item"), F.lit(1).cast("long").alias("w0"))
+    classes = co_occurrence._classes(masks, ["w0"])
+    pairs = co_occurrence._best_class_pairs(classes, ["w0"], 20)
+    assert [tuple(r) for r in pairs.collect()] == [(0, 0, 1, 5000)]
+    ranked = co_occurrence._first_items(masks, classes, pairs, ["w0"], 20)
+    assert sorted(map(tuple, ranked.collect())) == [(0, i, i + 1) for i in range(21)]
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    ranks = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
+    assert ranks and all("range" in line.split("row_number")[1] for line in ranks)
+    best = co_occurrence._best_of_classes(masks, 20).collect()
+    assert [tuple(r) for r in best] == [(0, i, 0) for i in range(1, 21)]
+
+
 def test_hot_starts_by_work(spark, pairs_of):
     """An item that starts many pairs is hot even if few users have it."""
     lists = [(f"u{u}", [0, *range(100, 110)]) for u in range(40)]
