@@ -10,6 +10,7 @@ TARGET = "8"
 BLOCK_USERS = 20
 INDEX_USERS = 100_000
 KMEANS_ROUNDS = 20
+MANY_CENTERS = 50
 WALK_ROUNDS = 20
 STOP_TOL = 0.01
 
@@ -47,7 +48,9 @@ log AS (
 )"""
 PARTED_LOG = f"""{EVENTS_LOG.replace("log AS", "plain_log AS")},
 log AS (
-  SELECT * FROM plain_log WHERE (CAST(user_id AS BIGINT) + CAST(item_id AS BIGINT)) % 2 = 0
+  SELECT * REPLACE (CAST(2 * CAST(item_id AS BIGINT) + CAST(user_id AS BIGINT) % 2 AS VARCHAR)
+                    AS item_id)
+  FROM plain_log
 )"""
 CATALOGUE_PAIRS = """
 pairs AS (
@@ -227,11 +230,11 @@ index AS (
 )"""
 
 
-def _kmeans() -> str:
+def _kmeans(k: int = 3, rounds: int = KMEANS_ROUNDS) -> str:
     parts = [
-        """
+        f"""
 drawn AS (
-  SELECT * FROM features ORDER BY md5('2026:' || user_id), user_id LIMIT 3
+  SELECT * FROM features ORDER BY md5('2026:' || user_id), user_id LIMIT {k}
 ),
 c0 AS MATERIALIZED (
   SELECT CAST(row_number() OVER (ORDER BY md5('2026:' || user_id), user_id) - 1 AS INTEGER)
@@ -239,7 +242,7 @@ c0 AS MATERIALIZED (
   FROM drawn
 )"""
     ]
-    for i in range(KMEANS_ROUNDS):
+    for i in range(rounds):
         parts.append(f"""
 {_labels(f"l{i}", f"c{i}")},
 c{i + 1} AS MATERIALIZED (
@@ -249,7 +252,7 @@ c{i + 1} AS MATERIALIZED (
     SELECT cluster, avg(f1) AS c1, avg(f2) AS c2, avg(f3) AS c3 FROM l{i} GROUP BY cluster
   ) m ON m.cluster = c.cluster
 )""")
-    parts.append(_labels("labels", f"c{KMEANS_ROUNDS}"))
+    parts.append(_labels("labels", f"c{rounds}"))
     return ",".join(parts)
 
 
@@ -493,5 +496,23 @@ FROM parts GROUP BY 1""",
             "ELSE 'kept' END AS verdict, count(*) AS line_count FROM features GROUP BY 1"
         ),
         **_special(),
+        "clean_rejects": (
+            f"WITH {_judged()}\nSELECT line, verdict AS reason FROM judged WHERE verdict <> 'kept'"
+        ),
+        "clean_kept_beside_rejects": f"WITH {_judged()}\n{kept}",
+        "user_features_of_parts": f"WITH {features}\nSELECT * FROM features",
+        "many_kmeans_labels": (
+            f"WITH {PURCHASE_LOG},{STATS},{RAW},{EXTREMA},{FEATURES},{_kmeans(MANY_CENTERS, 5)}\nSELECT user_id, cluster FROM labels"
+        ),
+        "ordered_index_export": (
+            f"WITH {MIXED_LOG},{PAIRS},{_index(BLOCK_USERS)}\n"
+            "SELECT row_number() OVER (ORDER BY item_id, block) - 1 AS position, "
+            "item_id || chr(9) || block || chr(9) || users AS value FROM index"
+        ),
+        "ordered_label_export": (
+            f"WITH {features},{_kmeans()}\n"
+            "SELECT row_number() OVER (ORDER BY user_id) - 1 AS position, "
+            "user_id || ',' || cluster AS value FROM labels"
+        ),
         **purchases,
     }

@@ -8,8 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Up to this many centres the comparison is unrolled into generated code; with
-# twice as many the generated method is too long for the JVM to compile.
-_UNROLLED = 16
+# twice as many the generated method is too long for the JVM to compile. More
+# centres are a table.
+UNROLLED = 16
 
 
 def distance(point: Sequence[Column], centre: Sequence[Column]) -> Column:
@@ -21,33 +22,26 @@ def nearest(point: Sequence[Column], centres: Sequence[Sequence[float]]) -> Colu
     """Number of the closest centre; the lowest number wins a tie.
 
     A struct compares field by field, so the smallest (distance, number) pair
-    is the answer. ``centres`` is bounded by k and travels as literals.
+    is the answer. ``centres``, ``UNROLLED`` at most, travel as literals.
     """
     if len(centres) == 1:
         return F.lit(0)
-    if len(centres) <= _UNROLLED:
-        candidates = [
-            F.struct(
-                distance(point, [F.lit(float(v)) for v in c]).alias("d"),
-                F.lit(i).alias("cluster"),
-            )
-            for i, c in enumerate(centres)
-        ]
-        return F.least(*candidates)["cluster"]
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("cluster"),
-                *[F.lit(float(v)).alias(f"c{j}") for j, v in enumerate(c)],
-            )
-            for i, c in enumerate(centres)
-        ]
-    )
+    candidates = [
+        F.struct(
+            distance(point, [F.lit(float(v)) for v in c]).alias("d"),
+            F.lit(i).alias("cluster"),
+        )
+        for i, c in enumerate(centres)
+    ]
+    return F.least(*candidates)["cluster"]
+
+
+def nearest_in_table(point: Sequence[Column], table: Column, axes: Sequence[str]) -> Column:
+    """The same with centres as one array of structs, ``cluster`` and the ``axes``."""
     scored = F.transform(
         table,
         lambda c: F.struct(
-            distance(point, [c[f"c{j}"] for j in range(len(point))]).alias("d"),
-            c["cluster"].alias("cluster"),
+            distance(point, [c[a] for a in axes]).alias("d"), c["cluster"].alias("cluster")
         ),
     )
     return F.array_min(scored)["cluster"]

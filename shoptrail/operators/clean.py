@@ -71,6 +71,40 @@ def clean_behavior_log(
     return judged.select(F.inline(F.when(kept, F.array(record))))
 
 
+# The folder of rejected lines, beside those of the behaviours.
+REJECTED = "rejected"
+
+
+def records_and_rejects(
+    lines: DataFrame,
+    valid: Sequence[str] = ALL_BEHAVIORS,
+    fold_case: bool = False,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Every line, as a record or with the reason why it is none.
+
+    The columns of a record, then ``line`` and ``reason``. A record has neither
+    of these; a rejected line has only these and the behaviour ``REJECTED``.
+    Written with a folder per behaviour, records and rejects come from one pass,
+    and who reads the records never opens the rejects.
+    """
+    if REJECTED in valid:
+        raise ValueError(f"{REJECTED!r} names rejected lines and can be no behaviour")
+    judged = judge_lines(lines, valid, fold_case)
+    kept = F.col("reason").isNull()
+    if observation is not None:
+        judged = judged.observe(
+            observation, F.count(F.lit(1)).alias("lines"), F.count_if(kept).alias("kept")
+        )
+    return judged.select(
+        *[F.when(kept, F.col(c)).alias(c) for c in ("user_id", "item_id", "category_id")],
+        F.when(kept, F.col("behavior")).otherwise(F.lit(REJECTED)).alias("behavior"),
+        F.when(kept, F.col("ts")).alias("ts"),
+        F.when(~kept, F.col("line")).alias("line"),
+        "reason",
+    )
+
+
 def line_verdicts(lines: DataFrame, valid: Sequence[str] = ALL_BEHAVIORS) -> DataFrame:
     """Number of lines per reject reason; valid lines count as ``kept``."""
     return (

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.constants import KMEANS_K, KMEANS_MAX_ITER, KMEANS_SEED, KMEANS_TOL
-from shoptrail.functions.geometry import nearest
+from shoptrail.functions import geometry
+from shoptrail.functions.geometry import nearest, nearest_in_table
 from shoptrail.schemas import CLUSTER_CENTERS
 from shoptrail.sources.durable import durable
 
 _POINT = ("f1", "f2", "f3")
+_CENTER = ("c1", "c2", "c3")
+# The most centres, which every task holds: about 32 MB of them.
+MAX_CENTERS = 1_000_000
 
 
 def all_finite() -> Column:
@@ -45,7 +49,26 @@ def _point() -> list[Column]:
 
 def assign(features: DataFrame, centers: list[tuple[float, ...]]) -> DataFrame:
     """``(user_id, cluster)``: the nearest centre of each user."""
-    return features.select("user_id", nearest(_point(), centers).alias("cluster"))
+    return _with_nearest(features, centers).select("user_id", "cluster")
+
+
+def _center_table(spark: SparkSession, centers: list[tuple[float, ...]]) -> DataFrame:
+    return spark.createDataFrame([(i, *c) for i, c in enumerate(centers)], CLUSTER_CENTERS)
+
+
+def _with_nearest(features: DataFrame, centers: list[tuple[float, ...]]) -> DataFrame:
+    """``features`` with ``cluster``, the nearest centre.
+
+    Few centres are part of the generated code. More are a table, read as a
+    scalar subquery: a row of its own that each task gets, so the plan is the
+    same for any number of them and no user moves.
+    """
+    if len(centers) <= geometry.UNROLLED:
+        return features.withColumn("cluster", nearest(_point(), centers))
+    row = F.struct("cluster", *_CENTER)
+    table = _center_table(features.sparkSession, centers).agg(F.sort_array(F.collect_list(row)))
+    cluster = nearest_in_table(_point(), F.col("centers"), _CENTER)
+    return features.withColumn("centers", table.scalar()).withColumn("cluster", cluster)
 
 
 def kmeans_users(
@@ -62,6 +85,8 @@ def kmeans_users(
     its centre. Rows with values that are not finite take no part;
     ``feature_row_verdicts`` counts them.
     """
+    if k > MAX_CENTERS:
+        raise ValueError(f"at most {MAX_CENTERS} clusters, {k} asked for")
     points = durable(_finite(features), "points")
     first = initial_centers(points, k, seed).collect()
     if len(first) < k:
@@ -69,7 +94,8 @@ def kmeans_users(
     centers = [tuple(row[c] for c in _POINT) for row in first]
     for _ in range(max_iter):
         means = (
-            points.groupBy(nearest(_point(), centers).alias("cluster"))
+            _with_nearest(points, centers)
+            .groupBy("cluster")
             .agg(*[(F.sum(c) / F.count(F.lit(1))).alias(c) for c in _POINT])
             .collect()
         )
@@ -80,7 +106,4 @@ def kmeans_users(
         centers = moved
         if shift <= tol:
             break
-    table = features.sparkSession.createDataFrame(
-        [(i, *c) for i, c in enumerate(centers)], CLUSTER_CENTERS
-    )
-    return assign(points, centers), table
+    return assign(points, centers), _center_table(features.sparkSession, centers)

@@ -25,13 +25,25 @@ def user_stats(log: DataFrame) -> DataFrame:
     )
 
 
-def _stats_with_extrema(log: DataFrame) -> DataFrame:
+def merged_stats(stats: DataFrame) -> DataFrame:
+    """``user_stats`` of a whole log from those of its parts, some rows a user.
+
+    Newest time, count and score of a user are each the maximum or sum of
+    those of the parts, so no event is read again.
+    """
+    return stats.groupBy("user_id").agg(
+        F.max("last_ts").alias("last_ts"),
+        F.sum("event_count").alias("event_count"),
+        F.sum("score").alias("score"),
+    )
+
+
+def _stats_with_extrema(stats: DataFrame) -> DataFrame:
     """Per-user stats, each row with the struct ``e`` of the global extrema.
 
     The extrema are one row, read as a scalar subquery over the same shuffle:
     the log is scanned once. As a column of its own the subquery stays one.
     """
-    stats = user_stats(log)
     extrema = stats.agg(
         F.struct(
             F.min("last_ts").alias("oldest"),
@@ -50,7 +62,7 @@ def raw_features(log: DataFrame) -> DataFrame:
 
     The newest time of the log is the newest of the users' newest times.
     """
-    return _stats_with_extrema(log).select(
+    return _stats_with_extrema(user_stats(log)).select(
         "user_id",
         days_before(F.col("last_ts"), F.col("e.newest")).alias("f1"),
         F.col("event_count").cast("double").alias("f2"),
@@ -77,6 +89,11 @@ def user_features(log: DataFrame, places: int | None = 4) -> DataFrame:
     Rounded to ``places`` decimals, as the feature file stores them; ``None``
     keeps full precision.
     """
+    return features_of_stats(user_stats(log), places)
+
+
+def features_of_stats(stats: DataFrame, places: int | None = 4) -> DataFrame:
+    """``user_features`` from ``user_stats``, one row a user."""
     oldest, newest = F.col("e.oldest"), F.col("e.newest")
     scaled = {
         "f1": min_max(
@@ -87,7 +104,7 @@ def user_features(log: DataFrame, places: int | None = 4) -> DataFrame:
         "f2": min_max(F.col("event_count"), F.col("e.min_count"), F.col("e.max_count")),
         "f3": min_max(F.col("score"), F.col("e.min_score"), F.col("e.max_score")),
     }
-    return _stats_with_extrema(log).select(
+    return _stats_with_extrema(stats).select(
         "user_id",
         *[
             (c if places is None else F.round(c, places)).alias(name)

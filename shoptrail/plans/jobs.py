@@ -24,17 +24,18 @@ from shoptrail.constants import (
     WALK_MAX_ITER,
     WALK_TOL,
 )
-from shoptrail.operators.clean import clean_behavior_log
+from shoptrail.operators.clean import REJECTED, clean_behavior_log, records_and_rejects
 from shoptrail.operators.clusters import kmeans_users
 from shoptrail.operators.co_occurrence import item_co_occurrence
-from shoptrail.operators.features import user_features
+from shoptrail.operators.features import features_of_stats, user_features
 from shoptrail.operators.index import item_user_index
 from shoptrail.operators.pairs import deep_pairs, written_pairs
 from shoptrail.operators.walk import personal_rank
-from shoptrail.schemas import BEHAVIOR_LOG, USER_FEATURES
+from shoptrail.schemas import BEHAVIOR_LOG, REJECTED_LINES, USER_FEATURES
 from shoptrail.session import settings
 from shoptrail.sources import exports
 from shoptrail.sources.durable import run_folder
+from shoptrail.sources.stats_parts import read_stats, write_part
 from shoptrail.sources.text_files import parse_feature_lines, read_lines
 
 # Text per cleaning task: large, so that the files it writes are.
@@ -57,7 +58,41 @@ def read_log(
     return clean_behavior_log(read_lines(spark, path), valid)
 
 
-def clean_and_features(spark: SparkSession, input_path: str, output_dir: str) -> dict[str, int]:
+def write_clean_log(lines: DataFrame, path: str, keep_rejects: bool = False) -> dict[str, int]:
+    """The table of clean records, a folder per behaviour; returns line counts.
+
+    With ``keep_rejects`` the same pass writes the other lines, with the reason,
+    to a folder of their own, which ``read_rejects`` reads.
+    """
+    seen = Observation()
+    clean = records_and_rejects if keep_rejects else clean_behavior_log
+    with settings(lines.sparkSession, {"spark.sql.files.maxPartitionBytes": INPUT_SPLIT}):
+        exports.write_table(clean(lines, observation=seen), path, "behavior")
+    return dict(seen.get)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, reason)`` of the lines that ``write_clean_log`` kept as rejects."""
+    table = spark.read.schema(REJECTED_LINES).parquet(path)
+    return table.where(F.col("behavior") == REJECTED).select("line", "reason")
+
+
+def add_log_part(
+    spark: SparkSession, log_path: str, part: str, output_dir: str, form: str = "text"
+) -> None:
+    """Features of a log that grows: add one part of it, or write that part anew.
+
+    Reads the new part and a row per user of each earlier one.
+    """
+    stats = f"{output_dir}/user_stats"
+    write_part(read_log(spark, log_path, form), stats, part)
+    features = features_of_stats(read_stats(spark, stats))
+    exports.write_table(features, f"{output_dir}/user_features.parquet")
+
+
+def clean_and_features(
+    spark: SparkSession, input_path: str, output_dir: str, keep_rejects: bool = False
+) -> dict[str, int]:
     """Clean a raw log and compute user features; returns line counts.
 
     The text is parsed once, into a table with a folder per behaviour; the rest
@@ -65,16 +100,14 @@ def clean_and_features(spark: SparkSession, input_path: str, output_dir: str) ->
     never open their folder. Every task reads ``INPUT_SPLIT`` of text, as it
     writes a file per behaviour.
     """
-    seen = Observation()
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": INPUT_SPLIT}):
-        log = clean_behavior_log(read_lines(spark, input_path), observation=seen)
-        exports.write_table(log, f"{output_dir}/clean_behavior_log.parquet", "behavior")
-    log = read_log(spark, f"{output_dir}/clean_behavior_log.parquet", "parquet")
+    table = f"{output_dir}/clean_behavior_log.parquet"
+    counts = write_clean_log(read_lines(spark, input_path), table, keep_rejects)
+    log = read_log(spark, table, "parquet")
     exports.write_lines(exports.log_lines(log), f"{output_dir}/clean_behavior_log.csv")
     exports.write_table(user_features(log), f"{output_dir}/user_features.parquet")
     features = spark.read.schema(USER_FEATURES).parquet(f"{output_dir}/user_features.parquet")
     exports.write_lines(exports.feature_lines(features), f"{output_dir}/user_features.csv")
-    return dict(seen.get)
+    return counts
 
 
 def index_and_co_occurrence(

@@ -63,9 +63,9 @@ def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a log of two halves: even users with even items, odd with odd."""
-    both = F.col("user_id").cast("bigint") + F.col("item_id").cast("bigint")
-    return events_log(spark, sf_dir).where(both % 2 == 0)
+    """``events`` as a log of two halves: each item once for even and once for odd users."""
+    item = F.col("item_id").cast("bigint") * 2 + F.col("user_id").cast("bigint") % 2
+    return events_log(spark, sf_dir).withColumn("item_id", item.cast("string"))
 
 
 def coarse_features(features: DataFrame) -> DataFrame:

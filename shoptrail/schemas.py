@@ -20,6 +20,23 @@ BEHAVIOR_LOG = StructType(
     ]
 )
 
+REJECTED_LINES = StructType(
+    [
+        StructField("line", StringType()),
+        StructField("reason", StringType()),
+        StructField("behavior", StringType()),
+    ]
+)
+
+USER_STATS = StructType(
+    [
+        StructField("user_id", StringType()),
+        StructField("last_ts", LongType()),
+        StructField("event_count", LongType()),
+        StructField("score", LongType()),
+    ]
+)
+
 USER_FEATURES = StructType(
     [
         StructField("user_id", StringType()),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoptrail.constants import FEATURE_FIELDS, FEATURE_HEADER_PREFIX
 from shoptrail.functions.text import as_double, strip
+from shoptrail.sources.durable import durable
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -14,6 +15,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a written export with their ``position``, 0 upwards, in the order of its files.
+
+    Part files follow each other by name. A file may be read in several blocks:
+    a table of one row per block turns a line's place in its block into its
+    place in the export, so no task sees more than its own blocks.
+    """
+    file, block = "_metadata.file_name", "_metadata.file_block_start"
+    lines = spark.read.text(path).select(
+        "value",
+        F.col(file).alias("file"),
+        F.col(block).alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    lines = durable(lines, "export-lines")
+    blocks = lines.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first")
+    )
+    # One row per block of a file.
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(
+        "file",
+        "block",
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+    )
+    return lines.join(F.broadcast(starts), ["file", "block"]).select(
+        (F.col("id") + F.col("shift")).alias("position"), "value"
+    )
+
+
 def judge_feature_lines(lines: DataFrame) -> DataFrame:
     """Fields of each line, and ``reason`` why it is no feature row (null if it is)."""
     split = lines.select(strip(F.col("value")).alias("line")).select(

@@ -73,12 +73,23 @@ def test_many_centres_give_the_same_labels(spark, monkeypatch):
     # A repeated centre makes ties, which the lower number wins.
     centers = [tuple(rng.random() for _ in range(3)) for _ in range(30)]
     centers += centers[:5]
-    monkeypatch.setattr(geometry, "_UNROLLED", 100)
+    monkeypatch.setattr(geometry, "UNROLLED", 100)
     unrolled = assign(features, centers).collect()
-    monkeypatch.setattr(geometry, "_UNROLLED", 1)
+    monkeypatch.setattr(geometry, "UNROLLED", 1)
     assert assign(features, centers).collect() == unrolled
 
 
+def test_the_plan_does_not_grow_with_the_centres(spark):
+    features = _features(spark, {str(n): (n, n, n) for n in range(10)})
+    sizes = set()
+    for k in (50, 500):
+        found = assign(features, [(float(i), 0.0, 0.0) for i in range(k)])
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        sizes.add(len(plan.split()))
+        assert found.count() == 10
+    assert len(sizes) == 1
+
+
 def test_a_round_is_one_combined_aggregation(spark):
     features = user_features(events_log(spark, TESTDATA))
     cluster = geometry.nearest([F.col(c) for c in ("f1", "f2", "f3")], [(0, 0, 0), (1, 1, 1)])
