@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from shoptrail.llm.batches import LOWER, documents, id_or_last, keyed, per_text, text_key
 from shoptrail.llm.components import connected
 from shoptrail.session import settings
+from shoptrail.operators.pairs import attach
 from shoptrail.sources.durable import durable
 
 SHINGLE = 4
@@ -299,7 +300,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
 
 
 def _groups(prints: DataFrame, max_bits: int, block: int) -> DataFrame:
-    """Per fingerprint its group, and the first row of the fingerprint and of the group.
+    """Per fingerprint its group, the first row of the fingerprint and of the group, and its rows.
 
     Rows without ``doc_id`` come after all others.
     """
@@ -310,13 +311,17 @@ def _groups(prints: DataFrame, max_bits: int, block: int) -> DataFrame:
         roots.select(F.col("root").alias("fingerprint"), "root").distinct()
     )
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    firsts = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first")), "firsts")
+    per_print = prints.groupBy("fingerprint").agg(
+        F.min(row).alias("first"), F.count(F.lit(1)).alias("degree")
+    )
+    firsts = durable(per_print, "firsts")
     linked = firsts.join(roots, "fingerprint")
     best = linked.groupBy("root").agg(F.min("first").alias("best"))
     in_groups = linked.join(best, "root").select("fingerprint", "root", "best")
     return firsts.join(in_groups, "fingerprint", "left").select(
         "fingerprint",
         "first",
+        "degree",
         F.coalesce("root", "fingerprint").alias("group"),
         F.coalesce("best", "first").alias("best"),
     )
@@ -334,8 +339,10 @@ def simhash_groups(
     a null id only if all its rows do. Other columns of ``docs`` are ignored.
     """
     prints = durable(fingerprints(docs, shingle), "fingerprints")
-    groups = _groups(prints, max_bits, block)
-    return prints.join(groups, "fingerprint").select(
+    groups = durable(_groups(prints, max_bits, block), "groups")
+    rows = groups.agg(F.sum("degree")).first()[0] or 0
+    # Copies of a text and empty texts share a fingerprint: their rows do not move.
+    return attach(prints, groups, "fingerprint", rows).select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.col("best.doc_id").alias("component_id"),
