@@ -381,6 +381,8 @@ known AS (SELECT * FROM log WHERE user_id IS NOT NULL AND item_id IS NOT NULL)""
     return {
         "mixed_item_user_index_blocks": mixed["item_user_index_blocks"],
         "mixed_item_co_occurrence_top1000": mixed["item_co_occurrence_top1000"],
+        "item_user_index_of_parts": mixed["item_user_index"],
+        "item_user_index_blocks_of_parts": mixed["item_user_index_blocks"],
         "mixed_personal_rank_top10": mixed["personal_rank_top10"],
         "parted_personal_rank_dense": parted["personal_rank_dense"],
         "stopped_personal_rank_scores": ask(
@@ -496,6 +498,7 @@ FROM parts GROUP BY 1""",
             "ELSE 'kept' END AS verdict, count(*) AS line_count FROM features GROUP BY 1"
         ),
         **_special(),
+        **{f"{name}_of_parts": _on_log(events)[name] for name in ("personal_rank_scores", "personal_rank_top10")},
         "clean_rejects": (
             f"WITH {_judged()}\nSELECT line, verdict AS reason FROM judged WHERE verdict <> 'kept'"
         ),

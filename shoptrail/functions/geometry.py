@@ -45,3 +45,17 @@ def nearest_in_table(point: Sequence[Column], table: Column, axes: Sequence[str]
         ),
     )
     return F.array_min(scored)["cluster"]
+
+
+def two_nearest_in_table(point: Sequence[Column], table: Column, axes: Sequence[str]) -> Column:
+    """The same as ``(cluster, near, far)``, with the distances of it and of the next one."""
+    far = F.lit(float("inf"))
+
+    def closer(best: Column, c: Column) -> Column:
+        d = distance(point, [c[a] for a in axes])
+        first = F.struct(c["cluster"].alias("cluster"), d.alias("near"), best["near"].alias("far"))
+        second = F.struct(best["cluster"], best["near"], F.least(best["far"], d).alias("far"))
+        return F.when(d < best["near"], first).otherwise(second)
+
+    none = F.struct(F.lit(0).alias("cluster"), far.alias("near"), far.alias("far"))
+    return F.aggregate(table, none, closer)

@@ -224,7 +224,13 @@ def rank_scores(
     ``include_unreached`` adds the nodes no walk reaches, with score 0. A
     target that is no node keeps only its own restart chance.
     """
-    graph = build_graph(pairs)
+    return graph_scores(build_graph(pairs), target, include_unreached, **walk_options)
+
+
+def graph_scores(
+    graph: Graph, target: str, include_unreached: bool = False, **walk_options
+) -> DataFrame:
+    """``rank_scores`` on a graph that is built already."""
     walk = walk_from(graph, target, **walk_options)
     users = graph.users.join(
         walk.ranks(USER).withColumnRenamed("node", "user"),
@@ -239,7 +245,7 @@ def rank_scores(
         F.lit(ITEM).alias("kind"), F.col("item_id").alias("id"), "score"
     )
     known = graph.users.where(F.col("user_id") == target).select("user_id")
-    lonely = pairs.sparkSession.range(1).select(
+    lonely = graph.links.sparkSession.range(1).select(
         F.lit(USER).alias("kind"),
         F.lit(target).alias("id"),
         F.lit(1.0 - walk.alpha if walk.rounds else 1.0).alias("score"),

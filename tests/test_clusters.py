@@ -5,7 +5,13 @@ from given import TESTDATA
 from pyspark.sql import functions as F
 
 from shoptrail.functions import geometry
-from shoptrail.operators.clusters import assign, initial_centers, kmeans_users
+from shoptrail.operators.clusters import (
+    assign,
+    bounded_rounds,
+    initial_centers,
+    kmeans_users,
+    plain_rounds,
+)
 from shoptrail.operators.features import user_features
 from shoptrail.plans.tables import events_log
 from shoptrail.schemas import USER_FEATURES
@@ -101,3 +107,33 @@ def test_a_round_is_one_combined_aggregation(spark):
         .toString()
     )
     assert "partial_sum" in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("max_iter", [0, 12])
+def test_bounded_rounds_are_plain_rounds(spark, max_iter):
+    rng = random.Random(5)
+    places = [tuple(rng.random() for _ in range(3)) for _ in range(200)]
+    # Sixteenths add up exactly; repeated points and centres make ties.
+    points = [tuple(round(16 * (x + rng.random() / 20)) / 16 for x in p) for p in places * 10]
+    points += points[:100]
+    features = _features(spark, {str(n): p for n, p in enumerate(points)}).coalesce(1)
+    centers = points[:195] + points[:5]
+    labels, ends, all_users = plain_rounds(features, centers, max_iter, 0.0)
+    bounded, bounded_ends, compared = bounded_rounds(features, centers, max_iter, 0.0)
+    assert sorted(bounded.collect()) == sorted(labels.collect())
+    assert bounded_ends == [pytest.approx(c, abs=1e-12) for c in ends]
+    assert len(compared) == len(all_users)
+    assert all(n == len(points) for n in all_users)
+    assert compared[:1] == all_users[:1]
+
+
+def test_bounds_spare_most_comparisons(spark):
+    rng = random.Random(6)
+    features = _features(spark, {str(n): [rng.random() for _ in range(3)] for n in range(3000)})
+    features = features.coalesce(1)
+    centers = [tuple(rng.random() for _ in range(3)) for _ in range(200)]
+    labels, _, all_users = plain_rounds(features, centers, 20, 0.0)
+    bounded, _, compared = bounded_rounds(features, centers, 20, 0.0)
+    assert sorted(bounded.collect()) == sorted(labels.collect())
+    print(compared)
+    assert 2 * sum(compared[1:]) < sum(all_users[1:])
