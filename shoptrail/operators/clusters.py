@@ -134,19 +134,13 @@ def bounded_rounds(
 ) -> tuple[DataFrame, Centers, list[int]]:
     """``plain_rounds`` that compare a user only where its nearest centre may have changed.
 
-    Each user carries ``near``, at least its distance to its own centre, and
-    ``far``, at most that to any other. When centres move, the first grows by
-    the way of the own centre and the second shrinks by the longest way of
-    another. While ``near`` stays below ``far`` the label cannot change, nor
-    can there be a tie. The users with their bounds are a table per round.
+    Each user carries ``far``, at most its distance to any centre but its own.
+    When centres move, it shrinks by the longest way of another one. While the
+    distance to the own centre, which is one instead of all, stays below
+    ``far``, the label cannot change, nor can there be a tie. The users with
+    their bounds are a table per round.
     """
-    state = points.withColumns(
-        {
-            "cluster": F.lit(0),
-            "near": F.lit(float("inf")),
-            "far": F.lit(0.0),
-        }
-    )
+    state = points.withColumns({"cluster": F.lit(0), "far": F.lit(0.0)})
     shifts, compared = [0.0] * len(centers), []
     for _ in range(max_iter):
         state = durable(_bounded(state, centers, shifts), "bounded")
@@ -163,18 +157,19 @@ def _bounded(state: DataFrame, centers: Centers, shifts: list[float]) -> DataFra
     """``state`` with labels and bounds for ``centers``, which moved by ``shifts``."""
     longest = max(range(len(shifts)), key=shifts.__getitem__)
     others = max((s for i, s in enumerate(shifts) if i != longest), default=0.0)
-    # How far a centre went, and how far the farthest of the other ones.
-    moves = [(s, others if i == longest else shifts[longest]) for i, s in enumerate(shifts)]
+    # Per centre, how far the farthest of the other ones went.
+    moves = [others if i == longest else shifts[longest] for i in range(len(shifts))]
     table = state.sparkSession.createDataFrame(
-        [(i, *c, *m) for i, (c, m) in enumerate(zip(centers, moves, strict=True))],
-        "cluster int, c1 double, c2 double, c3 double, went double, others double",
+        [(i, *c, m) for i, (c, m) in enumerate(zip(centers, moves, strict=True))],
+        "cluster int, c1 double, c2 double, c3 double, others double",
     )
-    row = F.struct("cluster", *_CENTER, "went", "others")
-    found = state.select("user_id", *_POINT, "cluster", "near", "far").withColumn(
+    row = F.struct("cluster", *_CENTER, "others")
+    found = state.select("user_id", *_POINT, "cluster", "far").withColumn(
         "centers", table.agg(F.sort_array(F.collect_list(row))).scalar()
     )
     own = F.get("centers", F.col("cluster"))
-    found = found.withColumns({"near": F.col("near") + own["went"], "far": F.col("far") - own["others"]})
+    near = geometry.distance(_point(), [own[c] for c in _CENTER])
+    found = found.withColumns({"near": near, "far": F.col("far") - own["others"]})
     # Rounding errors of the bounds and distances are far smaller than this.
     scale = F.greatest(F.lit(1.0), F.col("near"), *[F.abs(c) for c in _POINT])
     same = F.col("near") + F.lit(_SLACK) * scale < F.col("far")
@@ -183,5 +178,5 @@ def _bounded(state: DataFrame, centers: Centers, shifts: list[float]) -> DataFra
     return (
         found.withColumn("compared", ~same)
         .withColumn("best", F.when(~F.col("compared"), kept).otherwise(nearest_two))
-        .select("user_id", *_POINT, "best.*", "compared")
+        .select("user_id", *_POINT, "best.cluster", "best.far", "compared")
     )

@@ -129,11 +129,10 @@ def test_bounded_rounds_are_plain_rounds(spark, max_iter):
 
 def test_bounds_spare_most_comparisons(spark):
     rng = random.Random(6)
-    features = _features(spark, {str(n): [rng.random() for _ in range(3)] for n in range(3000)})
-    features = features.coalesce(1)
-    centers = [tuple(rng.random() for _ in range(3)) for _ in range(200)]
-    labels, _, all_users = plain_rounds(features, centers, 20, 0.0)
-    bounded, _, compared = bounded_rounds(features, centers, 20, 0.0)
+    places = [tuple(rng.random() for _ in range(3)) for _ in range(200)]
+    points = [tuple(x + rng.random() / 50 for x in p) for p in places * 15]
+    features = _features(spark, {str(n): p for n, p in enumerate(points)}).coalesce(1)
+    labels, _, all_users = plain_rounds(features, points[:200], 15, 0.0)
+    bounded, _, compared = bounded_rounds(features, points[:200], 15, 0.0)
     assert sorted(bounded.collect()) == sorted(labels.collect())
-    print(compared)
     assert 2 * sum(compared[1:]) < sum(all_users[1:])
