@@ -8,13 +8,16 @@ itself, decides; or, for an excerpt of a long item, the score alone, if it is
 that of ``EXCERPT`` matching words. A passage is as wide as any alignment that reaches the score,
 and is not aligned where it has too few words of the item to reach it.
 
-The test items are the small side. Their n-grams are broadcast, with a bound on
-their size, so no text moves and no item gathers the documents that copy it.
+The test items are the small side. Their n-grams are broadcast, so no text moves
+and no item gathers the documents that copy it. Beyond a bound on their size
+the items are taken in parts, each a pass over the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.batches import LOWER, as_bytes, bound_batches, documents, send
+from shoptrail.sources.durable import durable
 
 NGRAM = 3
 MIN_SCORE = 0.5
 # An alignment that scores as this many matching words is a copy, however long the item.
 EXCERPT = 50
-# The most words of all items together, which bounds what is broadcast.
+# The most words of the items that are broadcast together; more are done in parts.
 MOST_ITEM_WORDS = 5_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _PUNCTUATION = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
@@ -52,6 +56,8 @@ class Items:
                 for w in found:
                     self.number.setdefault(w, len(self.number) + 1)
                 self.words.append(self.numbers(found))
+        # Words of the passage at hand; all false between passages.
+        self.here = np.zeros(len(self.number) + 1, bool)
         self.size = np.array([len(w) for w in self.words], np.int64)
         grams = [self.grams(w) for w in self.words] or [np.empty(0, np.int64)]
         gram = np.concatenate(grams)
@@ -106,7 +112,7 @@ class Items:
         last = np.append(at[1:], len(item)) - 1
         low = np.maximum(0, start[at] - slack[at])
         high = np.minimum(len(numbers), start[last] + (size + slack)[at])
-        found, here = [], np.zeros(len(self.number) + 1, bool)
+        found, here = [], self.here
         for i, start, end in zip(item[at].tolist(), low.tolist(), high.tolist(), strict=True):
             # No alignment matches more words of the item than the passage has.
             here[numbers[start:end]] = True
@@ -204,17 +210,38 @@ def _copies(
     return best
 
 
-def _seeded(docs: DataFrame, items: DataFrame, ngram: int):
-    """The items with their n-grams, broadcast."""
+def _parts(docs: DataFrame, items: DataFrame, ngram: int) -> Iterator[Callable[[], Items]]:
+    """The items with their n-grams, broadcast; more than one part if they are many.
+
+    Items of ``8 * MOST_ITEM_WORDS`` bytes are one part. More are dealt to parts
+    by a hash of their text, and one part at a time is with the driver. An item
+    is in one part whole, so the parts' copies together are those of all items.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     known = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
+    known = known.where(F.col("text").isNotNull()).distinct()
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > 8 * MOST_ITEM_WORDS:
-        raise ValueError("the test items are more than is broadcast; pass them in parts")
-    rows = known.where(F.col("text").isNotNull()).distinct().collect()
-    rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    return send(spark, Items([(item_id, text.encode()) for item_id, text in rows], ngram))
+    # Twice as many parts as would do, as the hash does not deal evenly.
+    parts = 1 if size <= 8 * MOST_ITEM_WORDS else 2 * math.ceil(size / (8 * MOST_ITEM_WORDS))
+    part = F.pmod(F.xxhash64("text"), F.lit(parts))
+    for n in range(parts):
+        rows = (known if parts == 1 else known.where(part == n)).collect()
+        rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield send(spark, Items([(item_id, text.encode()) for item_id, text in rows], ngram))
+
+
+def short_items(items: DataFrame, ngram: int = NGRAM) -> DataFrame:
+    """The rows of ``items`` that match nothing: without a text, or with fewer than ``ngram`` words."""
+    bound_batches(items.sparkSession)
+    place = items.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column(place))
+            yield batch.filter(pa.array([len(words(t or b"")) < ngram for t in texts], pa.bool_()))
+
+    return items.mapInArrow(run, items.schema)
 
 
 def benchmark_copies(
@@ -227,11 +254,18 @@ def benchmark_copies(
     punctuation; ``start_word`` and ``end_word`` (exclusive) count them from 0.
     Of several passages of a document the best one for an item is returned, the
     first of equal ones. Null or empty texts have no passage, items of fewer
-    words than ``ngram`` or without a text match nothing. Repeated rows each
+    words than ``ngram`` or without a text match nothing (``short_items`` tells which). Repeated rows each
     get their own; other columns are ignored.
     """
-    sent = _seeded(docs, items, ngram)
+    found: list[DataFrame] = []
+    for sent in _parts(docs, items, ngram):
+        if found:  # one part's items at a time with the executors
+            found[-1] = durable(found[-1], "copies")
+        found.append(_copies_of(docs, sent, min_score))
+    return reduce(DataFrame.unionByName, found)
+
 
+def _copies_of(docs: DataFrame, sent: Callable[[], Items], min_score: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             copies = _copies(sent(), as_bytes(batch.column(1)), min_score)
@@ -254,8 +288,19 @@ def benchmark_copies(
 def without_copies(
     docs: DataFrame, items: DataFrame, ngram: int = NGRAM, min_score: float = MIN_SCORE
 ) -> DataFrame:
-    """The rows of ``docs`` that copy no item, with all their columns. No row moves."""
-    sent = _seeded(docs, items, ngram)
+    """The rows of ``docs`` that copy no item, with all their columns. No row moves.
+
+    Rows with null or empty texts stay, and repeated rows stay or go together.
+    Without items all rows stay. Where the items are more than one broadcast
+    holds, each part of them is a pass whose rows are written.
+    """
+    left = None
+    for sent in _parts(docs, items, ngram):
+        left = _clean_of(docs if left is None else durable(left, "clean"), sent, min_score)
+    return left
+
+
+def _clean_of(docs: DataFrame, sent: Callable[[], Items], min_score: float) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,15 @@ import random
 
 import numpy as np
 
-from shoptrail.llm.decontaminate import GAP, MATCH, MISMATCH, align, benchmark_copies, without_copies
+from shoptrail.llm.decontaminate import (
+    GAP,
+    MATCH,
+    MISMATCH,
+    align,
+    benchmark_copies,
+    short_items,
+    without_copies,
+)
 
 
 def plain_score(a, b):
@@ -117,3 +125,33 @@ def test_long_excerpts_of_long_items(docs_of, spark):
     expected = {n: (n / 300, 40, 40 + n) for n in (50, 140, 150)}
     assert {r["doc_id"]: (r["score"], r["start_word"], r["end_word"]) for r in found} == expected
     assert [r["doc_id"] for r in without_copies(docs_of(rows), known).collect()] == [49]
+
+
+def test_items_beyond_the_bound_are_done_in_parts(docs_of, spark, monkeypatch):
+    from shoptrail.llm import decontaminate
+
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(200)}" for _ in range(20)) for _ in range(30)]
+    texts += ["", "one two", None, texts[0]]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    both = [f"{texts[n % 30]} {texts[n % 7]}".split() for n in range(40)]
+    docs = [" ".join(edited(words, rng, 0.2)) for words in both]
+    docs = [*docs, "nothing of them", "", None, docs[0], "z " * 5000]
+    docs = docs_of(list(enumerate(docs)))
+    once = sorted(map(tuple, benchmark_copies(docs, items).collect()))
+    clean = sorted(without_copies(docs, items).collect(), key=repr)
+    assert len({row[1] for row in once}) > 20 and clean
+    monkeypatch.setattr(decontaminate, "MOST_ITEM_WORDS", 100)
+    sizes = [len(sent().ids) for sent in decontaminate._parts(docs, items, decontaminate.NGRAM)]
+    assert len(sizes) > 2 and sum(sizes) == 31
+    assert sorted(map(tuple, benchmark_copies(docs, items).collect())) == once
+    assert sorted(without_copies(docs, items).collect(), key=repr) == clean
+
+
+def test_items_that_match_nothing(spark):
+    texts = ["one two three", "one, two!", "", None, " - one two"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    items = items.withColumn("answer", items.text)
+    found = sorted(map(tuple, short_items(items).collect()))
+    assert found == [(n, texts[n], texts[n]) for n in (1, 2, 3, 4)]
+    assert short_items(items.limit(0)).isEmpty()
