@@ -34,42 +34,39 @@ def add_pairs(pairs: DataFrame, path: str, block_users: int = BLOCK_USERS) -> No
 
     The new pairs are cut into blocks first. Then a block of the index meets at
     most ``block_users`` new users between two bounds, old or new, however many
-    users an item gets at once. Blocks without new users are neither shuffled
-    nor written.
+    users an item gets at once. A block is compared with the bounds inside it
+    and with no others, so the work grows with the users and the bounds of an
+    item and not with their product. Blocks without new users are neither
+    shuffled nor written.
     """
     spark = pairs.sparkSession
     index = _live(spark, path)
     new = durable(_with_low(item_user_index(pairs, block_users)), "new-blocks")
-    lows = durable(
-        index.select("item_id", "low").join(new.select("item_id").distinct(), "item_id", "left_semi"),
-        "old-lows",
+    lows = index.select("item_id", "low").join(
+        new.select("item_id").distinct(), "item_id", "left_semi"
     )
-    homes = _bounds(lows, "homes")
-    pieces = _bounds(lows.unionByName(new.select("item_id", "low")), "pieces")
-    # Rows are blocks here, so no item has many.
+    bounds = durable(_bounds(lows, new.select("item_id", "low")), "bounds")
+    into_new = _inside(bounds, "new")
+    # The block that the first users of a new block go to.
+    homes = bounds.where("is_new").select("item_id", "low", F.col("old.low").alias("first_home"))
+    within = F.col("within")
     routed = (
-        new.join(homes, "item_id", "left")
-        .join(pieces, "item_id", "left")
-        .select("item_id", F.explode("users").alias("user_id"), "homes", "pieces")
+        _at_block(_at_block(new, homes), into_new)
+        .select("item_id", "low", "first_home", F.explode("users").alias("user_id"), "inside")
+        .select("*", _last_bound("inside").alias("within"))
         .select(
             "item_id",
             "user_id",
-            _last_bound("homes").alias("home"),
-            _last_bound("pieces").alias("low"),
+            F.coalesce(within, "first_home").alias("home"),
+            F.coalesce(within, "low").alias("low"),
         )
     )
     routed = durable(routed, "new-users")
-    touched = routed.select("item_id", "home").distinct().alias("t")
-    old = index.alias("i").join(
-        touched,
-        (F.col("i.item_id") == F.col("t.item_id")) & F.col("i.low").eqNullSafe(F.col("t.home")),
-        "left_semi",
-    )
+    touched = routed.select("item_id", F.col("home").alias("low")).distinct()
     old = (
-        old.select("item_id", "users")
-        .join(pieces, "item_id", "left")
-        .select("item_id", F.explode("users").alias("user_id"), "pieces")
-        .select("item_id", "user_id", _last_bound("pieces").alias("low"))
+        _at_block(_at_block(index, touched, "left_semi"), _inside(bounds, "old"))
+        .select("item_id", "low", F.explode("users").alias("user_id"), "inside")
+        .select("item_id", "user_id", F.coalesce(_last_bound("inside"), "low").alias("low"))
     )
     merged = (
         old.unionByName(routed.select("item_id", "user_id", "low"))
@@ -132,16 +129,53 @@ def _with_low(index: DataFrame) -> DataFrame:
     return index.select("item_id", low.alias("low"), "users")
 
 
-def _bounds(lows: DataFrame, name: str) -> DataFrame:
-    """Per item where its blocks begin, without the first; none for items of one block."""
-    inner = lows.where(F.col("low").isNotNull())
-    return inner.groupBy("item_id").agg(
-        F.transform(F.collect_set("low"), id_order).alias(name)
+def _bounds(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Where blocks begin: ``(item_id, low, is_old, is_new, old, new)``.
+
+    ``old`` and ``new`` hold the ``low`` of the old and the new block that the
+    bound is in or begins; they are null for items without such blocks.
+    """
+    both = old.withColumn("is_old", F.lit(True)).unionByName(
+        new.withColumn("is_old", F.lit(False))
     )
+    marks = both.groupBy("item_id", "low").agg(
+        F.bool_or("is_old").alias("is_old"), F.bool_or(~F.col("is_old")).alias("is_new")
+    )
+    # A row per block, as in ``read_index``.
+    until = (
+        Window.partitionBy("item_id")
+        .orderBy(F.col("low").isNotNull(), id_order(F.col("low")))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    # In a structure the missing bound of a first block is no null.
+    found = {
+        name: F.last(F.when(F.col(f"is_{name}"), F.struct("low")), ignorenulls=True).over(until)
+        for name in ("old", "new")
+    }
+    return marks.withColumns(found)
+
+
+def _inside(bounds: DataFrame, name: str) -> DataFrame:
+    """Bounds of the others strictly inside the ``name`` blocks: ``(item_id, low, inside)``."""
+    return (
+        bounds.where(~F.col(f"is_{name}") & F.col(name).isNotNull())
+        .groupBy("item_id", F.col(f"{name}.low").alias("low_of"))
+        .agg(F.collect_list(id_order(F.col("low"))).alias("inside"))
+        .withColumnRenamed("low_of", "low")
+    )
+
+
+def _at_block(blocks: DataFrame, more: DataFrame, how: str = "left") -> DataFrame:
+    """Join on ``item_id`` and ``low``, which a first block does not have."""
+    names = [c for c in more.columns if c not in ("item_id", "low")]
+    more = more.withColumnsRenamed({"item_id": "_item", "low": "_low"})
+    same = (F.col("item_id") == F.col("_item")) & F.col("low").eqNullSafe(F.col("_low"))
+    joined = blocks.join(more, same, how)
+    return joined if how == "left_semi" else joined.select(*blocks.columns, *names)
 
 
 def _last_bound(bounds: str) -> Column:
-    """The ``low`` of the block that ``user_id`` is in."""
+    """The last of the ``bounds`` up to ``user_id``; null where it comes before them."""
     user = id_order(F.col("user_id"))
     return F.array_max(F.filter(bounds, lambda low: low <= user))["id"]
 

@@ -9,6 +9,7 @@ from shoptrail.operators.graph import build_graph
 from shoptrail.operators.index import item_user_index
 from shoptrail.operators.walk import graph_scores, rank_scores
 from shoptrail.sources.growing_graph import add_links, read_graph, start_graph
+from shoptrail.sources import growing_index
 from shoptrail.sources.growing_index import _BLOCK, add_pairs, read_index, write_index
 
 
@@ -51,6 +52,29 @@ def test_merged_index_is_the_one_built_at_once(spark, tmp_path, block_users):
     assert _rows(read_index(spark, path, 5)) == _rows(item_user_index(whole, 5))
 
 
+def test_a_block_meets_only_the_bounds_inside_it(spark, tmp_path, monkeypatch):
+    met = []
+
+    def inside(bounds, name):
+        found = growing_index_inside(bounds, name)
+        met.append((name, bounds.count(), _rows(found.select(F.size("inside")))))
+        return found
+
+    growing_index_inside = growing_index._inside
+    monkeypatch.setattr(growing_index, "_inside", inside)
+    rows = [(str(u), "hot") for u in range(400)]
+    path = str(tmp_path / "index")
+    write_index(_pairs(spark, rows[::2]), path, 4)
+    add_pairs(_pairs(spark, rows[1::2]), path, 4)
+    assert [name for name, _, _ in met] == ["new", "old"]
+    for _, bounds, sizes in met:
+        # 50 blocks on either side, whose bounds fall between each other.
+        assert bounds == 99
+        assert sum(n for n, in sizes) == 49 and max(sizes) == (1,)
+    whole = item_user_index(_pairs(spark, rows), 4)
+    assert _rows(read_index(spark, path, 4)) == _rows(whole)
+
+
 def test_only_blocks_with_new_users_are_written(spark, tmp_path):
     path = str(tmp_path / "index")
     rows = [(str(n), "large") for n in range(0, 200, 2)] + [("1", "other"), ("2", "third")]
