@@ -91,15 +91,17 @@ def crowded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Twelve have all parts; of the others each leaves out every n-th part, n from 2.
     """
     user = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("u")
+    # Parts are made distinct before they get their users, which differ anyway.
     large = (
         spark.read.parquet(f"{sf_dir}/part.parquet")
+        .select("p_partkey")
+        .distinct()
         .select("p_partkey", user)
         .where((F.col("u") < 12) | (F.col("p_partkey") % (F.col("u") - 10) != 0))
         .select(
             F.concat(F.lit("large"), F.col("u").cast("string")).alias("user_id"),
             F.col("p_partkey").cast("string").alias("item_id"),
         )
-        .distinct()
     )
     return catalogue_pairs(spark, sf_dir).unionByName(large)
 
