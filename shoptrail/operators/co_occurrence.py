@@ -27,9 +27,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,9 @@ from shoptrail.sources.durable import durable
 LIST_ITEMS = 1000
 # The most users that are set aside, which is the length of a bitmap.
 HOT_USERS = 1024
+# About the most pairs of items that one task counts; more pairs make more tasks.
+TASK_PAIRS = 1 << 22
+_OUT_ROWS = 1 << 16
 _WORD_BITS = 64
 # The most classes of items the driver compares; more are compared in a join.
 LEADING_CLASSES = 1024
@@ -107,7 +113,7 @@ def _floor_of_common(pairs: DataFrame, items: DataFrame, top: int, list_items: i
     tried = min(math.isqrt(8 * top) + 1, max(2, list_items))
     common = items.orderBy(F.desc("degree"), "item").limit(tried).select("item_id", "item")
     trial = pairs.join(F.broadcast(common), "item_id").select("user_id", "item")
-    return _least_of_top(_count_lists(trial, spread=False), top)
+    return _least_of_top(_count(_tails(_lists(trial), "items")), top)
 
 
 def _all_counts(
@@ -125,13 +131,18 @@ def _all_counts(
     cuts = [list_items << i for i in range(40)]
     sizes = large.agg(*[F.count_if(F.col("degree") > c) for c in cuts]).first()
     if sizes[0] == 0:
-        return _count_lists(kept).where(F.col("cnt") >= floor)
+        return _count_tails([_short(kept)], floor)
 
     rows = kept.count()
-    counts = _count_lists(without(kept, large, "user_id", rows))
+    short, middle = _short(without(kept, large, "user_id", rows)), None
+
+    def counted(least: int) -> DataFrame:
+        if middle is None:
+            return _count_tails([short], least)
+        return _count_cut_lists(short, middle, list_items, least)
+
     if sizes[0] > _may_set_aside(floor, hot_users):
-        counts = durable(counts, "counts")
-        floor = max(floor, _least_of_top(counts, top))
+        floor = max(floor, _least_of_top(_count_tails([short], floor), top))
     allowed = _may_set_aside(floor, hot_users)
     if sizes[0] > allowed and allowed < hot_users:
         by_class = min(hot_users, sizes[0])
@@ -141,30 +152,26 @@ def _all_counts(
         if sizes[0] > by_class:
             others = large.join(F.broadcast(largest.select("user_id")), "user_id", "left_anti")
             middle = attach(kept, durable(others, "large-users"), "user_id", rows)
-            counts = _sum(counts, _count_cut_lists(middle, list_items))
         masks, words = _bitmaps(kept, largest, by_class)
         # A pair that only these users have is theirs as often as it is found.
         alone = _best_of_classes(masks.where(_bits_in(words) >= floor), top)
-        counts = _add_shares(_sum(counts, alone), masks, words)
-        return counts.where(F.col("cnt") >= floor)
+        most = masks.agg(F.max(_bits_in(words))).first()[0] or 0
+        counts = _add_shares(counted(floor - most), masks, words)
+        # Of a pair that others have too, the larger count is the whole one.
+        both = counts.where(F.col("cnt") >= floor).unionByName(_add_shares(alone, masks, words))
+        return both.groupBy("a", "b").agg(F.max("cnt").alias("cnt")).where(F.col("cnt") >= floor)
     cut, hot_count = next((c, n) for c, n in zip(cuts, sizes, strict=True) if n <= allowed)
     if cut > list_items:
         middle = attach(kept, large.where(F.col("degree") <= cut), "user_id", rows)
-        counts = _sum(counts, _count_cut_lists(middle, list_items))
+    # A pair gains at most the number of hot users; rarer pairs are out.
+    counts = counted(floor - hot_count)
     if hot_count:
         hot = large.where(F.col("degree") > cut)
         masks, words = _bitmaps(kept, hot, hot_count)
-        # A pair gains at most the number of hot users; rarer pairs are out.
-        near = counts.where(F.col("cnt") >= floor - hot_count)
-        counts = _add_shares(near, masks, words)
+        counts = _add_shares(counts, masks, words)
     return counts.where(F.col("cnt") >= floor)
 
 
-def _sum(counts: DataFrame, more: DataFrame) -> DataFrame:
-    both = counts.unionByName(more)
-    return both.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
-
-
 def _may_set_aside(floor: int, hot_users: int) -> int:
     """How many users may be: fewer than ``floor``, or their pairs could matter.
 
@@ -188,41 +195,101 @@ def _count(tails: DataFrame) -> DataFrame:
     )
 
 
-def _count_lists(pairs: DataFrame, spread: bool = True) -> DataFrame:
-    """Users per item pair where every user's list is known to be short.
+def _lists(pairs: DataFrame) -> DataFrame:
+    """The sorted items of each user, of whom none has many."""
+    return pairs.groupBy("user_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
 
-    Pairs of an item that starts very many of them repeat within a task and
-    combine there. Other pairs rarely do: their lists move whole, to where
-    their first item is counted, which is a third of the bytes. What counts is
-    the work, the pairs an item starts, so that no task gets much more than
-    others. Without ``spread`` all pairs combine where they are.
-    """
-    lists = pairs.groupBy("user_id").agg(
-        F.sort_array(F.collect_list("item")).alias("items")
-    )
-    if not spread:
-        return _count(_tails(lists, "items"))
-    lists = durable(lists, "lists")
-    tails = _tails(lists, "items")
-    hot = F.broadcast(_hot_starts(lists))
-    cold = tails.join(hot, "a", "left_anti").where(F.size("later") > 0)
-    return _count(tails.join(hot, "a", "left_semi")).unionByName(
-        _count(cold.repartition("a"))
+
+def _short(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tails of users whose lists are known to be short, and the pairs they start."""
+    lists = durable(_lists(pairs), "lists")
+    return _tails(lists, "items"), _starts(lists)
+
+
+def _starts(lists: DataFrame) -> DataFrame:
+    """Items ``a`` with the pairs they start, ``n``, in each list."""
+    return lists.select(F.posexplode("items").alias("i", "a"), F.size("items").alias("n")).select(
+        "a", (F.col("n") - 1 - F.col("i")).alias("n")
     )
 
 
 def _hot_starts(lists: DataFrame) -> DataFrame:
     """Items ``a`` that start more pairs than one task should count."""
-    starts = lists.select(F.posexplode("items").alias("i", "a"), F.size("items").alias("n"))
-    work = durable(
-        starts.groupBy("a").agg(F.sum(F.col("n") - 1 - F.col("i")).alias("degree")), "work"
-    )
-    return hot_keys(work, work.agg(F.sum("degree")).first()[0] or 0).select("a")
+    return _work(_starts(lists))[0]
 
 
-def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
-    """Users per item pair; ``sized`` has each user's ``degree``.
+def _work(starts: DataFrame) -> tuple[DataFrame, int]:
+    """The hot starts, and how many pairs there are in all."""
+    work = durable(starts.groupBy("a").agg(F.sum("n").alias("degree")), "work")
+    total = work.agg(F.sum("degree")).first()[0] or 0
+    return hot_keys(work, total).select("a"), total
 
+
+def _count_tails(found: list[tuple[DataFrame, DataFrame]], least: int) -> DataFrame:
+    """Users per item pair, for pairs that ``least`` or more users have.
+
+    ``found`` has tails, and the pairs that their items start or some more.
+    Pairs of an item that starts very many of them repeat within a task and
+    combine there. Other pairs rarely do: their tails move whole, to where
+    their first item is counted, which is a third of the bytes. What counts is
+    the work, the pairs an item starts: there is a task for about every
+    ``TASK_PAIRS`` of them, so that none holds more as the log grows.
+    """
+    tails, starts = (reduce(DataFrame.unionByName, dfs) for dfs in zip(*found, strict=True))
+    hot, total = _work(starts)
+    hot = F.broadcast(hot)
+    tasks = max(
+        int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        math.ceil(total / TASK_PAIRS),
+    )
+    cold = tails.join(hot, "a", "left_anti").where(F.size("later") > 0)
+    counted = cold.repartition(tasks, "a").select("a", "later").mapInArrow(
+        _counter(least), "a long, b long, cnt long"
+    )
+    repeated = _count(tails.join(hot, "a", "left_semi"))
+    return repeated.where(F.col("cnt") >= least).unionByName(counted)
+
+
+def _counter(least: int):
+    """Counts the pairs of a task, which has all tails of its items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, sizes, later = [], [], []
+        for batch in batches:
+            lists = batch.column("later")
+            firsts.append(batch.column("a").to_numpy())
+            sizes.append(lists.value_lengths().to_numpy(zero_copy_only=False))
+            later.append(lists.flatten().to_numpy())
+        if not sum(map(len, later)):
+            return
+        items, rank = np.unique(np.concatenate(firsts), return_inverse=True)
+        b = np.concatenate(later)
+        low = b.min()
+        # Ranks in a task are below 2**24 or so, which leaves room for 2**39 items.
+        span = int(b.max() - low) + 1
+        pairs = np.repeat(rank * span, np.concatenate(sizes)) + (b - low)
+        del firsts, sizes, later, b
+        pairs.sort()
+        begins = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        counts = np.diff(np.r_[begins, len(pairs)])
+        begins, counts = begins[counts >= least], counts[counts >= least]
+        rank, b = np.divmod(pairs[begins], span)
+        for at in range(0, len(counts), _OUT_ROWS):
+            part = slice(at, at + _OUT_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[part], pa.int64()) for c in (items[rank], b + low, counts)],
+                names=["a", "b", "cnt"],
+            )
+
+    return run
+
+
+def _count_cut_lists(
+    short: tuple[DataFrame, DataFrame], sized: DataFrame, list_items: int, least: int
+) -> DataFrame:
+    """``_count_tails`` of ``short`` and of users with many items.
+
+    ``sized`` has each user's ``degree``.
     A user's items are hashed into parts of about half of ``list_items``. Each
     part meets each other part in one row, so that a large user is spread over
     as many rows as there are pairs of parts.
@@ -238,16 +305,16 @@ def _count_cut_lists(sized: DataFrame, list_items: int) -> DataFrame:
         F.sort_array(F.collect_list(F.when(F.col("part") == low, F.col("item")))).alias("x"),
         F.sort_array(F.collect_list(F.when(F.col("part") != low, F.col("item")))).alias("y"),
     )
-    within = _tails(lists.where(F.col("low") == F.col("high")), "x")
+    lists = durable(lists, "cut-lists")
+    own = lists.where(F.col("low") == F.col("high"))
+    found = [short, (_tails(own, "x"), _starts(own.select(F.col("x").alias("items"))))]
     # Of two parts, an item of either starts the pairs with the later of the other.
     both = lists.where(F.col("low") < F.col("high"))
-    across = [
-        both.select(F.explode(one).alias("a"), other).select(
-            "a", F.filter(other, lambda b: b > F.col("a")).alias("later")
-        )
-        for one, other in (("x", "y"), ("y", "x"))
-    ]
-    return _count(within.unionByName(across[0]).unionByName(across[1]))
+    for one, other in (("x", "y"), ("y", "x")):
+        later = F.filter(other, lambda b: b > F.col("a")).alias("later")
+        tails = both.select(F.explode(one).alias("a"), other).select("a", later)
+        found.append((tails, both.select(F.explode(one).alias("a"), F.size(other).alias("n"))))
+    return _count_tails(found, least)
 
 
 def _bitmaps(kept: DataFrame, hot: DataFrame, hot_count: int) -> tuple[DataFrame, list[str]]:

@@ -12,6 +12,7 @@ from shoptrail.operators.co_occurrence import item_co_occurrence
 from shoptrail.operators.index import item_user_index
 from shoptrail.operators.pairs import attach, deep_pairs, degrees, without
 from shoptrail.operators.positions import with_position
+from shoptrail.plans.tables import crowded_pairs
 
 
 def skewed_pairs(seed, users=60, items=80, hot_items=80):
@@ -226,3 +227,68 @@ def test_hot_starts_by_work(spark, pairs_of):
     df = spark.createDataFrame(lists, "user_id string, items array<long>")
     hot = {r["a"] for r in co_occurrence._hot_starts(df).collect()}
     assert 0 in hot and 1 not in hot
+
+
+def _ids(pairs_of, rng, users, items, most):
+    rows = {(str(u), str(rng.randrange(items))) for u in range(users) for _ in range(rng.randint(0, most))}
+    return rows, pairs_of(rows)
+
+
+@pytest.mark.parametrize("task_pairs", [7, 1000])
+def test_tasks_follow_the_pairs_counted(spark, pairs_of, monkeypatch, task_pairs):
+    monkeypatch.setattr(co_occurrence, "TASK_PAIRS", task_pairs)
+    rows, df = _ids(pairs_of, random.Random(task_pairs), 40, 60, 12)
+    numbers = df.select("user_id", F.col("item_id").cast("bigint").alias("item"))
+    expected = defaultdict(int)
+    for items in items_of(rows).values():
+        held = sorted(map(int, items))
+        for n, a in enumerate(held):
+            for b in held[n + 1 :]:
+                expected[a, b] += 1
+    total = sum(expected.values())
+    for least in (0, 2):
+        counts = co_occurrence._count_tails([co_occurrence._short(numbers)], least)
+        found = {(r.a, r.b): r.cnt for r in counts.collect()}
+        assert found == {p: n for p, n in expected.items() if n >= least}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert f"RepartitionByExpression [a#" in plan and f"], {max(4, -(-total // task_pairs))}" in plan
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_tails_of_cut_lists_are_counted_with_short_ones(spark, pairs_of, least):
+    rows, df = _ids(pairs_of, random.Random(3), 30, 50, 40)
+    numbers = df.select("user_id", F.col("item_id").cast("bigint").alias("item"))
+    sized = numbers.join(degrees(numbers, "user_id"), "user_id")
+    few, many = sized.where("degree <= 5"), sized.where("degree > 5")
+    short = co_occurrence._short(few.select("user_id", "item"))
+    counts = co_occurrence._count_cut_lists(short, many, 5, least)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    # Tails move, not the pairs: one counting after one shuffle.
+    assert plan.count("RepartitionByExpression") == 1
+    expected = defaultdict(int)
+    for items in items_of(rows).values():
+        held = sorted(map(int, items))
+        for n, a in enumerate(held):
+            for b in held[n + 1 :]:
+                expected[a, b] += 1
+    found = {(r.a, r.b): r.cnt for r in counts.collect()}
+    assert found == {p: n for p, n in expected.items() if n >= least}
+
+
+def test_parts_of_crowded_pairs_are_distinct_before_they_get_users(spark, tmp_path):
+    keys = [(n,) for n in (0, 1, 2, 7, 22, 22, None, None)]
+    spark.createDataFrame(keys, "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    df = crowded_pairs(spark, str(tmp_path))
+    rows = [tuple(r) for r in df.collect()]
+    expected = {("all", None if k is None else str(k)) for k, in keys} | {("c1", "1")}
+    for u in range(24):
+        for k, in keys:
+            if u < 12 or (k is not None and k % (u - 10) != 0):
+                expected.add((f"large{u}", None if k is None else str(k)))
+    assert len(rows) == len(set(rows)) and set(rows) == expected
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(n for n, line in enumerate(lines) if "Generate" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    above = [line for line in lines[:at] if len(line) - len(line.lstrip(" :+-")) < depth]
+    assert not any(line.lstrip(" :+-").startswith("Aggregate") for line in above[-3:])
