@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -72,6 +73,13 @@ class Tokenizers:
         ]
         self.a_sizes = np.array([len(t) for t in self.a_bytes])
         self.b_sizes = np.array([len(t) for t in self.b_bytes])
+        # What a token adds to the text of its group, inside it and as the last of its side.
+        self.written = [
+            b"%d%b" % (i, end)
+            for size, ends in ((len(self.a_bytes), b",|"), (len(self.b_bytes), b",;"))
+            for i in range(size)
+            for end in (ends[:1], ends[1:])
+        ]
 
     @staticmethod
     def _spelt(letters: dict[str, int], name: str) -> bytes:
@@ -88,8 +96,8 @@ class Tokenizers:
             want = text.encode()
             same = (
                 len(want) > 1
-                and b"".join([self.a_bytes[i] for i in a]) == want
-                and b"".join([self.b_bytes[i] for i in b]) == want
+                and b"".join(map(self.a_bytes.__getitem__, a)) == want
+                and b"".join(map(self.b_bytes.__getitem__, b)) == want
             )
             yield (a, b) if same else ([], [])
 
@@ -177,8 +185,8 @@ def align_tokens(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PI
     return _tokenized(docs, byte_level, pieces, ALIGNED, _arrays)
 
 
-def _arrays(found: list[tuple[list[int], ...]]) -> list[pa.Array]:
-    return [pa.array(c, _INTS) for c in zip(*found, strict=True)]
+def _arrays(tokenizers: Tokenizers, texts: list[str]) -> list[pa.Array]:
+    return [pa.array(c, _INTS) for c in zip(*tokenizers.align(texts), strict=True)]
 
 
 def _tokenized(
@@ -186,7 +194,7 @@ def _tokenized(
     byte_level: str,
     pieces: str,
     schema: str,
-    columns: Callable[[list[tuple[list[int], ...]]], list[pa.Array]],
+    columns: Callable[[Tokenizers, list[str]], list[pa.Array]],
 ) -> DataFrame:
     """``doc_id`` and what ``columns`` makes of the alignments of some texts."""
     files = Path(byte_level).read_text(encoding="utf-8"), Path(pieces).read_bytes()
@@ -202,7 +210,7 @@ def _tokenized(
             tokenizers = tokenizers or make(*contents)
             ids, at = batch.column("doc_id"), 0
             for group in _chunks(as_bytes(batch.column("text"))):
-                made = columns(list(tokenizers.align(group)))
+                made = columns(tokenizers, group)
                 yield pa.RecordBatch.from_arrays([ids.slice(at, len(group)), *made], names=names)
                 at += len(group)
 
@@ -228,26 +236,91 @@ _DIGEST = (
 )
 
 
-def _digests(found: list[tuple[list[int], ...]]) -> list[pa.Array]:
-    """Sizes, hash of the groups, and distinct linked pairs ``a << 32 | b`` with their number."""
-    hashes, pairs, times = [], [], []
-    for a, b, a_ends, b_ends in found:
-        last_a = np.array(a, np.int64)[np.array(a_ends, np.intp) - 1]
-        last_b = np.array(b, np.int64)[np.array(b_ends, np.intp) - 1]
-        distinct, n = np.unique(last_a << 32 | last_b, return_counts=True)
-        pairs.append(distinct)
-        times.append(n.astype(np.int32))
-        spelt = groups_text(a, b, a_ends, b_ends)
-        hashes.append(hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
-    sizes = [pa.array([len(row[c]) for row in found], pa.int64()) for c in range(3)]
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in one array, and how many are of each list."""
+    sizes = np.array([len(ids) for ids in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum()), sizes
+
+
+def _last_tokens(
+    tokenizers: Tokenizers, rows: list[tuple[list[int], list[int]]], a: np.ndarray, b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the last tokens of the groups in ``a`` and in ``b``, all texts in a row.
+
+    Both sides of each text spell the same bytes, so ends compare across texts.
+    """
+    x, y = tokenizers.a_sizes[a], tokenizers.b_sizes[b]
+    if x.all() and y.all():
+        x, y = np.cumsum(x), np.cumsum(y)
+        at = np.searchsorted(y, x)
+        last = np.flatnonzero(y[at] == x) if len(y) else at
+        return last, at[last]
+    # A token without bytes ends where the one before does; groups are walked then.
+    last_a, last_b, i, j = [], [], 0, 0
+    for one, two in rows:
+        ends = common_ends(
+            np.cumsum(tokenizers.a_sizes[one]).tolist() if one else [],
+            np.cumsum(tokenizers.b_sizes[two]).tolist() if two else [],
+        )
+        last_a.extend(i + n - 1 for n in ends[0])
+        last_b.extend(j + n - 1 for n in ends[1])
+        i, j = i + len(one), j + len(two)
+    return np.array(last_a, np.int64), np.array(last_b, np.int64)
+
+
+def _digests(tokenizers: Tokenizers, texts: list[str]) -> list[pa.Array]:
+    """Sizes, hash of the groups, and distinct linked pairs ``a << 32 | b`` with their number.
+
+    The texts of a chunk are worked on together, as arrays of all their tokens.
+    """
+    rows = list(tokenizers.encode(texts))
+    a, n_a = _flat([r[0] for r in rows])
+    b, n_b = _flat([r[1] for r in rows])
+    last_a, last_b = _last_tokens(tokenizers, rows, a, b)
+    text = np.repeat(np.arange(len(rows)), n_a)[last_a]
+    # Text, A id and B id as one number: texts of a chunk are fewer than its bytes.
+    many_a, many_b = len(tokenizers.a_bytes), len(tokenizers.b_bytes)
+    linked, times = np.unique((text * many_a + a[last_a]) * many_b + b[last_b], return_counts=True)
+    linked, id_b = np.divmod(linked, many_b)
+    of_text, id_a = np.divmod(linked, many_a)
+    offsets = pa.array(np.searchsorted(of_text, np.arange(len(rows) + 1)), pa.int32())
     return [
-        *sizes,
-        pa.array(hashes),
-        pa.array(pairs, pa.list_(pa.int64())),
-        pa.array(times, _INTS),
+        pa.array(n_a),
+        pa.array(n_b),
+        pa.array(np.bincount(text, minlength=len(rows)), pa.int64()),
+        pa.array(_group_hashes(tokenizers, a, b, last_a, last_b, n_a + n_b)),
+        pa.ListArray.from_arrays(offsets, pa.array(id_a << 32 | id_b)),
+        pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
     ]
 
 
+def _group_hashes(
+    tokenizers: Tokenizers,
+    a: np.ndarray,
+    b: np.ndarray,
+    last_a: np.ndarray,
+    last_b: np.ndarray,
+    sizes: np.ndarray,
+) -> list[str]:
+    """Hash of what ``groups_text`` gives for each text, which has ``sizes`` tokens.
+
+    Tokens are put in the order in which the text of the groups has them.
+    """
+    ends_a, ends_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    ends_a[last_a] = ends_b[last_b] = 1
+    group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + np.r_[0, last_b + 1][group_a]] = 2 * a + ends_a
+    order[np.arange(len(b)) + (last_a + 1)[group_b]] = 2 * (len(tokenizers.a_bytes) + b) + ends_b
+    parts = list(map(tokenizers.written.__getitem__, order.tolist()))
+    hashes, at = [], 0
+    for size in sizes.tolist():
+        spelt = b"".join(parts[at : at + size])[:-1]
+        hashes.append(hashlib.sha256(spelt).hexdigest() if spelt else "")
+        at += size
+    return hashes
+
+
 def pair_counts(links: DataFrame) -> DataFrame:
     """``(pair, cnt, docs, best)``: links and texts of each pair, corpus-wide.
 

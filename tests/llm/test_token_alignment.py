@@ -2,7 +2,9 @@ import bisect
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 import sentencepiece
 from given import TESTDATA
@@ -155,3 +157,28 @@ def test_equal_stretches_take_few_probes():
     ends = Counted(range(1, n + 1))
     assert common_ends(ends, list(ends))[0] == list(range(1, n + 1))
     assert Counted.probes < 40
+
+
+class _SomeEmpty(np.ndarray):
+    def all(self, *args, **kwargs):
+        return False
+
+
+@pytest.mark.parametrize("walked", [False, True])
+def test_digests_of_a_chunk_are_those_of_its_texts(walked):
+    made = token_alignment.Tokenizers(
+        Path(token_alignment.BYTE_LEVEL).read_text(encoding="utf-8"),
+        Path(token_alignment.PIECES).read_bytes(),
+    )
+    texts = ["", "one", "Une phrase, 3.14 fois", " ", "", "déjà vu 漢字 🙂", "one one one\n\tone", ""]
+    if walked:  # as if a token had no bytes
+        made.a_sizes = made.a_sizes.view(_SomeEmpty)
+    sizes_a, sizes_b, groups, hashes, pairs, times = (
+        c.to_pylist() for c in token_alignment._digests(made, texts)
+    )
+    for n, (a, b, a_ends, b_ends) in enumerate(made.align(texts)):
+        assert (sizes_a[n], sizes_b[n], groups[n]) == (len(a), len(b), len(a_ends))
+        spelt = groups_text(a, b, a_ends, b_ends)
+        assert hashes[n] == (hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
+        links = Counter(a[i - 1] << 32 | b[j - 1] for i, j in zip(a_ends, b_ends, strict=True))
+        assert dict(zip(pairs[n], times[n], strict=True)) == links
