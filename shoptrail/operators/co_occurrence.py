@@ -219,10 +219,11 @@ def _hot_starts(lists: DataFrame) -> DataFrame:
 
 
 def _work(starts: DataFrame) -> tuple[DataFrame, int]:
-    """The hot starts, and how many pairs there are in all."""
+    """The hot starts, and how many tasks count the others."""
     work = durable(starts.groupBy("a").agg(F.sum("n").alias("degree")), "work")
     total = work.agg(F.sum("degree")).first()[0] or 0
-    return hot_keys(work, total).select("a"), total
+    tasks = max(pairs_module.partitions(work), math.ceil(total / TASK_PAIRS))
+    return hot_keys(work, total, tasks).select("a"), tasks
 
 
 def _count_tails(found: list[tuple[DataFrame, DataFrame]], least: int) -> DataFrame:
@@ -236,12 +237,8 @@ def _count_tails(found: list[tuple[DataFrame, DataFrame]], least: int) -> DataFr
     ``TASK_PAIRS`` of them, so that none holds more as the log grows.
     """
     tails, starts = (reduce(DataFrame.unionByName, dfs) for dfs in zip(*found, strict=True))
-    hot, total = _work(starts)
+    hot, tasks = _work(starts)
     hot = F.broadcast(hot)
-    tasks = max(
-        int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(total / TASK_PAIRS),
-    )
     cold = tails.join(hot, "a", "left_anti").where(F.size("later") > 0)
     counted = cold.repartition(tasks, "a").select("a", "later").mapInArrow(
         _counter(least), "a long, b long, cnt long"

@@ -46,24 +46,27 @@ def degrees(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("degree"))
 
 
-def _partitions(df: DataFrame) -> int:
+def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _is_hot(keyed: DataFrame, rows: int) -> Column:
-    share = min(HOT_PER_PARTITION * _partitions(keyed), BROADCAST_KEYS)
+def _is_hot(keyed: DataFrame, rows: int, tasks: int | None = None) -> Column:
+    share = min(HOT_PER_PARTITION * (tasks or partitions(keyed)), BROADCAST_KEYS)
     return F.col("degree") * share > F.lit(rows)
 
 
 def _cold_keys(keyed: DataFrame, rows: int, keys: int) -> DataFrame:
     """The other keys, as the hashed side of a join if they are few enough."""
     cold = keyed.where(~_is_hot(keyed, rows))
-    return cold.hint("shuffle_hash") if keys <= HASH_KEYS * _partitions(keyed) else cold
+    return cold.hint("shuffle_hash") if keys <= HASH_KEYS * partitions(keyed) else cold
 
 
-def hot_keys(keyed: DataFrame, rows: int) -> DataFrame:
-    """Keys with so many of the ``rows`` rows that one task should not get them all."""
-    return keyed.where(_is_hot(keyed, rows))
+def hot_keys(keyed: DataFrame, rows: int, tasks: int | None = None) -> DataFrame:
+    """Keys with so many of the ``rows`` rows that one of the ``tasks`` should not get them all.
+
+    There are as many tasks as shuffle partitions if nothing else is said.
+    """
+    return keyed.where(_is_hot(keyed, rows, tasks))
 
 
 def attach(big: DataFrame, keyed: DataFrame, key: str, rows: int) -> DataFrame:
