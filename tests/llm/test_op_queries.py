@@ -29,6 +29,9 @@ COLUMNS = {
     "op8_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
     "op9_decontamination": "doc_id bigint, item_id bigint, score double",
     "op10_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op13_token_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, "
+    "n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
 }
 
 
@@ -63,7 +66,8 @@ def test_columns_and_rows(found, documents, name):
 
 
 def test_names():
-    assert set(queries()) == set(COLUMNS)
+    # Rows of op12 are conversations, which test_conversations.py covers.
+    assert set(queries()) == {*COLUMNS, "op12_conversation_repair"}
 
 
 def test_fingerprints_and_components(found, documents):
