@@ -7,6 +7,11 @@ such a stretch whole; where a probe fails, halves of it find the place. The grou
 follows is irregular: it is walked token by token up to the next common end, which sets
 the new shift.
 
+Where neither tokenizer has a token across a space between two other characters, nor looks
+across it, the tokens of a text are those of its words, and a group ends with each word.
+A task then encodes each word it meets once, the new words of a chunk together, and keeps
+its tokens' numbers, links and text of groups: a text is put together from those of its words.
+
 How often two tokens end together is counted over the corpus: each text gives its distinct
 pairs with their numbers. The most frequent pairs, a bounded number, come back to the texts
 as a broadcast; rows of rarer pairs meet their counts in a join without hot keys.
@@ -15,8 +20,10 @@ as a broadcast; rows of rarer pairs meet their counts in a join without hot keys
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 from pathlib import Path
 
@@ -35,6 +42,12 @@ SPACE = "▁"  # stands for a space in a piece
 CHUNK = 1 << 18
 # A pair in more than this share of all rows of pairs is frequent, so at most as many are.
 FREQUENT = 1 << 18
+# New words that are encoded as one text.
+TOGETHER = 200
+# Bytes of words and of what is known of them; beyond these a task keeps the most used quarter.
+KEPT = 1 << 26
+# A space between two characters that are no blanks: all that ``separable`` asks for.
+BETWEEN = re.compile(r" (?=\S)(?<=\S )")
 
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_ends array<int>, b_ends array<int>"
 _INTS = pa.list_(pa.int32())
@@ -51,6 +64,37 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def separable(byte_level: str, pieces: bytes) -> bool:
+    """Whether the tokens of a text are those of its parts between ``BETWEEN``.
+
+    So it is where A cuts texts by the pattern of byte-level BPE, which begins a part at such
+    a space, and B merges pairs of an unchanged text into pieces that have marks for spaces
+    only before other characters.
+    """
+    from sentencepiece.sentencepiece_model_pb2 import ModelProto
+
+    a, b = json.loads(byte_level), ModelProto.FromString(pieces)
+    cut, model, norm = a.get("pre_tokenizer") or {}, a["model"], b.normalizer_spec
+    return (
+        not any(a.get(k) for k in ("normalizer", "truncation", "padding"))
+        and cut.get("type") == "ByteLevel"
+        and cut.get("use_regex", True)
+        and not cut.get("add_prefix_space", True)
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        and all(token["special"] for token in a.get("added_tokens", ()))
+        and b.trainer_spec.model_type == b.trainer_spec.BPE
+        and not b.trainer_spec.treat_whitespace_as_suffix
+        and norm.add_dummy_prefix
+        and norm.escape_whitespaces
+        and not norm.remove_extra_whitespaces
+        and not norm.precompiled_charsmap
+        and not any(
+            p.type == p.USER_DEFINED or SPACE in p.piece.lstrip(SPACE) for p in b.pieces
+        )
+    )
+
+
 class Tokenizers:
     """Both tokenizers, made in a task from the contents of their files."""
 
@@ -80,6 +124,9 @@ class Tokenizers:
             for i in range(size)
             for end in (ends[:1], ends[1:])
         ]
+        # A token without bytes could be of either part.
+        by_word = self.a_sizes.all() and self.b_sizes.all() and separable(byte_level, pieces)
+        self.words = Words(self, bool(by_word))
 
     @staticmethod
     def _spelt(letters: dict[str, int], name: str) -> bytes:
@@ -87,8 +134,9 @@ class Tokenizers:
         known = all(c in letters for c in name)
         return bytes(letters[c] for c in name) if known else name.encode()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Token ids of both for each text; none where either spells something else."""
+        texts = list(texts)
         spaced = [" " + t for t in texts]
         encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
         pieces = self.b.encode(texts, num_threads=1)
@@ -101,6 +149,26 @@ class Tokenizers:
             )
             yield (a, b) if same else ([], [])
 
+    def encode_words(self, words: list[str]) -> tuple[list[str], list[np.ndarray]]:
+        """Words in the order they come out, and their ``(a, n_a, b, n_b)``.
+
+        ``TOGETHER`` words are encoded as one text and cut where words end; where that text
+        is spelt otherwise or a token goes across a word's end, words are left out.
+        """
+        runs = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        encoded = list(zip(runs, self.encode(map(" ".join, runs)), strict=True))
+        joined = [word for run, (ids, _) in encoded if ids for word in run]
+        ends = np.cumsum([len(w.encode()) + 1 for w in joined])
+        found: list[np.ndarray] = []
+        for side, sizes in enumerate((self.a_sizes, self.b_sizes)):
+            ids, _ = _flat([both[side] for _, both in encoded])
+            at = np.cumsum(sizes[ids])
+            last = np.searchsorted(at, ends)
+            if not np.array_equal(at[last], ends):
+                return [], [np.zeros(0, np.int64)] * 4
+            found += ids, np.diff(last + 1, prepend=0)
+        return joined, found
+
     def align(self, texts: list[str]) -> Iterator[tuple[list[int], ...]]:
         """``(a_ids, b_ids, a_ends, b_ends)`` for each text."""
         for a, b in self.encode(texts):
@@ -243,11 +311,12 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _last_tokens(
-    tokenizers: Tokenizers, rows: list[tuple[list[int], list[int]]], a: np.ndarray, b: np.ndarray
+    tokenizers: Tokenizers, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the last tokens of the groups in ``a`` and in ``b``, all texts in a row.
 
-    Both sides of each text spell the same bytes, so ends compare across texts.
+    Text k has ``n_a[k]`` and ``n_b[k]`` tokens. Both sides of each text spell the same
+    bytes, so ends compare across texts.
     """
     x, y = tokenizers.a_sizes[a], tokenizers.b_sizes[b]
     if x.all() and y.all():
@@ -257,52 +326,148 @@ def _last_tokens(
         return last, at[last]
     # A token without bytes ends where the one before does; groups are walked then.
     last_a, last_b, i, j = [], [], 0, 0
-    for one, two in rows:
-        ends = common_ends(
-            np.cumsum(tokenizers.a_sizes[one]).tolist() if one else [],
-            np.cumsum(tokenizers.b_sizes[two]).tolist() if two else [],
-        )
+    for p, q in zip(np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist(), strict=True):
+        ends = common_ends(np.cumsum(x[i:p]).tolist(), np.cumsum(y[j:q]).tolist())
         last_a.extend(i + n - 1 for n in ends[0])
         last_b.extend(j + n - 1 for n in ends[1])
-        i, j = i + len(one), j + len(two)
+        i, j = p, q
     return np.array(last_a, np.int64), np.array(last_b, np.int64)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one range after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+class Words:
+    """What is known of the parts of texts that a task has met, a row for each.
+
+    A part is a word with its space before it, or a whole text where ``by_word`` is not so.
+    Rows without tokens are of parts that either tokenizer spells otherwise.
+    """
+
+    def __init__(self, tokenizers: Tokenizers, by_word: bool) -> None:
+        self.tokenizers, self.by_word = tokenizers, by_word
+        self.rows: dict[str, int] = {}
+        self.spelt: list[bytes] = []  # the text of the groups
+        self.n_a = self.n_b = self.used = self.links = np.zeros(0, np.int64)
+        self.links_at = np.zeros(1, np.int64)  # of each row, and the end
+        self.kept = 0
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of the parts of all texts, and the number of parts of each text."""
+        if self.kept > KEPT:
+            self._shrink()
+        parts = [(BETWEEN.split(t) if self.by_word else [t]) if t else [] for t in texts]
+        rows, sizes = self._rows(parts), np.array([len(p) for p in parts], np.int64)
+        # Whether a text is spelt the same is asked of it whole, where a part is not.
+        odd = np.unique(np.repeat(np.arange(len(texts)), sizes)[self.n_a[rows] == 0])
+        odd = odd[sizes[odd] > 1].tolist()
+        if odd:
+            for k in odd:
+                parts[k] = [texts[k]]
+            self._add([], list({texts[k] for k in odd}.difference(self.rows)))
+            rows, sizes = self._rows(parts), np.array([len(p) for p in parts], np.int64)
+        self.used += np.bincount(rows, minlength=len(self.used))
+        return rows, sizes
+
+    def _rows(self, parts: list[list[str]]) -> np.ndarray:
+        every = list(chain.from_iterable(parts))
+        together, alone = [], []
+        for part in set(every).difference(self.rows):
+            blank = part[0].isspace() or part[-1].isspace()
+            (together if self.by_word and not blank else alone).append(part)
+        if together or alone:
+            self._add(together, alone)
+        return np.fromiter(map(self.rows.__getitem__, every), np.int64, len(every))
+
+    def _add(self, together: list[str], alone: list[str]) -> None:
+        """Rows for new parts; those that have no blanks at their ends are encoded together."""
+        parts, made = self.tokenizers.encode_words(together)
+        if len(parts) < len(together):
+            alone = alone + list(set(together).difference(parts))
+        encoded = list(self.tokenizers.encode(alone))
+        more = *_flat([r[0] for r in encoded]), *_flat([r[1] for r in encoded])
+        a, n_a, b, n_b = (np.concatenate(x) for x in zip(made, more, strict=True))
+        parts = parts + alone
+        last_a, last_b = _last_tokens(self.tokenizers, a, n_a, b, n_b)
+        groups = np.bincount(np.repeat(np.arange(len(n_a)), n_a)[last_a], minlength=len(n_a))
+        spelt = _group_texts(self.tokenizers, a, b, last_a, last_b, n_a + n_b)
+        links = a[last_a] * len(self.tokenizers.b_bytes) + b[last_b]
+        self.rows.update(zip(parts, range(len(self.spelt), len(self.spelt) + len(parts))))
+        self.spelt += spelt
+        self.n_a, self.n_b = np.r_[self.n_a, n_a], np.r_[self.n_b, n_b]
+        self.links_at = np.r_[self.links_at, self.links_at[-1] + np.cumsum(groups)]
+        self.links = np.r_[self.links, links]
+        self.used = np.r_[self.used, np.zeros(len(parts), np.int64)]
+        self.kept += self._bytes(parts, spelt)
+
+    @staticmethod
+    def _bytes(parts: list[str], spelt: list[bytes]) -> int:
+        """About what parts take; a row takes some 200 bytes besides."""
+        return 200 * len(parts) + 4 * sum(map(len, parts)) + 4 * sum(map(len, spelt))
+
+    def _shrink(self) -> None:
+        """Keep the most used parts, up to a quarter of ``KEPT`` bytes."""
+        parts = list(self.rows)
+        order = np.argsort(-self.used, kind="stable")
+        taken = np.cumsum([self._bytes([parts[k]], [self.spelt[k]]) for k in order.tolist()])
+        keep = order[taken <= KEPT // 4]
+        groups = np.diff(self.links_at)[keep]
+        self.links = self.links[_ranges(self.links_at[keep], groups)]
+        self.links_at = np.r_[0, np.cumsum(groups)]
+        self.n_a, self.n_b = self.n_a[keep], self.n_b[keep]
+        self.used = np.zeros(len(keep), np.int64)
+        self.spelt = [self.spelt[k] for k in keep.tolist()]
+        self.rows = {parts[k]: n for n, k in enumerate(keep.tolist())}
+        self.kept = self._bytes(list(self.rows), self.spelt)
+
+
 def _digests(tokenizers: Tokenizers, texts: list[str]) -> list[pa.Array]:
     """Sizes, hash of the groups, and distinct linked pairs ``a << 32 | b`` with their number.
 
-    The texts of a chunk are worked on together, as arrays of all their tokens.
+    The texts of a chunk are worked on together, as an array of the rows of all their parts.
     """
-    rows = list(tokenizers.encode(texts))
-    a, n_a = _flat([r[0] for r in rows])
-    b, n_b = _flat([r[1] for r in rows])
-    last_a, last_b = _last_tokens(tokenizers, rows, a, b)
-    text = np.repeat(np.arange(len(rows)), n_a)[last_a]
+    words = tokenizers.words
+    rows, sizes = words.of(texts)
+    text, ends = np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes)
+    groups = np.diff(words.links_at)[rows]
+
+    def sums(counts: np.ndarray) -> pa.Array:
+        return pa.array(np.diff(np.r_[0, np.cumsum(counts)][np.r_[0, ends]]), pa.int64())
+
+    links = words.links[_ranges(words.links_at[rows], groups)]
     # Text, A id and B id as one number: texts of a chunk are fewer than its bytes.
     many_a, many_b = len(tokenizers.a_bytes), len(tokenizers.b_bytes)
-    linked, times = np.unique((text * many_a + a[last_a]) * many_b + b[last_b], return_counts=True)
+    linked = np.repeat(text, groups) * (many_a * many_b) + links
+    linked, times = np.unique(linked, return_counts=True)
     linked, id_b = np.divmod(linked, many_b)
     of_text, id_a = np.divmod(linked, many_a)
-    offsets = pa.array(np.searchsorted(of_text, np.arange(len(rows) + 1)), pa.int32())
+    offsets = pa.array(np.searchsorted(of_text, np.arange(len(texts) + 1)), pa.int32())
+    spelt, at, hashes = [*map(words.spelt.__getitem__, rows.tolist())], 0, []
+    for end in ends.tolist():
+        groups_of = b";".join(spelt[at:end])
+        hashes.append(hashlib.sha256(groups_of).hexdigest() if groups_of else "")
+        at = end
     return [
-        pa.array(n_a),
-        pa.array(n_b),
-        pa.array(np.bincount(text, minlength=len(rows)), pa.int64()),
-        pa.array(_group_hashes(tokenizers, a, b, last_a, last_b, n_a + n_b)),
+        sums(words.n_a[rows]),
+        sums(words.n_b[rows]),
+        sums(groups),
+        pa.array(hashes, pa.string()),
         pa.ListArray.from_arrays(offsets, pa.array(id_a << 32 | id_b)),
         pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
     ]
 
 
-def _group_hashes(
+def _group_texts(
     tokenizers: Tokenizers,
     a: np.ndarray,
     b: np.ndarray,
     last_a: np.ndarray,
     last_b: np.ndarray,
     sizes: np.ndarray,
-) -> list[str]:
-    """Hash of what ``groups_text`` gives for each text, which has ``sizes`` tokens.
+) -> list[bytes]:
+    """What ``groups_text`` gives for each text, which has ``sizes`` tokens.
 
     Tokens are put in the order in which the text of the groups has them.
     """
@@ -313,12 +478,11 @@ def _group_hashes(
     order[np.arange(len(a)) + np.r_[0, last_b + 1][group_a]] = 2 * a + ends_a
     order[np.arange(len(b)) + (last_a + 1)[group_b]] = 2 * (len(tokenizers.a_bytes) + b) + ends_b
     parts = list(map(tokenizers.written.__getitem__, order.tolist()))
-    hashes, at = [], 0
+    texts, at = [], 0
     for size in sizes.tolist():
-        spelt = b"".join(parts[at : at + size])[:-1]
-        hashes.append(hashlib.sha256(spelt).hexdigest() if spelt else "")
+        texts.append(b"".join(parts[at : at + size])[:-1])
         at += size
-    return hashes
+    return texts
 
 
 def pair_counts(links: DataFrame) -> DataFrame:

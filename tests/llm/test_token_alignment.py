@@ -1,5 +1,6 @@
 import bisect
 import hashlib
+import json
 import random
 from collections import Counter
 from pathlib import Path
@@ -182,3 +183,69 @@ def test_digests_of_a_chunk_are_those_of_its_texts(walked):
         assert hashes[n] == (hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
         links = Counter(a[i - 1] << 32 | b[j - 1] for i, j in zip(a_ends, b_ends, strict=True))
         assert dict(zip(pairs[n], times[n], strict=True)) == links
+
+
+def made_tokenizers():
+    return token_alignment.Tokenizers(
+        Path(BYTE_LEVEL).read_text(encoding="utf-8"), Path(PIECES).read_bytes()
+    )
+
+
+def digests(made, texts):
+    columns = [c.to_pylist() for c in token_alignment._digests(made, texts)]
+    return [(*r[:4], dict(zip(r[4], r[5], strict=True))) for r in zip(*columns, strict=True)]
+
+
+def test_a_word_met_again_is_not_encoded_again():
+    made, encode, met = made_tokenizers(), token_alignment.Tokenizers.encode, []
+
+    def counted(texts):
+        texts = list(texts)
+        met.extend(texts)
+        return encode(made, texts)
+
+    made.encode = counted
+    texts = ["some words, " * 5_000, "words, some " * 5_000 + "more"]
+    got = digests(made, texts)
+    assert sum(map(len, met)) < 200
+    assert [r[:3] for r in got] == [
+        (len(a), len(b), len(groups)) for a, b, groups in map(plain_groups, texts)
+    ]
+
+
+def test_words_give_what_whole_texts_give(monkeypatch):
+    """Blanks of all kinds, marks and quotes beside spaces; words that are dropped again."""
+    monkeypatch.setattr(token_alignment, "TOGETHER", 7)
+    monkeypatch.setattr(token_alignment, "KEPT", 20_000)
+    draw = random.Random(13)
+    parts = [
+        *" \n\t.,a1é漢🙂▁\x00\x1c\x85\xa0\u180e\u200b\u2028\u3000\u0301", "  ", " \n", "\r\n",
+        "Bc", "don't", "'s", "23", "...", "<s>", "<|endoftext|>", " x", " y", " the", " 's", " of ",
+        *" " * 9,
+    ]
+    by_word, whole = made_tokenizers(), made_tokenizers()
+    whole.words.by_word = False
+    assert by_word.words.by_word
+    for _ in range(40):
+        texts = ["".join(draw.choices(parts, k=draw.randint(0, 25))) for _ in range(60)]
+        assert digests(by_word, texts) == digests(whole, texts)
+
+
+def test_tokenizers_whose_words_depend_on_each_other():
+    from sentencepiece.sentencepiece_model_pb2 import ModelProto
+
+    a, b = Path(BYTE_LEVEL).read_text(encoding="utf-8"), Path(PIECES).read_bytes()
+    assert token_alignment.separable(a, b)
+    pattern = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    token = {"id": 1, "content": "of the", "special": False}
+    for change in (
+        {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": pattern}, {"added_tokens": [token]},
+        {"truncation": {"max_length": 5}}, {"pre_tokenizer": None},
+    ):
+        assert not token_alignment.separable(json.dumps(json.loads(a) | change), b)
+    model = ModelProto.FromString(b)
+    model.pieces[-1].piece = "of▁the"
+    assert not token_alignment.separable(a, model.SerializeToString())
+    model = ModelProto.FromString(b)
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    assert not token_alignment.separable(a, model.SerializeToString())
